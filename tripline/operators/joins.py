@@ -1,0 +1,18 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension (rows) we hint as a broadcast.  A zone/lookup table is a
+# few hundred rows; anything past this bound is left to the planner and AQE,
+# which pick a shuffle join from measured sizes.
+DIM_ROW_LIMIT = 100_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = DIM_ROW_LIMIT) -> DataFrame:
+    """Hint ``dim`` as a broadcast only after proving it has at most
+    ``max_rows`` rows.  The proof reads at most ``max_rows + 1`` rows."""
+    rows = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if rows <= max_rows else dim
