@@ -74,6 +74,15 @@ def reject_profile(df: DataFrame, model: TripModel) -> DataFrame:
     return counts.unpivot([], names, "rule", "rejected")
 
 
+def raw_counts(df: DataFrame, model: TripModel) -> DataFrame:
+    """Rows read and rows passing every rule, in one pass over the input."""
+    keep_all = reduce(lambda a, b: a & b, [pred for _, pred in rules(df, model)])
+    return df.agg(
+        F.count(F.lit(1)).alias("raw_rows_read"),
+        F.count_if(F.coalesce(keep_all, F.lit(False))).alias("valid_rows"),
+    )
+
+
 def dedupe(df: DataFrame) -> DataFrame:
     """Exact whole-row duplicate removal (NULLs compare equal).
 

@@ -11,12 +11,13 @@ from tripline.operators.clean import duration_seconds
 from tripline.operators.joins import bounded_broadcast
 
 
-def attach_zones(trips: DataFrame, zones: DataFrame, model: TripModel) -> DataFrame:
+def attach_zones(trips: DataFrame, zones: DataFrame, model: TripModel,
+                 proof_key: tuple | None = None) -> DataFrame:
     """LEFT join the zone dimension twice: pickup role and dropoff role.
 
     ``zones`` is ``(zone_id, zone, borough)``; it is broadcast after its row
     bound is proven, and both roles reuse the same broadcast."""
-    dim = bounded_broadcast(zones)
+    dim = bounded_broadcast(zones, proof_key=proof_key)
     pickup = dim.select(
         F.col("zone_id").alias(model.origin),
         F.col("borough").alias("pickup_borough"),
@@ -58,5 +59,8 @@ def derive_calendar(trips: DataFrame, model: TripModel) -> DataFrame:
     )
 
 
-def enrich(trips: DataFrame, zones: DataFrame, model: TripModel) -> DataFrame:
-    return derive_calendar(derive_metrics(attach_zones(trips, zones, model), model), model)
+def enrich(trips: DataFrame, zones: DataFrame, model: TripModel,
+           proof_key: tuple | None = None) -> DataFrame:
+    return derive_calendar(
+        derive_metrics(attach_zones(trips, zones, model, proof_key), model), model
+    )

@@ -10,9 +10,19 @@ from pyspark.sql import functions as F
 # which pick a shuffle join from measured sizes.
 DIM_ROW_LIMIT = 100_000
 
+# Proven row counts, keyed by the identity of the files a dimension reads
+# (path, size, modification time): a proof is reused only for unchanged input.
+_PROVEN: dict[tuple, int] = {}
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = DIM_ROW_LIMIT) -> DataFrame:
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = DIM_ROW_LIMIT,
+                      proof_key: tuple | None = None) -> DataFrame:
     """Hint ``dim`` as a broadcast only after proving it has at most
-    ``max_rows`` rows.  The proof reads at most ``max_rows + 1`` rows."""
-    rows = dim.limit(max_rows + 1).count()
+    ``max_rows`` rows.  The proof reads at most ``max_rows + 1`` rows and is
+    remembered under ``proof_key`` (the input files' identity) when given."""
+    rows = _PROVEN.get(proof_key) if proof_key is not None else None
+    if rows is None:
+        rows = dim.limit(max_rows + 1).count()
+        if proof_key is not None:
+            _PROVEN[proof_key] = rows
     return F.broadcast(dim) if rows <= max_rows else dim

@@ -152,7 +152,7 @@ def etl_step_counts(spark, sf_dir):
 @query("enrich_zones")
 def enrich_zones(spark, sf_dir):
     p = Pipeline(spark, sf_dir)
-    return enrich.attach_zones(p.deduped, p.zones, p.model)
+    return enrich.attach_zones(p.deduped, p.zones, p.model, p.zone_proof_key)
 
 
 @query("derive_trip_metrics")

@@ -58,9 +58,13 @@ class Pipeline:
     def deduped(self) -> DataFrame:
         return clean.dedupe(self.cleaned)
 
+    @cached_property
+    def zone_proof_key(self) -> tuple | None:
+        return tables.file_identity(self.sf_dir, tables.ZONE_TABLES)
+
     @cached_property
     def trips(self) -> DataFrame:
-        return enrich.enrich(self.deduped, self.zones, self.model)
+        return enrich.enrich(self.deduped, self.zones, self.model, self.zone_proof_key)
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -84,32 +88,45 @@ class Pipeline:
         return anomaly.anomalies(self.series)
 
     # --- counts and checks ----------------------------------------------------
-    @cached_property
-    def step_counts(self) -> DataFrame:
-        """One row of stage counts, from one-row aggregates combined by
-        union + a single global aggregate (no joins)."""
-        grain = tables.table_path(self.sf_dir, tables.TRIP_GRAIN_TABLE).rsplit("/", 1)[-1]
-        parts = {
-            "ingest_total_rows": self.manifest.filter(F.col("file_name") == grain)
-            .agg(F.sum("rows")),
-            "raw_rows_read": self.raw.agg(F.count(F.lit(1))),
-            "valid_rows": self.cleaned.agg(F.count(F.lit(1))),
-            "final_cleaned_rows": self.trips.agg(F.count(F.lit(1))),
-            "daily_zone_agg_rows": self.daily.agg(F.count(F.lit(1))),
-            "hourly_profile_rows": self.hourly.agg(F.count(F.lit(1))),
-        }
+    def _bag(self, parts: dict[str, DataFrame]) -> DataFrame:
+        """Union one-row aggregates as (name, value) and widen them with one
+        global aggregate: several counts in one plan, no joins."""
         bag = None
-        for name, one in parts.items():
-            row = one.select(F.lit(name).alias("name"), F.col(one.columns[0]).cast("bigint").alias("value"))
+        for one in parts.values():
+            cols = one.columns
+            row = one.select(*[F.col(c).cast("bigint").alias(c) for c in cols]).unpivot(
+                [], cols, "name", "value"
+            )
             bag = row if bag is None else bag.unionByName(row)
-        wide = bag.agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in parts])
+        names = [c for one in parts.values() for c in one.columns]
+        return bag.agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])
+
+    @cached_property
+    def ingest_rows(self) -> DataFrame:
+        grain = tables.table_path(self.sf_dir, tables.TRIP_GRAIN_TABLE).rsplit("/", 1)[-1]
+        return self.manifest.filter(F.col("file_name") == grain).agg(
+            F.sum("rows").alias("ingest_total_rows")
+        )
+
+    @cached_property
+    def step_counts(self) -> DataFrame:
+        """One row of stage counts.  Rows read and rows passing the rules come
+        from ONE pass over the raw input."""
+        wide = self._bag(
+            {
+                "ingest": self.ingest_rows,
+                "raw": clean.raw_counts(self.raw, self.model),
+                "final": self.trips.agg(F.count(F.lit(1)).alias("final_cleaned_rows")),
+                "daily": self.daily.agg(F.count(F.lit(1)).alias("daily_zone_agg_rows")),
+                "hourly": self.hourly.agg(F.count(F.lit(1)).alias("hourly_profile_rows")),
+            }
+        )
         return wide.select(
             "ingest_total_rows",
             "raw_rows_read",
             (F.col("raw_rows_read") - F.col("valid_rows")).alias("invalid_rows_dropped"),
             (F.col("valid_rows") - F.col("final_cleaned_rows")).alias("duplicate_rows_dropped"),
             "final_cleaned_rows",
-            F.col("final_cleaned_rows").alias("physical_rows"),
             "daily_zone_agg_rows",
             "hourly_profile_rows",
         )
@@ -120,10 +137,18 @@ class Pipeline:
         wide = self.step_counts
         return wide.unpivot([], wide.columns, "name", "value")
 
+    @cached_property
+    def check_inputs(self) -> DataFrame:
+        """The two counts the checks take from outside the trip table."""
+        raw = self.raw.agg(F.count(F.lit(1)).alias("raw_rows_read"))
+        return self._bag({"ingest": self.ingest_rows, "raw": raw}).unpivot(
+            [], ["ingest_total_rows", "raw_rows_read"], "name", "value"
+        )
+
     @cached_property
     def checks(self) -> DataFrame:
         return quality.run_checks(
-            self.trips, self.daily, self.hourly, self.stage_counts, self.model, drift_messages=[]
+            self.trips, self.daily, self.hourly, self.check_inputs, self.model, drift_messages=[]
         )
 
     # --- views ----------------------------------------------------------------
