@@ -35,6 +35,18 @@ def exact_avg(c: Column | str) -> Column:
     return F.try_divide(F.sum(c.cast(MONEY)).cast("double"), F.count(c).cast("double"))
 
 
+# Scale at which an average of doubles is summed exactly (shortest text of
+# each double, up to 18 decimals).
+AVG_TEXT = DecimalType(38, 18)
+
+
+def avg_of_doubles(c: Column | str) -> Column:
+    """AVG of double values (e.g. per-group averages) summed exactly as
+    DECIMAL, so the result does not depend on the order rows arrive in."""
+    c = col(c)
+    return F.try_divide(F.sum(c.cast(AVG_TEXT)).cast("double"), F.count(c).cast("double"))
+
+
 def minutes_avg(minutes: Column | str) -> Column:
     """AVG of a whole-second duration given in minutes, exact in seconds."""
     m = col(minutes)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql.types import DoubleType, LongType, StringType, TimestampType
+
 # Derived columns every enriched trip table carries (names are fixed values).
 DERIVED_COLUMNS = (
     "pickup_borough",
@@ -109,3 +111,29 @@ ORDERS_MODEL = TripModel(
     fare_range=(0.01, 90000),
     distance_range=(0.01, 45),
 )
+
+
+# Canonical raw trip-record schema (fixed values: 19 columns, in file order).
+TAXI_CANONICAL = [
+    ("VendorID", LongType()),
+    ("tpep_pickup_datetime", TimestampType()),
+    ("tpep_dropoff_datetime", TimestampType()),
+    ("passenger_count", DoubleType()),
+    ("trip_distance", DoubleType()),
+    ("RatecodeID", DoubleType()),
+    ("store_and_fwd_flag", StringType()),
+    ("PULocationID", LongType()),
+    ("DOLocationID", LongType()),
+    ("payment_type", LongType()),
+    ("fare_amount", DoubleType()),
+    ("extra", DoubleType()),
+    ("mta_tax", DoubleType()),
+    ("tip_amount", DoubleType()),
+    ("tolls_amount", DoubleType()),
+    ("improvement_surcharge", DoubleType()),
+    ("total_amount", DoubleType()),
+    ("congestion_surcharge", DoubleType()),
+    ("airport_fee", DoubleType()),
+]
+# Known spelling variants of canonical columns.
+TAXI_ALIASES = {"airport_fee": ("Airport_fee",)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripline.functions import WEEKDAYS, month_start, pct_change
+from tripline.functions import WEEKDAYS, avg_of_doubles, month_start, pct_change
 
 TOP_ZONES = 25
 AVG_DECIMALS = 6  # unrounded averages are emitted at 6 decimals
@@ -18,8 +18,8 @@ def daily(daily_zone: DataFrame) -> DataFrame:
         trips.alias("trips"),
         rev.cast("double").alias("revenue"),
         F.round(F.try_divide(rev.cast("double"), trips.cast("double")), 2).alias("revenue_per_trip"),
-        F.round(F.avg("avg_distance"), AVG_DECIMALS).alias("avg_distance"),
-        F.round(F.avg("avg_duration_min"), AVG_DECIMALS).alias("avg_duration_min"),
+        F.round(avg_of_doubles("avg_distance"), AVG_DECIMALS).alias("avg_distance"),
+        F.round(avg_of_doubles("avg_duration_min"), AVG_DECIMALS).alias("avg_duration_min"),
     )
 
 
@@ -46,7 +46,7 @@ def zone_top(daily_zone: DataFrame, n: int = TOP_ZONES) -> DataFrame:
         .agg(
             F.sum("trip_count").alias("trips"),
             F.sum("total_revenue").alias("_revenue"),
-            F.round(F.avg("avg_revenue_per_mile"), 2).alias("avg_revenue_per_mile"),
+            F.round(avg_of_doubles("avg_revenue_per_mile"), 2).alias("avg_revenue_per_mile"),
         )
     )
     order = [F.col("_revenue").desc(), "pickup_zone", "pickup_borough"]

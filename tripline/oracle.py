@@ -43,6 +43,13 @@ def _exact_avg(x: str) -> str:
     return f"{_d(f'SUM(CAST({x} AS DECIMAL(18,4)))')} / CAST(NULLIF(COUNT({x}), 0) AS DOUBLE)"
 
 
+def _avg_dbl(x: str) -> str:
+    return (
+        f"{_d(f'SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)))')}"
+        f" / CAST(NULLIF(COUNT({x}), 0) AS DOUBLE)"
+    )
+
+
 def _minutes_avg(x: str) -> str:
     return (
         f"CAST(SUM(CAST(round({x} * 60) AS BIGINT)) AS DOUBLE)"
@@ -186,8 +193,8 @@ def _base(with_copies: bool = False) -> list[str]:
   SELECT pickup_date AS day, SUM(trip_count) AS trips,
     round(SUM(total_revenue), 2) AS revenue,
     {_r(f"{_d('SUM(total_revenue)')} / NULLIF(CAST(SUM(trip_count) AS DOUBLE), 0)", 2)} AS revenue_per_trip,
-    {_r('AVG(avg_distance)', 3)} AS avg_distance,
-    {_r('AVG(avg_duration_min)', 2)} AS avg_duration_min
+    {_r(_avg_dbl('avg_distance'), 3)} AS avg_distance,
+    {_r(_avg_dbl('avg_duration_min'), 2)} AS avg_duration_min
   FROM daily GROUP BY pickup_date)""",
         """monthly AS (
   SELECT CAST(date_trunc('month', pickup_date) AS DATE) AS month, SUM(trip_count) AS trips,
@@ -200,7 +207,7 @@ def _base(with_copies: bool = False) -> list[str]:
   FROM monthly)""",
         f"""by_zone AS (
   SELECT pickup_zone, pickup_borough, SUM(trip_count) AS trips, SUM(total_revenue) AS rev,
-    {_r('AVG(avg_revenue_per_mile)', 2)} AS avg_revenue_per_mile
+    {_r(_avg_dbl('avg_revenue_per_mile'), 2)} AS avg_revenue_per_mile
   FROM daily WHERE pickup_zone IS NOT NULL GROUP BY pickup_zone, pickup_borough)""",
         """board AS (
   SELECT pickup_zone, pickup_borough, trips, round(rev, 2) AS revenue, avg_revenue_per_mile,
@@ -208,7 +215,7 @@ def _base(with_copies: bool = False) -> list[str]:
   FROM by_zone)""",
         f"""demand AS (
   SELECT pickup_dow, pickup_hour, SUM(trip_count) AS trips,
-    {_r('AVG(avg_fare)', 2)} AS avg_fare, {_r('AVG(avg_speed_mph)', 2)} AS avg_speed_mph
+    {_r(_avg_dbl('avg_fare'), 2)} AS avg_fare, {_r(_avg_dbl('avg_speed_mph'), 2)} AS avg_speed_mph
   FROM event_hourly GROUP BY pickup_dow, pickup_hour)""",
         """overlay AS (
   SELECT pickup_date AS day, grain, metric, value, rolling_mean, z_score, is_anomalous
@@ -520,7 +527,7 @@ FROM (SELECT MIN(pickup_date) AS date_from, MAX(pickup_date) AS date_to,
         f"""SELECT pickup_date, CAST(SUM(trip_count) AS BIGINT) AS trips,
   {_d('SUM(total_revenue)')} AS revenue,
   {_r(f"{_d('SUM(total_revenue)')} / NULLIF(CAST(SUM(trip_count) AS DOUBLE), 0)", 2)} AS revenue_per_trip,
-  {_r('AVG(avg_distance)', 6)} AS avg_distance, {_r('AVG(avg_duration_min)', 6)} AS avg_duration_min
+  {_r(_avg_dbl('avg_distance'), 6)} AS avg_distance, {_r(_avg_dbl('avg_duration_min'), 6)} AS avg_duration_min
 FROM daily GROUP BY pickup_date"""
     )
     q["report_monthly"] = _with(
@@ -535,7 +542,7 @@ FROM m"""
     q["report_zone_top25"] = _with(
         f""", z AS (
   SELECT pickup_zone, pickup_borough, SUM(trip_count) AS trips, SUM(total_revenue) AS rev,
-    {_r('AVG(avg_revenue_per_mile)', 2)} AS avg_revenue_per_mile
+    {_r(_avg_dbl('avg_revenue_per_mile'), 2)} AS avg_revenue_per_mile
   FROM daily WHERE pickup_zone IS NOT NULL AND pickup_borough IS NOT NULL
   GROUP BY pickup_zone, pickup_borough)
 SELECT CAST(row_number() OVER (ORDER BY rev DESC, pickup_zone, pickup_borough) AS INTEGER) AS rank,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripline.functions import month_start, pct_change, sunday_week
+from tripline.functions import avg_of_doubles, month_start, pct_change, sunday_week
 
 VIEW_NAMES = (
     "vw_daily_kpis",
@@ -32,8 +32,8 @@ def daily_kpis(daily: DataFrame) -> DataFrame:
         trips.alias("trips"),
         F.round(rev, 2).alias("revenue"),
         F.round(F.try_divide(rev.cast("double"), trips.cast("double")), 2).alias("revenue_per_trip"),
-        F.round(F.avg("avg_distance"), 3).alias("avg_distance"),
-        F.round(F.avg("avg_duration_min"), 2).alias("avg_duration_min"),
+        F.round(avg_of_doubles("avg_distance"), 3).alias("avg_distance"),
+        F.round(avg_of_doubles("avg_duration_min"), 2).alias("avg_duration_min"),
     )
 
 
@@ -61,7 +61,7 @@ def zone_leaderboard(daily: DataFrame) -> DataFrame:
         .agg(
             F.sum("trip_count").alias("trips"),
             F.sum("total_revenue").alias("_revenue"),
-            F.round(F.avg("avg_revenue_per_mile"), 2).alias("avg_revenue_per_mile"),
+            F.round(avg_of_doubles("avg_revenue_per_mile"), 2).alias("avg_revenue_per_mile"),
         )
     )
     w = Window.orderBy(F.col("_revenue").desc())  # one row per zone
@@ -94,8 +94,8 @@ def borough_share(daily: DataFrame) -> DataFrame:
 def hourly_demand(hourly: DataFrame) -> DataFrame:
     return hourly.groupBy("pickup_dow", "pickup_hour").agg(
         F.sum("trip_count").alias("trips"),
-        F.round(F.avg("avg_fare"), 2).alias("avg_fare"),
-        F.round(F.avg("avg_speed_mph"), 2).alias("avg_speed_mph"),
+        F.round(avg_of_doubles("avg_fare"), 2).alias("avg_fare"),
+        F.round(avg_of_doubles("avg_speed_mph"), 2).alias("avg_speed_mph"),
     )
 
 
