@@ -89,4 +89,4 @@ def test_partitioned_roundtrip(spark, tmp_dir):
     assert dict(back.dtypes)["year_month"] == "string"
     got = {r.year_month: r.n for r in back.groupBy("year_month").agg(F.count("*").alias("n")).collect()}
     assert got == {"2023-01": 2, "2023-02": 1}
-    assert sorted(os.listdir(f"{tmp_dir}/p"))[:2] == ["_SUCCESS", "year_month=2023-01"]
+    assert {"year_month=2023-01", "year_month=2023-02"} <= set(os.listdir(f"{tmp_dir}/p"))
