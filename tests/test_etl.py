@@ -83,3 +83,16 @@ def test_validation_gate_fails_on_mismatch(job):
     wrong = spark.createDataFrame([(54,)], "ingest_total_rows bigint")
     with pytest.raises(RuntimeError, match="ingest_to_etl_read"):
         etl.run_validation(spark, out, TAXI_MODEL, wrong)
+
+
+def test_anomaly_job_writes_flags_and_report(job, tmp_dir):
+    spark, paths, out, manifest = job
+    flags = etl.run_anomaly(spark, out, report_path=f"{tmp_dir}/anomaly_report")
+    assert flags.count() > 0
+    assert set(flags.columns) == {
+        "pickup_date", "grain", "metric", "value", "rolling_mean", "rolling_std", "z_score", "is_anomalous"
+    }
+    lines = [r.value for r in spark.read.text(f"{tmp_dir}/anomaly_report").collect()]
+    assert lines[0] == "# Anomaly Detection Report"
+    assert lines[4].startswith("Total (grain, metric, date) points scored: ")
+    assert lines[7] == "| Date | Grain | Metric | Value | Rolling Mean | Z-score |"

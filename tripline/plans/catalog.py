@@ -79,8 +79,14 @@ def queries() -> dict[str, QueryFn]:
     return dict(_REGISTRY)
 
 
+def _stored(spark, sf_dir, **kw) -> Pipeline:
+    """A pipeline whose enriched trips are written once and read back: for
+    queries that consume them in several branches."""
+    return Pipeline(spark, sf_dir, store_trips=True, **kw)
+
+
 def _checks_named(spark, sf_dir, pattern: str) -> DataFrame:
-    return Pipeline(spark, sf_dir).checks.filter(F.col("name").rlike(pattern))
+    return _stored(spark, sf_dir).checks.filter(F.col("name").rlike(pattern))
 
 
 # --- sources ---------------------------------------------------------------------
@@ -140,7 +146,7 @@ def dedupe_exact(spark, sf_dir):
 
 @query("etl_step_counts")
 def etl_step_counts(spark, sf_dir):
-    return Pipeline(spark, sf_dir, with_copies=True).step_counts.select(
+    return _stored(spark, sf_dir, with_copies=True).step_counts.select(
         "raw_rows_read", "invalid_rows_dropped", "duplicate_rows_dropped",
         "final_cleaned_rows", "daily_zone_agg_rows", "hourly_profile_rows",
     )
@@ -232,7 +238,7 @@ def view_zone_weekly_cohort(spark, sf_dir):
 
 @query("view_data_quality")
 def view_data_quality(spark, sf_dir):
-    return views.ordered("vw_data_quality", views.data_quality(Pipeline(spark, sf_dir).checks))
+    return views.ordered("vw_data_quality", views.data_quality(_stored(spark, sf_dir).checks))
 
 
 # --- anomaly ---------------------------------------------------------------------
@@ -288,12 +294,12 @@ def dq_reconcile(spark, sf_dir):
 
 @query("dq_results")
 def dq_results(spark, sf_dir):
-    return Pipeline(spark, sf_dir).checks
+    return _stored(spark, sf_dir).checks
 
 
 @query("dq_summary")
 def dq_summary(spark, sf_dir):
-    return quality.summary(Pipeline(spark, sf_dir).checks)
+    return quality.summary(_stored(spark, sf_dir).checks)
 
 
 # --- dashboard -------------------------------------------------------------------
@@ -306,7 +312,7 @@ def dash_totals(spark, sf_dir):
 
 @query("dash_failing_checks")
 def dash_failing_checks(spark, sf_dir):
-    return views.dash_failing_checks(Pipeline(spark, sf_dir).checks)
+    return views.dash_failing_checks(_stored(spark, sf_dir).checks)
 
 
 @query("dash_daily_series")
@@ -339,7 +345,7 @@ def dash_anomaly_overlay(spark, sf_dir):
 
 @query("report_summary")
 def report_summary(spark, sf_dir):
-    p = Pipeline(spark, sf_dir)
+    p = _stored(spark, sf_dir)
     return report.summary(p.daily, p.stage_counts, p.checks, p.flags, p.model.origin)
 
 

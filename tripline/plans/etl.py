@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -24,7 +24,7 @@ from pyspark.sql.types import (
 )
 
 from tripline.model import TripModel
-from tripline.operators import aggregates, clean, enrich, quality
+from tripline.operators import aggregates, anomaly, clean, enrich, quality
 from tripline.sources.files import read_json_report, read_partitioned, write_partitioned
 
 STEP_NAMES = (
@@ -181,3 +181,61 @@ def load_checks(spark: SparkSession, report_path: str) -> DataFrame:
     return report.select(F.explode("checks").alias("c")).select(
         "c.name", "c.severity", F.col("c.passed").cast("boolean").alias("passed"), "c.detail"
     )
+
+
+def run_anomaly(spark: SparkSession, out_dir: str, report_path: str | None = None) -> DataFrame:
+    """Score the stored daily aggregate and write ``anomaly_flags`` (and the
+    text report when ``report_path`` is given).  Returns the stored flags."""
+    out_dir = out_dir.rstrip("/")
+    daily = spark.read.parquet(f"{out_dir}/daily_zone_agg")
+    flags = anomaly.anomalies(aggregates.citywide_and_borough(daily))
+    flags.write.mode("overwrite").parquet(f"{out_dir}/anomaly_flags")
+    stored = spark.read.parquet(f"{out_dir}/anomaly_flags")
+    if report_path:
+        write_anomaly_report(stored, report_path)
+    return stored
+
+
+def write_anomaly_report(flags: DataFrame, path: str, top_n: int = 50) -> None:
+    """Markdown report: method line, totals, then the top |z| points.  The
+    text is built from one aggregate row and at most ``top_n`` point rows."""
+    counts = anomaly.flag_counts(flags)
+    head = counts.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).alias("seq"), F.lit("# Anomaly Detection Report").alias("value")),
+                F.struct(F.lit(1).alias("seq"), F.lit("").alias("value")),
+                F.struct(
+                    F.lit(2).alias("seq"),
+                    F.lit(
+                        "Method: weekday-adjusted rolling z-score (window="
+                        f"{anomaly.ROLLING_WINDOW_OCCURRENCES} same-weekday occurrences, "
+                        f"threshold=|z|>={anomaly.Z_THRESHOLD})."
+                    ).alias("value"),
+                ),
+                F.struct(F.lit(3).alias("seq"), F.lit("").alias("value")),
+                F.struct(
+                    F.lit(4).alias("seq"),
+                    F.concat(F.lit("Total (grain, metric, date) points scored: "),
+                             F.format_number("points_scored", 0)).alias("value"),
+                ),
+                F.struct(
+                    F.lit(5).alias("seq"),
+                    F.concat(F.lit("Flagged anomalies: "),
+                             F.format_number("points_flagged", 0)).alias("value"),
+                ),
+                F.struct(F.lit(6).alias("seq"), F.lit("").alias("value")),
+                F.struct(
+                    F.lit(7).alias("seq"),
+                    F.lit("| Date | Grain | Metric | Value | Rolling Mean | Z-score |").alias("value"),
+                ),
+                F.struct(F.lit(8).alias("seq"), F.lit("|---|---|---|---|---|---|").alias("value")),
+            )
+        )
+    )
+    top = anomaly.top_by_abs_z(flags, top_n)
+    order = [F.abs("z_score").desc(), "pickup_date", "grain", "metric"]
+    lines = anomaly.report_lines(top).select(
+        (F.lit(100) + F.row_number().over(Window.orderBy(*order))).alias("seq"), F.col("line").alias("value")
+    )
+    head.unionByName(lines).orderBy("seq").coalesce(1).select("value").write.mode("overwrite").text(path)

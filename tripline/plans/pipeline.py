@@ -17,17 +17,23 @@ from pyspark.sql import functions as F
 from tripline.model import ORDERS_MODEL, TripModel
 from tripline.operators import aggregates, anomaly, clean, enrich, quality
 from tripline.plans import views
+from tripline.session import scratch_path
 from tripline.sources import tables
 from tripline.sources.files import ingest_manifest
 
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, model: TripModel = ORDERS_MODEL,
-                 with_copies: bool = False):
+                 with_copies: bool = False, store_trips: bool = False):
+        """``store_trips``: write the enriched trips once to the shared
+        checkpoint folder and read them back, for plans that consume them in
+        several branches (checks, step counts, summary); it also cuts the
+        lineage so a lost executor re-reads files instead of re-cleaning."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.model = model
         self.with_copies = with_copies
+        self.store_trips = store_trips
 
     # --- sources --------------------------------------------------------------
     @cached_property
@@ -63,9 +69,17 @@ class Pipeline:
         return tables.file_identity(self.sf_dir, tables.ZONE_TABLES)
 
     @cached_property
-    def trips(self) -> DataFrame:
+    def enriched(self) -> DataFrame:
         return enrich.enrich(self.deduped, self.zones, self.model, self.zone_proof_key)
 
+    @cached_property
+    def trips(self) -> DataFrame:
+        if not self.store_trips:
+            return self.enriched
+        path = scratch_path(self.spark, "trips_enriched")
+        self.enriched.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def daily(self) -> DataFrame:
         return aggregates.daily_zone(self.trips, self.model)
