@@ -69,3 +69,10 @@ def test_guarded_query_caps_rows(spark):
     assert est is None or est > 0
     with pytest.raises(ValueError):
         adhoc.guarded_query(spark, "SELECT * FROM t_guard", max_bytes=1)
+
+
+def test_referenced_views():
+    from tripline.plans.views import VIEW_NAMES
+
+    sql = "SELECT * FROM vw_daily_kpis d JOIN VW_MONTHLY_TREND m ON true"
+    assert adhoc.referenced_views(sql, VIEW_NAMES) == ["vw_daily_kpis", "vw_monthly_trend"]

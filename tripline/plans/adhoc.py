@@ -29,6 +29,11 @@ def assert_read_only(sql: str) -> str:
     return text
 
 
+def referenced_views(sql: str, names) -> list[str]:
+    """The curated view names a query text mentions."""
+    return [n for n in names if re.search(rf"\b{re.escape(n)}\b", sql, re.IGNORECASE)]
+
+
 def estimated_scan_bytes(df: DataFrame) -> int | None:
     """Optimizer's size estimate of the relations the plan reads, summed over
     its leaves (no job runs).  ``None`` when the session does not expose plan

@@ -390,7 +390,9 @@ def weekly_anomalies(spark, sf_dir):
 
 @query("guarded_query")
 def guarded_query(spark, sf_dir):
-    Pipeline(spark, sf_dir).register_views()
+    """Validate first, then register the curated views the text names."""
+    adhoc.assert_read_only(GUARDED_SQL)
+    Pipeline(spark, sf_dir).register_views(adhoc.referenced_views(GUARDED_SQL, views.VIEW_NAMES))
     return adhoc.guarded_query(spark, GUARDED_SQL)
 
 

@@ -117,10 +117,9 @@ class Pipeline:
 
     @cached_property
     def ingest_rows(self) -> DataFrame:
-        grain = tables.table_path(self.sf_dir, tables.TRIP_GRAIN_TABLE).rsplit("/", 1)[-1]
-        return self.manifest.filter(F.col("file_name") == grain).agg(
-            F.sum("rows").alias("ingest_total_rows")
-        )
+        """Rows ingested at the trip grain (the manifest of the grain file)."""
+        grain = self.source_paths((tables.TRIP_GRAIN_TABLE,))
+        return ingest_manifest(self.spark, grain).agg(F.sum("rows").alias("ingest_total_rows"))
 
     @cached_property
     def step_counts(self) -> DataFrame:
@@ -186,18 +185,22 @@ class Pipeline:
     def overlay(self) -> DataFrame:
         return views.anomaly_overlay(self.flags)
 
-    def view_frames(self) -> dict[str, DataFrame]:
+    def view_builders(self) -> dict:
         return {
-            "vw_daily_kpis": self.kpis,
-            "vw_monthly_trend": self.trend,
-            "vw_zone_leaderboard": self.leaderboard,
-            "vw_borough_share": views.borough_share(self.daily),
-            "vw_hourly_demand": self.demand,
-            "vw_anomaly_overlay": self.overlay,
-            "vw_zone_weekly_cohort": views.zone_weekly_cohort(self.daily),
-            "vw_data_quality": views.data_quality(self.checks),
+            "vw_daily_kpis": lambda: self.kpis,
+            "vw_monthly_trend": lambda: self.trend,
+            "vw_zone_leaderboard": lambda: self.leaderboard,
+            "vw_borough_share": lambda: views.borough_share(self.daily),
+            "vw_hourly_demand": lambda: self.demand,
+            "vw_anomaly_overlay": lambda: self.overlay,
+            "vw_zone_weekly_cohort": lambda: views.zone_weekly_cohort(self.daily),
+            "vw_data_quality": lambda: views.data_quality(self.checks),
         }
 
-    def register_views(self) -> None:
-        for name, df in self.view_frames().items():
-            views.ordered(name, df).createOrReplaceTempView(name)
+    def register_views(self, names=None) -> list[str]:
+        """Create the curated temp views (all, or only ``names``)."""
+        builders = self.view_builders()
+        chosen = list(builders) if names is None else [n for n in builders if n in set(names)]
+        for name in chosen:
+            views.ordered(name, builders[name]()).createOrReplaceTempView(name)
+        return chosen
