@@ -51,13 +51,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when it is unset (local runs, tests) a fresh folder is
     created and registered.
     """
-    current = None
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # Spark Connect has no SparkContext
-        current = None
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect has no SparkContext
+            current = None
     if not current:
         current = tempfile.mkdtemp(prefix="tripline-ckpt-")
         try:
