@@ -76,6 +76,10 @@ def test_ingest_manifest_counts_rows_per_file(spark, tmp_dir):
     out = files.ingest_manifest(spark, [a, b]).collect()
     assert sorted(r.rows for r in out) == [2, 3]
     assert not any(r.in_bounds for r in out)
+    assert sorted(r.warning.split(": ")[1] for r in out) == [
+        "row count 2 outside expected sanity range", "row count 3 outside expected sanity range"
+    ]
+    assert files.assert_ingested(files.ingest_manifest(spark, [a, b])) == 5
     sizes = files.file_sizes(spark, [f"{a}/*.parquet"]).collect()
     assert sizes and sizes[0].bytes > 0
 

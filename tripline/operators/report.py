@@ -94,9 +94,11 @@ def summary(
     checks: DataFrame,
     scored: DataFrame,
     origin: str,
+    layout_report: DataFrame | None = None,
 ) -> DataFrame:
     """Headline numbers as one row.  Each input contributes a one-row
-    aggregate; they are combined by union + one global aggregate (no join)."""
+    aggregate; they are combined by union + one global aggregate (no join).
+    The layout benchmark's reduction and speed-up are NULL without a report."""
     totals = daily_zone.agg(
         F.min("pickup_date").alias("date_from"),
         F.max("pickup_date").alias("date_to"),
@@ -110,6 +112,7 @@ def summary(
         "raw_rows_read": "bigint", "final_cleaned_rows": "bigint",
         "invalid_rows_dropped": "bigint", "duplicate_rows_dropped": "bigint",
         "checks_passed": "bigint", "checks_total": "bigint", "anomalies_flagged": "bigint",
+        "bytes_scanned_reduction_pct": "double", "wall_clock_speedup_x": "double",
     }
 
     def shaped(df: DataFrame) -> DataFrame:
@@ -130,11 +133,15 @@ def summary(
     )
     an = scored.agg(F.count_if("is_anomalous").alias("anomalies_flagged"))
     bag = shaped(totals).unionByName(shaped(steps)).unionByName(shaped(dq)).unionByName(shaped(an))
+    if layout_report is not None:
+        bag = bag.unionByName(shaped(layout_report))
     row = bag.agg(*[F.max(c).alias(c) for c in bag_cols])
     trips, rev = F.col("total_trips"), F.col("total_revenue")
     raw = F.col("raw_rows_read")
     return row.select(
-        *bag_cols,
+        *[c for c in bag_cols if c not in ("bytes_scanned_reduction_pct", "wall_clock_speedup_x")],
         F.when(trips > 0, rev / trips.cast("double")).otherwise(F.lit(0.0)).alias("avg_revenue_per_trip"),
         F.when(raw > 0, F.col("final_cleaned_rows") * 100.0 / raw.cast("double")).alias("clean_rate_pct"),
+        "bytes_scanned_reduction_pct",
+        "wall_clock_speedup_x",
     )

@@ -369,11 +369,13 @@ SELECT CAST(s_suppkey AS BIGINT), s_name, CAST(s_nationkey AS BIGINT), CAST(s_ac
     q["src_partition_roundtrip"] = _with(
         "SELECT year_month, COUNT(*) AS rows FROM trips GROUP BY year_month"
     )
-    q["ingest_manifest"] = "\nUNION ALL ".join(
-        f"SELECT '{t}.parquet' AS file_name, COUNT(*) AS rows, "
-        f"COUNT(*) BETWEEN 500000 AND 10000000 AS in_bounds FROM {t}"
-        for t in ("lineitem", "orders", "customer", "supplier")
-    )
+    q["ingest_manifest"] = "SELECT *, CASE WHEN NOT in_bounds THEN file_name || ': row count ' || " \
+        "format('{:,}', rows) || ' outside expected sanity range' END AS warning FROM (" + \
+        "\nUNION ALL ".join(
+            f"SELECT '{t}.parquet' AS file_name, COUNT(*) AS rows, "
+            f"COUNT(*) BETWEEN 500000 AND 10000000 AS in_bounds FROM {t}"
+            for t in ("lineitem", "orders", "customer", "supplier")
+        ) + ")"
     # cleaning
     q["clean_trips"] = _with(f"SELECT * REPLACE ({_d('total_amount')} AS total_amount) FROM cleaned")
     q["clean_reject_profile"] = _reject_profile()
@@ -511,7 +513,8 @@ FROM checks""",
   CASE WHEN s.total_trips > 0 THEN s.total_revenue / CAST(s.total_trips AS DOUBLE) ELSE 0.0 END
     AS avg_revenue_per_trip,
   CASE WHEN st.raw_rows_read > 0 THEN CAST(st.final_cleaned_rows AS DOUBLE) * CAST(100 AS DOUBLE)
-    / CAST(st.raw_rows_read AS DOUBLE) END AS clean_rate_pct
+    / CAST(st.raw_rows_read AS DOUBLE) END AS clean_rate_pct,
+  CAST(NULL AS DOUBLE) AS bytes_scanned_reduction_pct, CAST(NULL AS DOUBLE) AS wall_clock_speedup_x
 FROM (SELECT MIN(pickup_date) AS date_from, MAX(pickup_date) AS date_to,
         CAST(SUM(trip_count) AS BIGINT) AS total_trips, {_d('SUM(total_revenue)')} AS total_revenue,
         COUNT(DISTINCT {M.origin}) AS distinct_pickup_zones FROM daily) s,
