@@ -96,3 +96,31 @@ def test_anomaly_job_writes_flags_and_report(job, tmp_dir):
     assert lines[0] == "# Anomaly Detection Report"
     assert lines[4].startswith("Total (grain, metric, date) points scored: ")
     assert lines[7] == "| Date | Grain | Metric | Value | Rolling Mean | Z-score |"
+
+
+def test_cli_stages_end_to_end(spark, tmp_dir):
+    from tests.helpers import zone_frame as _zf  # noqa: F401
+    from tripline import cli
+
+    raw_dir = f"{tmp_dir}/raw"
+    for m, n in ((1, 12), (2, 9)):
+        taxi_frame(spark, month_rows(m, n)).coalesce(1).write.parquet(
+            f"{raw_dir}/yellow_tripdata_2023-0{m}.parquet"
+        )
+    zones_csv = f"{tmp_dir}/zones.csv"
+    with open(zones_csv, "w") as fh:
+        fh.write("LocationID,Borough,Zone,service_zone\n1,EWR,Newark Airport,EWR\n")
+        fh.write("132,Queens,JFK Airport,Airports\n236,Manhattan,Upper East Side North,Yellow Zone\n")
+    out, glob_ = f"{tmp_dir}/processed", f"{raw_dir}/yellow_tripdata_*.parquet"
+    manifest = cli.main(["etl", "--raw", glob_, "--zones", zones_csv, "--out", out], spark)
+    assert manifest["steps"]["final_cleaned_rows"] == 21
+    rows = cli.main(["validate", "--raw", glob_, "--out", out, "--report", f"{tmp_dir}/val"], spark)
+    assert len(rows) == 14
+    cli.main(["anomaly", "--out", out], spark)
+    df = cli.main(["ask", "--out", out, "--checks", f"{tmp_dir}/val",
+                   "SELECT name, passed FROM vw_data_quality"], spark)
+    assert df.count() == 14
+    row = cli.main(["layout", "--out", out, "--zone", "132", "--start", "2023-01-01",
+                    "--end", "2023-01-31"], spark)
+    assert row["clustered_files"] <= row["naive_files"] + 1
+    assert len(cli.main(["self-test"], spark)) == 3

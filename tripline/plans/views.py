@@ -134,6 +134,24 @@ def data_quality(checks: DataFrame) -> DataFrame:
     return checks.select("name", "severity", "passed", "detail")
 
 
+def register_stored(daily: DataFrame, hourly: DataFrame, flags: DataFrame,
+                    checks: DataFrame) -> list[str]:
+    """Create the eight temp views over stored tables (the ETL outputs)."""
+    frames = {
+        "vw_daily_kpis": daily_kpis(daily),
+        "vw_monthly_trend": monthly_trend(daily),
+        "vw_zone_leaderboard": zone_leaderboard(daily),
+        "vw_borough_share": borough_share(daily),
+        "vw_hourly_demand": hourly_demand(hourly),
+        "vw_anomaly_overlay": anomaly_overlay(flags),
+        "vw_zone_weekly_cohort": zone_weekly_cohort(daily),
+        "vw_data_quality": data_quality(checks),
+    }
+    for name, df in frames.items():
+        ordered(name, df).createOrReplaceTempView(name)
+    return list(frames)
+
+
 def ordered(view_name: str, df: DataFrame) -> DataFrame:
     """The ORDER BY each view declares (applied on results only)."""
     orders = {
