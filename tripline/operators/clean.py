@@ -30,8 +30,10 @@ def rules(df: DataFrame, model: TripModel) -> list[tuple[str, Column]]:
     lo, hi = model.zone_range
 
     def positive(name: str) -> Column:
+        # NULL > 0 is NULL, which rejects the row: no separate IS NOT NULL
+        # (it would evaluate a computed column once more per row)
         c = F.col(name)
-        return c.isNotNull() & (c > 0) & _not_nan(df, name)
+        return (c > 0) & _not_nan(df, name)
 
     def bounded(name: str, upper: float) -> Column:
         return positive(name) & (F.col(name) <= upper)
