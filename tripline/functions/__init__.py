@@ -7,6 +7,8 @@ exact DECIMAL sum divided once, in double, by the count.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -86,3 +88,16 @@ def fmt_count(c: Column | str) -> Column:
 def fmt_pct(ratio: Column, decimals: int) -> Column:
     """ratio -> percent text with a fixed number of decimals ('1.2500')."""
     return F.format_string(f"%.{decimals}f", F.round(ratio * 100.0, decimals))
+
+
+def fill(template: str, **parts) -> Column:
+    """Fill a ``{name}`` text template with Columns or plain values, as one
+    concat expression (NULL if any Column part is NULL)."""
+    pieces = []
+    for literal, field, _, _ in string.Formatter().parse(template):
+        if literal:
+            pieces.append(F.lit(literal))
+        if field is not None:
+            v = parts[field]
+            pieces.append(v if isinstance(v, Column) else F.lit(str(v)))
+    return F.concat(*pieces) if pieces else F.lit("")

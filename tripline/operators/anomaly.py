@@ -19,11 +19,24 @@ from pyspark.sql.types import DecimalType
 
 from tripline.functions import MONEY_SCALE, WIDE_INT
 
-# Fixed values of the method.
+# Fixed values of the method and of its text report.
 ROLLING_WINDOW_OCCURRENCES = 6
 MIN_PERIODS = 3
 Z_THRESHOLD = 3.0
 METRICS = ("trip_count", "total_revenue")
+REPORT_HEADER = (
+    "# Anomaly Detection Report",
+    "",
+    "Method: weekday-adjusted rolling z-score "
+    "(window={window} same-weekday occurrences, threshold=|z|>={threshold}).",
+    "",
+    "Total (grain, metric, date) points scored: {scored}",
+    "Flagged anomalies: {flagged}",
+    "",
+    "| Date | Grain | Metric | Value | Rolling Mean | Z-score |",
+    "|---|---|---|---|---|---|",
+)
+REPORT_ROW = "| %s | %s | %s | %.0f | %.0f | %.2f |"
 
 VALUE = DecimalType(38, 4)
 
@@ -102,7 +115,7 @@ def report_lines(top: DataFrame) -> DataFrame:
     return top.select(
         "pickup_date", "grain", "metric", "value", "rolling_mean", "z_score",
         F.format_string(
-            "| %s | %s | %s | %.0f | %.0f | %.2f |",
+            REPORT_ROW,
             F.col("pickup_date").cast("string"),
             F.col("grain"),
             F.col("metric"),

@@ -23,6 +23,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from tripline.functions import fill
 from tripline.model import TripModel
 from tripline.operators import aggregates, anomaly, clean, enrich, quality
 from tripline.sources.files import read_json_report, read_partitioned, write_partitioned
@@ -200,42 +201,26 @@ def write_anomaly_report(flags: DataFrame, path: str, top_n: int = 50) -> None:
     """Markdown report: method line, totals, then the top |z| points.  The
     text is built from one aggregate row and at most ``top_n`` point rows."""
     counts = anomaly.flag_counts(flags)
+    parts = {
+        "window": anomaly.ROLLING_WINDOW_OCCURRENCES,
+        "threshold": anomaly.Z_THRESHOLD,
+        "scored": F.format_number("points_scored", 0),
+        "flagged": F.format_number("points_flagged", 0),
+    }
     head = counts.select(
         F.inline(
             F.array(
-                F.struct(F.lit(0).alias("seq"), F.lit("# Anomaly Detection Report").alias("value")),
-                F.struct(F.lit(1).alias("seq"), F.lit("").alias("value")),
-                F.struct(
-                    F.lit(2).alias("seq"),
-                    F.lit(
-                        "Method: weekday-adjusted rolling z-score (window="
-                        f"{anomaly.ROLLING_WINDOW_OCCURRENCES} same-weekday occurrences, "
-                        f"threshold=|z|>={anomaly.Z_THRESHOLD})."
-                    ).alias("value"),
-                ),
-                F.struct(F.lit(3).alias("seq"), F.lit("").alias("value")),
-                F.struct(
-                    F.lit(4).alias("seq"),
-                    F.concat(F.lit("Total (grain, metric, date) points scored: "),
-                             F.format_number("points_scored", 0)).alias("value"),
-                ),
-                F.struct(
-                    F.lit(5).alias("seq"),
-                    F.concat(F.lit("Flagged anomalies: "),
-                             F.format_number("points_flagged", 0)).alias("value"),
-                ),
-                F.struct(F.lit(6).alias("seq"), F.lit("").alias("value")),
-                F.struct(
-                    F.lit(7).alias("seq"),
-                    F.lit("| Date | Grain | Metric | Value | Rolling Mean | Z-score |").alias("value"),
-                ),
-                F.struct(F.lit(8).alias("seq"), F.lit("|---|---|---|---|---|---|").alias("value")),
+                *[
+                    F.struct(F.lit(i).alias("seq"), fill(line, **parts).alias("value"))
+                    for i, line in enumerate(anomaly.REPORT_HEADER)
+                ]
             )
         )
     )
     top = anomaly.top_by_abs_z(flags, top_n)
     order = [F.abs("z_score").desc(), "pickup_date", "grain", "metric"]
     lines = anomaly.report_lines(top).select(
-        (F.lit(100) + F.row_number().over(Window.orderBy(*order))).alias("seq"), F.col("line").alias("value")
+        (F.lit(len(anomaly.REPORT_HEADER)) + F.row_number().over(Window.orderBy(*order))).alias("seq"),
+        F.col("line").alias("value"),
     )
     head.unionByName(lines).orderBy("seq").coalesce(1).select("value").write.mode("overwrite").text(path)

@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 
+# Fixed value: text of a drift message.
+DRIFT_MESSAGE = "{file}: missing column '{column}' (filled null)"
+
+
 def file_schemas(spark: SparkSession, paths: list[str]) -> "OrderedDict[str, list[str]]":
     """Group paths by physical schema (footer read, no data)."""
     groups: "OrderedDict[str, list[str]]" = OrderedDict()
@@ -77,4 +81,4 @@ def drift_frame(spark: SparkSession, drift: list[tuple[str, str]]) -> DataFrame:
 
 
 def drift_messages(drift: list[tuple[str, str]]) -> list[str]:
-    return [f"{f}: missing column '{c}' (filled null)" for f, c in drift]
+    return [DRIFT_MESSAGE.format(file=f, column=c) for f, c in drift]
