@@ -31,36 +31,38 @@ def attach_zones(trips: DataFrame, zones: DataFrame, model: TripModel,
     return trips.join(pickup, model.origin, "left").join(dropoff, model.dest, "left")
 
 
+def _metric_columns(model: TripModel) -> dict:
+    minutes = duration_seconds(model) / 60.0
+    return {
+        "trip_duration_min": minutes,
+        "avg_speed_mph": F.round(F.try_divide(F.col(model.distance), minutes / 60.0), 2),
+        "revenue_per_mile": F.round(F.try_divide(F.col(model.total), F.col(model.distance)), 2),
+    }
+
+
+def _calendar_columns(model: TripModel) -> dict:
+    start = F.col(model.start)
+    return {
+        "pickup_date": F.to_date(start),
+        "pickup_hour": F.hour(start),
+        "pickup_dow": weekday_name(start),
+        "year_month": F.date_format(start, "yyyy-MM"),
+    }
+
+
 def derive_metrics(trips: DataFrame, model: TripModel) -> DataFrame:
     """trip_duration_min (unrounded), avg_speed_mph and revenue_per_mile
     (rounded to 2, NULL instead of a division by zero)."""
-    minutes = duration_seconds(model) / 60.0
-    return trips.withColumn("trip_duration_min", minutes).withColumns(
-        {
-            "avg_speed_mph": F.round(
-                F.try_divide(F.col(model.distance), F.col("trip_duration_min") / 60.0), 2
-            ),
-            "revenue_per_mile": F.round(
-                F.try_divide(F.col(model.total), F.col(model.distance)), 2
-            ),
-        }
-    )
+    return trips.withColumns(_metric_columns(model))
 
 
 def derive_calendar(trips: DataFrame, model: TripModel) -> DataFrame:
-    start = F.col(model.start)
-    return trips.withColumns(
-        {
-            "pickup_date": F.to_date(start),
-            "pickup_hour": F.hour(start),
-            "pickup_dow": weekday_name(start),
-            "year_month": F.date_format(start, "yyyy-MM"),
-        }
-    )
+    return trips.withColumns(_calendar_columns(model))
 
 
 def enrich(trips: DataFrame, zones: DataFrame, model: TripModel,
            proof_key: tuple | None = None) -> DataFrame:
-    return derive_calendar(
-        derive_metrics(attach_zones(trips, zones, model, proof_key), model), model
+    # metrics and calendar columns in one projection
+    return attach_zones(trips, zones, model, proof_key).withColumns(
+        {**_metric_columns(model), **_calendar_columns(model)}
     )

@@ -54,6 +54,8 @@ _REGISTRY: dict[str, QueryFn] = {}
 
 def present(df: DataFrame) -> DataFrame:
     """Cast DECIMAL result columns to double."""
+    if not any(isinstance(f.dataType, DecimalType) for f in df.schema.fields):
+        return df
     return df.select(
         *[
             F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)

@@ -68,17 +68,13 @@ def file_identity(sf_dir: str, names: tuple[str, ...]) -> tuple | None:
 def order_trips(spark: SparkSession, sf_dir: str, with_copies: bool = False) -> DataFrame:
     """Raw trip rows.  ``with_copies`` appends an exact copy of every
     lineitem with l_linenumber = 1, giving whole-row duplicates to remove."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_shipdate",
-    )
+    # No per-table projections: column pruning reaches every scan anyway.
+    li = read_table(spark, sf_dir, "lineitem")
     if with_copies:
         li = li.unionByName(li.filter(F.col("l_linenumber") == 1))
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    )
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    orders = read_table(spark, sf_dir, "orders")
+    customer = read_table(spark, sf_dir, "customer")
+    supplier = read_table(spark, sf_dir, "supplier")
     # Join order and strategy are Catalyst's: the cleaning filter placed on top
     # is split and pushed into each scan; AQE sizes the joins at run time.
     joined = (
