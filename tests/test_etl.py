@@ -99,7 +99,6 @@ def test_anomaly_job_writes_flags_and_report(job, tmp_dir):
 
 
 def test_cli_stages_end_to_end(spark, tmp_dir):
-    from tests.helpers import zone_frame as _zf  # noqa: F401
     from tripline import cli
 
     raw_dir = f"{tmp_dir}/raw"
