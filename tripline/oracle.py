@@ -258,7 +258,7 @@ def _checks_ctes() -> list[str]:
     ranges = []
     for c, (lo, hi) in ((M.fare, M.fare_range), (M.distance, M.distance_range)):
         ranges.append(f"COUNT(*) FILTER (WHERE {c} < {lo}) AS \"below:{c}\"")
-        ranges.append(f"COUNT(*) FILTER (WHERE {c} > {hi}) AS \"above:{c}\"")
+        ranges.append(f"COUNT(*) FILTER (WHERE {c} > {hi} AND NOT isnan({c})) AS \"above:{c}\"")
     keys = ", ".join(M.natural_key)
     bag = f"""bag AS (
   SELECT t.*, k.key_groups, dd.daily_trip_sum, hh.hourly_trip_sum, i.ingest_total_rows,
