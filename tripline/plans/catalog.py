@@ -87,8 +87,12 @@ def _stored(spark, sf_dir, **kw) -> Pipeline:
     return Pipeline(spark, sf_dir, store_trips=True, **kw)
 
 
-def _checks_named(spark, sf_dir, pattern: str) -> DataFrame:
-    return _stored(spark, sf_dir).checks.filter(F.col("name").rlike(pattern))
+def _checks_of(spark, sf_dir, *families: str) -> DataFrame:
+    """One check family.  Families that need a single pass over the trips run
+    on the lazy pipeline; those with several branches read stored trips."""
+    multi = {"reconcile", "duplicate"} & set(families)
+    p = _stored(spark, sf_dir) if multi else Pipeline(spark, sf_dir)
+    return p.checks_of(families)
 
 
 # --- sources ---------------------------------------------------------------------
@@ -271,27 +275,27 @@ def anomaly_counts(spark, sf_dir):
 
 @query("dq_null_rate")
 def dq_null_rate(spark, sf_dir):
-    return _checks_named(spark, sf_dir, r"^null_rate\[")
+    return _checks_of(spark, sf_dir, "null")
 
 
 @query("dq_value_range")
 def dq_value_range(spark, sf_dir):
-    return _checks_named(spark, sf_dir, r"^value_range\[")
+    return _checks_of(spark, sf_dir, "range")
 
 
 @query("dq_schema")
 def dq_schema(spark, sf_dir):
-    return _checks_named(spark, sf_dir, r"^(schema_drift|etl_schema_drift)$")
+    return _checks_of(spark, sf_dir, "schema", "drift")
 
 
 @query("dq_duplicate_keys")
 def dq_duplicate_keys(spark, sf_dir):
-    return _checks_named(spark, sf_dir, r"^duplicate_rows$")
+    return _checks_of(spark, sf_dir, "duplicate")
 
 
 @query("dq_reconcile")
 def dq_reconcile(spark, sf_dir):
-    return _checks_named(spark, sf_dir, r"^row_count_reconciliation\[")
+    return _checks_of(spark, sf_dir, "reconcile")
 
 
 @query("dq_results")

@@ -198,8 +198,13 @@ class Pipeline:
 
     @cached_property
     def checks(self) -> DataFrame:
+        return self.checks_of(quality.FAMILIES)
+
+    def checks_of(self, families) -> DataFrame:
+        """Only the chosen check families (and only the counts they need)."""
         return quality.run_checks(
-            self.trips, self.daily, self.hourly, self.check_inputs, self.model, drift_messages=[]
+            self.trips, self.daily, self.hourly, self.check_inputs, self.model,
+            drift_messages=[], families=families,
         )
 
     # --- views ----------------------------------------------------------------
