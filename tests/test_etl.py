@@ -27,7 +27,7 @@ def month_rows(month, n):
 def job(spark, tmp_dir):
     paths = []
     for m, n in ((1, 30), (2, 20)):
-        p = f"{tmp_dir}/raw/yellow_tripdata_2023-0{m}.parquet"
+        p = f"{tmp_dir}/raw/trips_2023-0{m}.parquet"
         rows = month_rows(m, n) + [taxi_row(fare_amount=-1.0)]  # one invalid row per month
         if m == 2:
             rows.append(rows[0])  # one exact duplicate
@@ -104,13 +104,13 @@ def test_cli_stages_end_to_end(spark, tmp_dir):
     raw_dir = f"{tmp_dir}/raw"
     for m, n in ((1, 12), (2, 9)):
         taxi_frame(spark, month_rows(m, n)).coalesce(1).write.parquet(
-            f"{raw_dir}/yellow_tripdata_2023-0{m}.parquet"
+            f"{raw_dir}/trips_2023-0{m}.parquet"
         )
     zones_csv = f"{tmp_dir}/zones.csv"
     with open(zones_csv, "w") as fh:
         fh.write("LocationID,Borough,Zone,service_zone\n1,EWR,Newark Airport,EWR\n")
         fh.write("132,Queens,JFK Airport,Airports\n236,Manhattan,Upper East Side North,Yellow Zone\n")
-    out, glob_ = f"{tmp_dir}/processed", f"{raw_dir}/yellow_tripdata_*.parquet"
+    out, glob_ = f"{tmp_dir}/processed", f"{raw_dir}/trips_*.parquet"
     manifest = cli.main(["etl", "--raw", glob_, "--zones", zones_csv, "--out", out], spark)
     assert manifest["steps"]["final_cleaned_rows"] == 21
     rows = cli.main(["validate", "--raw", glob_, "--out", out, "--report", f"{tmp_dir}/val"], spark)

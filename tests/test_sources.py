@@ -18,7 +18,7 @@ def write_month(spark, path, rows, vendor_type="bigint", rename=None, drop=()):
 
 
 def test_drift_reader_aligns_types_aliases_and_missing(spark, tmp_dir):
-    a, b, c = (f"{tmp_dir}/yellow_2023-0{i}.parquet" for i in (1, 2, 3))
+    a, b, c = (f"{tmp_dir}/trips_2023-0{i}.parquet" for i in (1, 2, 3))
     write_month(spark, a, [taxi_row()], vendor_type="int", rename={"airport_fee": "Airport_fee"})
     write_month(spark, b, [taxi_row(), taxi_row(VendorID=2)], drop=("congestion_surcharge",))
     write_month(spark, c, [taxi_row(VendorID=3)], vendor_type="int", rename={"airport_fee": "Airport_fee"})
@@ -29,16 +29,16 @@ def test_drift_reader_aligns_types_aliases_and_missing(spark, tmp_dir):
     assert dict(df.dtypes)["VendorID"] == "bigint"
     assert [n for n, _ in TAXI_CANONICAL] == df.columns
     assert df.filter("airport_fee IS NULL").count() == 0  # alias resolved
-    assert missing == [("yellow_2023-02.parquet", "congestion_surcharge")]
+    assert missing == [("trips_2023-02.parquet", "congestion_surcharge")]
     assert drift.drift_messages(missing) == [
-        "yellow_2023-02.parquet: missing column 'congestion_surcharge' (filled null)"
+        "trips_2023-02.parquet: missing column 'congestion_surcharge' (filled null)"
     ]
     assert drift.drift_frame(spark, missing).count() == 1
 
 
 def test_empty_input_is_rejected(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
-        files.select_files(f"{tmp_dir}/yellow_*.parquet")
+        files.select_files(f"{tmp_dir}/trips_*.parquet")
     with pytest.raises(ValueError):
         drift.read_aligned(spark, [], TAXI_CANONICAL)
 

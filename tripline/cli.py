@@ -1,7 +1,7 @@
 """Command line for the batch stages over real trip files.
 
-    python -m tripline.cli etl      --raw 'data/raw/yellow_tripdata_*.parquet' \\
-                                    --zones data/raw/taxi_zone_lookup.csv --out data/processed
+    python -m tripline.cli etl      --raw 'data/raw/trips_*.parquet' \\
+                                    --zones data/raw/zones.csv --out data/processed
     python -m tripline.cli validate --raw '...' --out data/processed --report reports/validation
     python -m tripline.cli anomaly  --out data/processed --report reports/anomaly_report
     python -m tripline.cli ask      --out data/processed --checks reports/validation "SELECT ..."
