@@ -36,6 +36,20 @@ def test_drift_reader_aligns_types_aliases_and_missing(spark, tmp_dir):
     assert drift.drift_frame(spark, missing).count() == 1
 
 
+def test_distributed_footer_grouping(spark, tmp_dir):
+    import glob
+
+    dirs = [f"{tmp_dir}/m{i}" for i in range(3)]
+    write_month(spark, dirs[0], [taxi_row()], vendor_type="int")
+    write_month(spark, dirs[1], [taxi_row(), taxi_row(VendorID=2)])
+    write_month(spark, dirs[2], [taxi_row(VendorID=3)], vendor_type="int")
+    files_ = [glob.glob(f"{d}/*.parquet")[0] for d in dirs]
+    groups = drift.file_schemas(spark, files_, threshold=0)  # force the Spark job
+    assert sorted(len(g) for g in groups.values()) == [1, 2]
+    df, missing = drift.read_aligned(spark, files_, TAXI_CANONICAL, TAXI_ALIASES, footer_scan_threshold=0)
+    assert df.count() == 4 and missing == []
+
+
 def test_empty_input_is_rejected(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         files.select_files(f"{tmp_dir}/trips_*.parquet")

@@ -22,12 +22,51 @@ from pyspark.sql.types import DataType, StringType, StructField, StructType
 DRIFT_MESSAGE = "{file}: missing column '{column}' (filled null)"
 
 
-def file_schemas(spark: SparkSession, paths: list[str]) -> "OrderedDict[str, list[str]]":
-    """Group paths by physical schema (footer read, no data)."""
+# Above this many files, footers are read by Spark tasks instead of the driver.
+FOOTER_SCAN_THRESHOLD = 64
+
+
+def _read_footers(batches):
+    """mapInPandas body: physical schema of each file, from its footer only."""
+    import pandas as pd
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        keys = []
+        for path in pdf["path"]:
+            if "://" in path and not path.startswith("file:"):
+                filesystem, rel = pafs.FileSystem.from_uri(path)
+            else:
+                filesystem, rel = None, path.removeprefix("file:")
+            schema = pq.read_schema(rel, filesystem=filesystem)
+            keys.append(", ".join(f"{f.name}:{f.type}" for f in schema))
+        yield pd.DataFrame({"path": list(pdf["path"]), "schema_key": keys})
+
+
+def file_schemas(spark: SparkSession, paths: list[str],
+                 threshold: int = FOOTER_SCAN_THRESHOLD) -> "OrderedDict[str, list[str]]":
+    """Group paths by physical schema (footer reads, no data).
+
+    Few files: the driver asks Spark for each file's schema.  Many files: a
+    Spark job reads the footers in parallel (Arrow, footer only) and only the
+    (schema -> paths) groups come back."""
     groups: "OrderedDict[str, list[str]]" = OrderedDict()
-    for p in sorted(paths):
-        key = spark.read.parquet(p).schema.json()
-        groups.setdefault(key, []).append(p)
+    if len(paths) <= threshold:
+        for p in sorted(paths):
+            key = spark.read.parquet(p).schema.json()
+            groups.setdefault(key, []).append(p)
+        return groups
+    listing = spark.createDataFrame([(p,) for p in paths], "path string")
+    listing = listing.repartition(max(1, min(len(paths) // 16, 512)))
+    rows = (
+        listing.mapInPandas(_read_footers, "path string, schema_key string")
+        .groupBy("schema_key")
+        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        .collect()
+    )
+    for r in sorted(rows, key=lambda r: r.paths[0]):
+        groups[r.schema_key] = list(r.paths)
     return groups
 
 
@@ -45,6 +84,7 @@ def read_aligned(
     paths: list[str],
     canonical: list[tuple[str, DataType]],
     aliases: dict[str, tuple[str, ...]] | None = None,
+    footer_scan_threshold: int = FOOTER_SCAN_THRESHOLD,
 ) -> tuple[DataFrame, list[tuple[str, str]]]:
     """Read ``paths`` into one DataFrame with the canonical schema.
 
@@ -55,7 +95,7 @@ def read_aligned(
         raise ValueError("no input files")
     aliases = aliases or {}
     frames, drift = [], []
-    for _, group in file_schemas(spark, paths).items():
+    for _, group in file_schemas(spark, paths, footer_scan_threshold).items():
         raw = spark.read.parquet(*group)
         cols = []
         for name, dtype in canonical:
