@@ -166,7 +166,7 @@ class Pipeline:
         wide = self._bag(
             {
                 "ingest": self.ingest_rows,
-                "raw": clean.raw_counts(self.raw, self.model),
+                "raw": self.raw_counts,
                 "final": self.trips.agg(F.count(F.lit(1)).alias("final_cleaned_rows")),
                 "daily": self.daily.agg(F.count(F.lit(1)).alias("daily_zone_agg_rows")),
                 "hourly": self.hourly.agg(F.count(F.lit(1)).alias("hourly_profile_rows")),
@@ -188,10 +188,16 @@ class Pipeline:
         wide = self.step_counts
         return wide.unpivot([], wide.columns, "name", "value")
 
+    @cached_property
+    def raw_counts(self) -> DataFrame:
+        """Rows read and rows valid, one pass over the raw input (one plan,
+        so step counts and checks in the same query reuse its shuffle)."""
+        return self._shared("raw_counts", lambda: clean.raw_counts(self.raw, self.model))
+
     @cached_property
     def check_inputs(self) -> DataFrame:
         """The two counts the checks take from outside the trip table."""
-        raw = self.raw.agg(F.count(F.lit(1)).alias("raw_rows_read"))
+        raw = self.raw_counts.select("raw_rows_read")
         return self._bag({"ingest": self.ingest_rows, "raw": raw}).unpivot(
             [], ["ingest_total_rows", "raw_rows_read"], "name", "value"
         )
