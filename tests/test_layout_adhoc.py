@@ -35,6 +35,18 @@ def test_clustered_and_plain_answer_the_same(spark, trips, tmp_dir):
     assert "PartitionFilters: [isnotnull(year_month" in plan
 
 
+def test_day_partitions_prune_on_the_date(spark, trips, tmp_dir):
+    d, p = f"{tmp_dir}/by_day", f"{tmp_dir}/plain"
+    layout.write_clustered(trips, d, M, partition_col="pickup_date")
+    layout.write_plain(trips, p)
+    table = spark.read.parquet(d)
+    assert dict(table.dtypes)["pickup_date"] == "date"
+    a = layout.zone_period_query(table, M, 132, "2023-07-01", "2023-07-31", "pickup_date")
+    b = layout.zone_period_query(spark.read.parquet(p), M, 132, "2023-07-01", "2023-07-31", None)
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert "PartitionFilters: [isnotnull(pickup_date" in plan_text(a)
+
+
 def test_benchmark_reports_less_data_scanned(spark, trips, tmp_dir):
     c, p = f"{tmp_dir}/clustered", f"{tmp_dir}/plain"
     layout.write_clustered(trips, c, M)
