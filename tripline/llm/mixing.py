@@ -10,7 +10,8 @@
 3. The quotas (blocks of each source) are split among the output shards by a binary tree: at each node
    the left half draws its number of blocks from the node's blocks without replacement, so the shards'
    shares of each source are exact draws and add up to the quotas.  A shard takes the next blocks of
-   each source's permutation, so shards are disjoint, and shuffles its rows by hash.
+   each source's permutation, so shards are disjoint, and shuffles its rows by hash.  The few rows at
+   the end of a partial pass go to shards by hash.
 
 Defined cases: null text has size 0; null source is a source of its own, the last; a source without
 words has target 0 and gives nothing; equal rows lie in one block and are interchangeable; an empty
@@ -108,7 +109,7 @@ def mix_plan(documents: DataFrame, shards: int = 8, seed: int = 1, weights=WEIGH
         .withColumn("nearer", F.sum(F.when(~F.col("whole"), F.col("rows"))).over(ahead) - F.col("rows"))
         .withColumn("partial", F.when(F.col("whole"), "whole").when((F.col("left") > 0) & (F.col("nearer") < END_ROWS), "end").otherwise("none"))
     )
-    quotas = blocks.groupBy("source").agg((F.max("passes") * F.max("n_blocks") + F.count_if(F.col("partial") != "none")).alias("quota"))
+    quotas = blocks.groupBy("source").agg((F.max("passes") * F.max("n_blocks") + F.count_if(F.col("partial") == "whole")).alias("quota"))
 
     def draw(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(last=rows["source"].isna()).sort_values(["last", "source"], na_position="last")
@@ -120,7 +121,8 @@ def mix_plan(documents: DataFrame, shards: int = 8, seed: int = 1, weights=WEIGH
     # one row for each source
     ends = quotas.groupBy(F.lit(1).alias("one")).applyInPandas(lambda rows: draw(rows), f"source {kind}, ends array<long>")
     blocks = blocks.join(ends.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    copies = F.when(F.col("passes") + (F.col("partial") != "none").cast("long") > 0, F.sequence(F.lit(0).cast("long"), F.col("passes") - (F.col("partial") == "none").cast("long")))
+    passes = F.col("passes") + (F.col("partial") == "whole").cast("long")
+    copies = F.when(passes > 0, F.sequence(F.lit(0).cast("long"), passes - 1))
     shard_of = F.transform(copies, lambda p: F.size(F.filter("ends", lambda e: e <= p * F.col("n_blocks") + F.col("rank"))))
     blocks = blocks.select(
         F.col("source").alias("__s"), F.col("__block").alias("__b"), "source_size", "target", "partial", "left", F.coalesce(shard_of, F.array().cast("array<int>")).alias("all_places")
@@ -138,8 +140,8 @@ def mix_plan(documents: DataFrame, shards: int = 8, seed: int = 1, weights=WEIGH
     turned = (F.row_number().over(Window.partitionBy("source").orderBy(off, "__order", "doc_id")) == 1) & (off < F.abs("__rest"))
     ending = ending.withColumn("__kept", kept != turned)
     kept = F.col("__kept")
-    dropped_last = F.slice("all_places", 1, F.greatest(F.size("all_places") - 1, F.lit(0)))
-    ending = ending.withColumn("places", F.when(kept, F.col("all_places")).otherwise(dropped_last))
+    by_hash = F.array_append("all_places", F.pmod(F.col("__order"), F.lit(shards)).cast("int"))
+    ending = ending.withColumn("places", F.when(kept, by_hash).otherwise(F.col("all_places")))
     rest = joined.where("partial <> 'end'").withColumn("places", F.col("all_places"))
     names = [*docs.columns[: len(documents.drop(*added).columns)], *added]
     return rest.select(*names).unionByName(ending.select(*names))
