@@ -107,7 +107,7 @@ def train(rows: DataFrame) -> dict:
     grams, scripts = held[:FEATURES], held[FEATURES:]
     logp = np.log(grams + 0.5) - np.log(grams.sum(0) + 0.5 * FEATURES)
     shares = scripts / np.maximum(scripts.sum(0), 1)
-    out = (shares < SCRIPT_SHARE) & (shares.max(1, keepdims=True) >= SCRIPT_SHARE)
+    out = (shares < SCRIPT_SHARE) & (shares.max(1, keepdims=True, initial=0) >= SCRIPT_SHARE)
     return {"langs": langs, "logp": logp.astype(np.float32), "out": np.where(out, -1e4, 0.0)}
 
 
