@@ -8,9 +8,10 @@ suffix, only strings that may still be equal stay in a bucket:
    runs (a few per ``length`` bytes), not positions.
 2. Refinement: the bucket id of 2k bytes at a position is made of the ids of k bytes there and k bytes
    later, recursively; runs split in two, and each half goes to the bucket of a string that all its
-   windows share.  Buckets of one place are dropped.  Halves whose whole content occurs at another place
+   windows share.  Buckets of one place are dropped.  Runs whose whole content occurs at another place
    are settled.
-3. What is left is refined down to single windows, by the bucket id of all ``length`` bytes.
+3. What is left, the ends of matches, is split into ever shorter pieces in the same way (``PIECES``
+   windows each), down to single windows, whose bucket id is that of all ``length`` bytes.
 
 Texts are identified by hash and judged once: a text that occurs twice is repeated as a whole.  Strings
 are compared by 64-bit ids.
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from tripline.llm.common import RangeHash, mix, stored, table, text_slices
 
 LENGTH = 400
+PIECES = (24, 1)
 _MULT = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -63,9 +65,9 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def window_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Half runs of the windows of each row: bucket key, content id, row, first window (from the row's start), windows."""
+    """Half runs of the windows of each row: bucket key, content id, row, first window, windows, least q-gram (from the row's start)."""
     q = max(1, length // 16)
-    none = tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+    none = tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, *[np.int64] * 4))
     if len(data) < length:
         return none
     buckets = Buckets(data, q)
@@ -90,14 +92,38 @@ def window_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     shared = anchor - np.where(far, half, 0)  # a string from here lies in every window of the half run
     key = mix(buckets(shared, max(length - half, q)) + far.astype(np.uint64))
     content = mix(buckets.hash(a, a + count - 1 + length) + count.astype(np.uint64))
-    return key, content, row, a - offsets[row], count
+    return key, content, row, a - offsets[row], count, anchor - offsets[row]
+
+
+def split_runs(data: np.ndarray, runs: list[tuple[int, int, int]], length: int, piece: int, buckets: Buckets) -> tuple[np.ndarray, ...]:
+    """Pieces of runs (first window, windows, least q-gram) of one text: bucket key, content id, first window, windows, least q-gram.
+
+    Pieces are cut by the distance to the q-gram, so equal windows fall in equal pieces.
+    """
+    starts = np.concatenate([np.arange(a, a + n) for a, n, _ in runs])
+    anchor = np.repeat([x for _, _, x in runs], [n for _, n, _ in runs])
+    run = np.repeat(np.arange(len(runs)), [n for _, n, _ in runs])
+    part = (anchor - starts) // piece
+    new = np.ones(len(starts), bool)
+    new[1:] = (part[1:] != part[:-1]) | (run[1:] != run[:-1])
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(starts)))
+    a, anchor, part = starts[first], anchor[first], part[first]
+    key = mix(buckets(anchor - part * piece, length - piece + 1) + part.astype(np.uint64))
+    content = mix(buckets.hash(a, a + count - 1 + length) + count.astype(np.uint64))
+    return key, content, a, count, anchor
 
 
 def _place(tid: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(tid.view(np.uint64) * _MULT + at.astype(np.uint64)).view(np.int64)
 
 
-_RUNS = "key long, content long, place long, tid long, start int, windows int"
+_RUNS = "key long, content long, place long, tid long, start int, windows int, anchor int"
+
+
+def _batch(key, content, tid, start, windows, anchor) -> pa.RecordBatch:
+    columns = (key.view(np.int64), content.view(np.int64), _place(tid, start), tid, *(x.astype(np.int32) for x in (start, windows, anchor)))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[x.split()[0] for x in _RUNS.split(", ")])
 
 
 def _runs(texts: DataFrame, length: int) -> DataFrame:
@@ -105,35 +131,27 @@ def _runs(texts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             tids = batch.column("tid").to_numpy()
             for first, _, data, offsets in text_slices(batch.column("text")):
-                key, content, row, start, count = window_runs(data, offsets, length)
-                tid = tids[first:][row]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (key.view(np.int64), content.view(np.int64), _place(tid, start), tid, start.astype(np.int32), count.astype(np.int32))],
-                    names=["key", "content", "place", "tid", "start", "windows"],
-                )
+                key, content, row, *places = window_runs(data, offsets, length)
+                yield _batch(key, content, tids[first:][row], *places)
 
     return texts.mapInArrow(run, _RUNS)
 
 
-def _window_ids(texts: DataFrame, length: int) -> DataFrame:
-    """(id, place, tid, start) of every window of the listed runs of each text."""
+def _split(texts: DataFrame, length: int, piece: int) -> DataFrame:
+    """The runs listed with each text (tid, text, runs), in pieces."""
 
     def run(batches):
         q = max(1, length // 16)
         for batch in batches:
             tids, runs = batch.column("tid").to_numpy(), batch.column("runs").to_pylist()
             for first, end, data, offsets in text_slices(batch.column("text")):
-                buckets = Buckets(data, q)
-                for row in range(end - first):
-                    spans = sorted({(r["start"], r["windows"]) for r in runs[first + row]})
-                    starts = np.concatenate([np.arange(a, a + n) for a, n in spans])
-                    ids = buckets(starts + offsets[row], length).view(np.int64)
-                    tid = np.full(len(starts), tids[first + row])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (ids, _place(tid, starts), tid, starts.astype(np.int32))], names=["id", "place", "tid", "start"]
-                    )
+                for row in range(first, end):
+                    text = data[offsets[row - first] : offsets[row - first + 1]]
+                    listed = sorted({(r["start"], r["windows"], r["anchor"]) for r in runs[row]})
+                    key, content, *places = split_runs(text, listed, length, piece, Buckets(text, q))
+                    yield _batch(key, content, np.full(len(key), tids[row]), *places)
 
-    return texts.select("tid", "text", "runs").mapInArrow(run, "id long, place long, tid long, start int")
+    return texts.select("tid", "text", "runs").mapInArrow(run, _RUNS)
 
 
 def _repeated(df: DataFrame, key: str) -> DataFrame:
@@ -151,24 +169,25 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = _texts(documents)
     long = texts.where(F.octet_length("text") >= length)
     runs = _runs(long.select("tid", "text"), length)
-    alive = stored(runs.join(_repeated(runs, "key"), "key").select(*runs.columns).distinct(), "suffix-runs")
-    settled = _repeated(alive, "content").withColumn("settled", F.lit(True))
-    marked = stored(alive.join(settled, "content", "left").withColumn("settled", F.coalesce("settled", F.lit(False))), "suffix-marked")
-    open_keys = marked.where("not settled").select("key").distinct()
-    # one place for each content is enough to find its windows elsewhere
-    to_open = marked.join(open_keys, "key").groupBy("content").agg(F.min(F.struct("place", "tid", "start", "windows")).alias("r"))
-    lists = to_open.groupBy(F.col("r.tid").alias("tid")).agg(F.collect_set(F.struct("r.start", "r.windows")).alias("runs"))
-    one_each = long.join(lists, "tid").dropDuplicates(["tid"])
-    windows = stored(_window_ids(one_each, length), "suffix-windows")
-    found = windows.join(_repeated(windows, "id"), "id")
-    size = F.lit(length)
-    spans = (
-        marked.where("settled")
-        .select("tid", "start", (F.col("start") + F.col("windows") - 1 + size).alias("end"))
-        .unionByName(found.select("tid", "start", (F.col("start") + size).alias("end")))
-        .unionByName(
-            long.groupBy("tid", F.octet_length("text").alias("end")).count().where("count > 1").select("tid", F.lit(0).alias("start"), "end")
-        )
+    size, spans, held = F.lit(length), None, None
+    for piece in (min(p, max(1, length // 16)) for p in PIECES):
+        runs = stored(runs.join(_repeated(runs, "key"), "key").select(*runs.columns).distinct(), "suffix-runs")
+        settled = _repeated(runs, "content").withColumn("settled", F.lit(True))
+        runs = stored(runs.join(settled, "content", "left").withColumn("settled", F.coalesce("settled", F.lit(False))), "suffix-marked")
+        found = runs.where("settled").select("tid", "start", (F.col("start") + F.col("windows") - 1 + size).alias("end"))
+        spans = found if spans is None else spans.unionByName(found)
+        open_keys = runs.where("not settled").select("key").distinct()
+        # one place for each content is enough to find its windows elsewhere
+        place = F.min(F.struct("place", "tid", "start", "windows", "anchor")).alias("r")
+        to_open = runs.join(open_keys, "key").groupBy("content").agg(place)
+        lists = to_open.groupBy(F.col("r.tid").alias("tid")).agg(F.collect_set(F.struct("r.start", "r.windows", "r.anchor")).alias("runs"))
+        held = stored((long if held is None else held).select("tid", "text").join(lists, "tid").dropDuplicates(["tid"]), "suffix-texts")
+        runs = _split(held, length, piece)
+    runs = stored(runs, "suffix-windows")
+    found = runs.join(_repeated(runs, "key"), "key")
+    spans = spans.unionByName(found.select("tid", "start", (F.col("start") + size).alias("end")))
+    spans = spans.unionByName(
+        long.groupBy("tid", F.octet_length("text").alias("end")).count().where("count > 1").select("tid", F.lit(0).alias("start"), "end")
     )
     return spans.groupBy("tid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
