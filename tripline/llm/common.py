@@ -15,6 +15,8 @@ from tripline.session import ensure_checkpoint_dir
 
 #: Bytes of text that one vectorised step handles; bounds a worker's temporaries.
 SLICE_BYTES = 1 << 20
+#: Bytes of rows that Spark sends to a worker at once, unless one row has more.
+BATCH_BYTES = 4 << 20
 #: The separators between words.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -31,6 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches held to BATCH_BYTES, so that long texts do not add up in a worker."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).rstrip("b")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.llm.common import SLICE_BYTES, shingle_sets, table, text_slices
+from tripline.llm.common import SLICE_BYTES, shingle_sets, table, text_batches, text_slices
 
 SHINGLE = 5
 #: One shingle hash of so many is retained.
@@ -166,7 +166,7 @@ def fingerprint_documents(documents: DataFrame, scale: int = SCALE) -> DataFrame
 
     if documents.isEmpty():
         return documents.sparkSession.createDataFrame([], _SCHEMA)
-    return _with_next(documents).select("tail", "doc_id", "text").mapInArrow(run, _SCHEMA)
+    return _with_next(text_batches(documents)).select("tail", "doc_id", "text").mapInArrow(run, _SCHEMA)
 
 
 def op9_scaled_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.llm.common import crc_mod, table, text_slices
+from tripline.llm.common import crc_mod, table, text_batches, text_slices
 
 GRAM, FEATURES, SCRIPTS = 4, 1 << 16, 16
 #: Log-likelihood that a change of language between two words costs.
@@ -94,7 +94,7 @@ def train(rows: DataFrame) -> dict:
             )
 
     counts = (
-        rows.where("lang is not null and text is not null")
+        text_batches(rows).where("lang is not null and text is not null")
         .select("text", "lang")
         .mapInArrow(count, "lang string, feature int, n long")
         .groupBy("lang", "feature")
@@ -176,6 +176,7 @@ def label_spans(texts: list[str], model: dict) -> list[list[tuple[str, int]]]:
 def identify(documents: DataFrame, model: dict) -> DataFrame:
     """doc_id, lang_pred, score, n_spans for every row."""
     spark = documents.sparkSession
+    documents = text_batches(documents)
     held = spark.sparkContext.broadcast(model)  # languages x 2**16 numbers
 
     def run(batches):

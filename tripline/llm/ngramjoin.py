@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripline.llm.common import components, mix, segment_sums, shingle_sets, stored, table, text_slices
+from tripline.llm.common import components, mix, segment_sums, shingle_sets, stored, table, text_batches, text_slices
 
 SHINGLE = 5
 NUM, DEN = 75, 100
@@ -47,7 +47,7 @@ TURNS = 8
 #: Sets that a task compares with as many others at once.
 BLOCK = 128
 #: Tokens that a task holds while it counts.
-HELD = 1 << 22
+HELD = 1 << 21
 
 
 def _ceil_share(n, num: int, den: int):
@@ -228,6 +228,7 @@ def _block_links(rows: pd.DataFrame, k: int, num: int, den: int) -> pd.DataFrame
 
 def similarity_classes(documents: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, thash (xxhash64 of the text), n_shingles, class_id (digest of a member; null: no shingles), component_id."""
+    documents = text_batches(documents)
     sets = stored(_sets(documents, _common_shingles(documents, k), k, num, den), "ngram-sets")
     members = sets.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.first("grp").alias("grp"), F.first("tail").alias("tail"), F.min("thash").alias("thash"))
     members = stored(members, "ngram-members")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.llm.common import RangeHash, mix, stored, table, text_slices
+from tripline.llm.common import RangeHash, mix, stored, table, text_batches, text_slices
 
 LENGTH = 400
 PIECES = (24, 1)
@@ -166,7 +166,7 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """(tid, spans): byte ranges [start, end) of each distinct text that a repeated string covers; they may overlap."""
-    texts = _texts(documents)
+    texts = _texts(text_batches(documents))
     long = texts.where(F.octet_length("text") >= length)
     runs = _runs(long.select("tid", "text"), length)
     size, spans, held = F.lit(length), None, None

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.llm.common import crc_mod, table, text_slices
+from tripline.llm.common import crc_mod, table, text_batches, text_slices
 
 #: Rows that the classifier is fitted on at most.
 SAMPLE = 20_000
@@ -73,7 +73,7 @@ def language_model(documents: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["gram", "n"])
 
-    counts = documents.select("text").mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    counts = text_batches(documents).select("text").mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
     held = np.full(1 << 15, 0.1)
     held[counts["gram"].to_numpy(int)] += counts["n"].to_numpy(float)
     held = held.reshape(32, 32, 32)
@@ -300,7 +300,7 @@ def score_of(text: Column, model: dict) -> Column:
 
 def score_documents(documents: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, predicted of every row."""
-    scored = documents.select("doc_id", score_of(F.col("text"), model).alias("score"))
+    scored = text_batches(documents).select("doc_id", score_of(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
