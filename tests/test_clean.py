@@ -95,12 +95,6 @@ def test_enrich_roles_and_calendar(spark):
     assert str(jfk.pickup_date) == "2023-03-01"
 
 
-def test_enrich_broadcasts_the_dimension(spark):
-    df = taxi_frame(spark, [taxi_row()])
-    plan = plan_text(enrich.attach_zones(df, zone_frame(spark), M))
-    assert "BroadcastHashJoin" in plan
-
-
 def test_filter_reaches_parquet_scan(spark, tmp_dir):
     taxi_frame(spark, [taxi_row()]).write.parquet(f"{tmp_dir}/t")
     df = clean.clean(spark.read.parquet(f"{tmp_dir}/t"), M)

@@ -122,4 +122,3 @@ def test_cli_stages_end_to_end(spark, tmp_dir):
     row = cli.main(["layout", "--out", out, "--zone", "132", "--start", "2023-01-01",
                     "--end", "2023-01-31"], spark)
     assert row["clustered_files"] <= row["naive_files"] + 1
-    assert len(cli.main(["self-test"], spark)) == 3

@@ -1,20 +1,20 @@
-"""Plan sharing between queries of one session."""
+"""Stages of the pipeline over the driver tables."""
 
 from tests.conftest import SF_SMALL
 from tripline.plans.pipeline import Pipeline
 
 
-def test_upstream_plans_are_shared_not_data(spark):
-    a, b = Pipeline(spark, SF_SMALL), Pipeline(spark, SF_SMALL)
-    assert a.enriched is b.enriched and a.daily is b.daily
-    copies = Pipeline(spark, SF_SMALL, with_copies=True)
-    assert copies.raw is not a.raw
+def test_sessions_do_not_share_plans(spark):
+    other = spark.newSession()
+    assert Pipeline(spark, SF_SMALL).raw.sparkSession is not Pipeline(other, SF_SMALL).raw.sparkSession
+
+
+def test_every_nation_has_a_zone(spark):
+    assert Pipeline(spark, SF_SMALL).zones.count() == 25
 
 
 def test_stored_trips_are_per_query(spark):
     plain = Pipeline(spark, SF_SMALL)
     s1, s2 = Pipeline(spark, SF_SMALL, store_trips=True), Pipeline(spark, SF_SMALL, store_trips=True)
-    assert s1.enriched is plain.enriched  # upstream plan shared
     assert s1.trips is not s2.trips  # each query writes and reads its own table
-    assert s1.daily is not plain.daily and s1.daily is not s2.daily
     assert s1.trips.count() == plain.trips.count()

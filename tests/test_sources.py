@@ -36,18 +36,20 @@ def test_drift_reader_aligns_types_aliases_and_missing(spark, tmp_dir):
     assert drift.drift_frame(spark, missing).count() == 1
 
 
-def test_distributed_footer_grouping(spark, tmp_dir):
-    import glob
-
-    dirs = [f"{tmp_dir}/m{i}" for i in range(3)]
+def test_folders_and_any_number_of_files(spark, tmp_dir):
+    dirs = [f"{tmp_dir}/m{i}" for i in range(70)]
     write_month(spark, dirs[0], [taxi_row()], vendor_type="int")
     write_month(spark, dirs[1], [taxi_row(), taxi_row(VendorID=2)])
-    write_month(spark, dirs[2], [taxi_row(VendorID=3)], vendor_type="int")
-    files_ = [glob.glob(f"{d}/*.parquet")[0] for d in dirs]
-    groups = drift.file_schemas(spark, files_, threshold=0)  # force the Spark job
-    assert sorted(len(g) for g in groups.values()) == [1, 2]
-    df, missing = drift.read_aligned(spark, files_, TAXI_CANONICAL, TAXI_ALIASES, footer_scan_threshold=0)
-    assert df.count() == 4 and missing == []
+    paths = [dirs[0], *[dirs[1]] * 69]
+    df, missing = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
+    assert df.count() == 1 + 69 * 2 and missing == []
+
+
+def test_text_that_is_no_number_becomes_null(spark, tmp_dir):
+    path = f"{tmp_dir}/dirty.parquet"
+    spark.createDataFrame([("N/A",), ("3",)], "VendorID string").write.parquet(path)
+    df, _ = drift.read_aligned(spark, [path], TAXI_CANONICAL, TAXI_ALIASES)
+    assert sorted(r.VendorID or 0 for r in df.collect()) == [0, 3]
 
 
 def test_empty_input_is_rejected(spark, tmp_dir):

@@ -8,22 +8,19 @@ from pyspark.sql import functions as F
 from tripline.functions import weekday_name
 from tripline.model import TripModel
 from tripline.operators.clean import duration_seconds
-from tripline.operators.joins import bounded_broadcast
 
 
-def attach_zones(trips: DataFrame, zones: DataFrame, model: TripModel,
-                 proof_key: tuple | None = None) -> DataFrame:
+def attach_zones(trips: DataFrame, zones: DataFrame, model: TripModel) -> DataFrame:
     """LEFT join the zone dimension twice: pickup role and dropoff role.
 
-    ``zones`` is ``(zone_id, zone, borough)``; it is broadcast after its row
-    bound is proven, and both roles reuse the same broadcast."""
-    dim = bounded_broadcast(zones, proof_key=proof_key)
-    pickup = dim.select(
+    ``zones`` is ``(zone_id, zone, borough)``.  The joins carry no hint: Spark
+    broadcasts the zones when their bytes are below its threshold."""
+    pickup = zones.select(
         F.col("zone_id").alias(model.origin),
         F.col("borough").alias("pickup_borough"),
         F.col("zone").alias("pickup_zone"),
     )
-    dropoff = dim.select(
+    dropoff = zones.select(
         F.col("zone_id").alias(model.dest),
         F.col("borough").alias("dropoff_borough"),
         F.col("zone").alias("dropoff_zone"),
@@ -60,9 +57,8 @@ def derive_calendar(trips: DataFrame, model: TripModel) -> DataFrame:
     return trips.withColumns(_calendar_columns(model))
 
 
-def enrich(trips: DataFrame, zones: DataFrame, model: TripModel,
-           proof_key: tuple | None = None) -> DataFrame:
+def enrich(trips: DataFrame, zones: DataFrame, model: TripModel) -> DataFrame:
     # metrics and calendar columns in one projection
-    return attach_zones(trips, zones, model, proof_key).withColumns(
+    return attach_zones(trips, zones, model).withColumns(
         {**_metric_columns(model), **_calendar_columns(model)}
     )

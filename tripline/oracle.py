@@ -128,8 +128,7 @@ def _base(with_copies: bool = False) -> list[str]:
         "deduped AS (SELECT DISTINCT * FROM cleaned)",
         """zones AS (
   SELECT n.n_nationkey AS zone_id, n.n_name AS zone, r.r_name AS borough
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE n.n_nationkey < 20)""",
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey  )""",
         f"""attached AS (
   SELECT d.*, pz.borough AS pickup_borough, pz.zone AS pickup_zone,
          dz.borough AS dropoff_borough, dz.zone AS dropoff_zone

@@ -59,7 +59,6 @@ def run_etl(
     model: TripModel,
     out_dir: str,
     drift_messages: list[str] | None = None,
-    zone_proof_key: tuple | None = None,
 ) -> dict:
     """Write trips_cleaned (month partitions), daily_zone_agg, hourly_profile
     and etl_manifest under ``out_dir``; return the manifest as a dict."""
@@ -69,7 +68,7 @@ def run_etl(
 
     obs_valid = Observation("valid_rows")
     valid = clean.clean(raw, model).observe(obs_valid, F.count(F.lit(1)).alias("rows"))
-    trips = enrich.enrich(clean.dedupe(valid), zones, model, zone_proof_key)
+    trips = enrich.enrich(clean.dedupe(valid), zones, model)
     obs_final = Observation("final_rows")
     write_partitioned(
         trips.observe(obs_final, F.count(F.lit(1)).alias("rows")),

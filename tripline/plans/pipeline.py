@@ -22,21 +22,6 @@ from tripline.sources import tables
 from tripline.sources.files import ingest_manifest
 
 
-# Lazy stage plans (DataFrames, never data) shared by the queries of one
-# session, keyed by session, parameters and the identity (path, size, mtime)
-# of every input file: a query reuses the *plan* of the upstream stages, and
-# still executes all of them from the raw tables.
-_PLANS: dict[tuple, DataFrame] = {}
-_INPUT_TABLES = tables.TRIP_SOURCE_TABLES + tables.ZONE_TABLES + ("events",)
-
-
-def _session_key(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # Spark Connect
-        return str(id(spark))
-
-
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, model: TripModel = ORDERS_MODEL,
                  with_copies: bool = False, store_trips: bool = False):
@@ -49,35 +34,19 @@ class Pipeline:
         self.model = model
         self.with_copies = with_copies
         self.store_trips = store_trips
-        ident = tables.file_identity(self.sf_dir, _INPUT_TABLES)
-        self._key = (
-            (_session_key(spark), self.sf_dir, model, with_copies, ident) if ident else None
-        )
-
-    def _shared(self, stage: str, build, upstream_of_trips: bool = True) -> DataFrame:
-        """Reuse a stage's plan across queries when it does not depend on a
-        per-query stored table."""
-        if self._key is None or (self.store_trips and not upstream_of_trips):
-            return build()
-        key = self._key + (stage,)
-        if key not in _PLANS:
-            _PLANS[key] = build()
-        return _PLANS[key]
 
     # --- sources --------------------------------------------------------------
     @cached_property
     def raw(self) -> DataFrame:
-        return self._shared(
-            "raw", lambda: tables.order_trips(self.spark, self.sf_dir, self.with_copies)
-        )
+        return tables.order_trips(self.spark, self.sf_dir, self.with_copies)
 
     @cached_property
     def zones(self) -> DataFrame:
-        return self._shared("zones", lambda: tables.zones(self.spark, self.sf_dir))
+        return tables.zones(self.spark, self.sf_dir)
 
     @cached_property
     def events(self) -> DataFrame:
-        return self._shared("events", lambda: tables.event_trips(self.spark, self.sf_dir))
+        return tables.event_trips(self.spark, self.sf_dir)
 
     def source_paths(self, names=tables.TRIP_SOURCE_TABLES) -> list[str]:
         return [tables.table_path(self.sf_dir, n) for n in names]
@@ -89,22 +58,15 @@ class Pipeline:
     # --- ETL stages -----------------------------------------------------------
     @cached_property
     def cleaned(self) -> DataFrame:
-        return self._shared("cleaned", lambda: clean.clean(self.raw, self.model))
+        return clean.clean(self.raw, self.model)
 
     @cached_property
     def deduped(self) -> DataFrame:
-        return self._shared("deduped", lambda: clean.dedupe(self.cleaned))
-
-    @cached_property
-    def zone_proof_key(self) -> tuple | None:
-        return tables.file_identity(self.sf_dir, tables.ZONE_TABLES)
+        return clean.dedupe(self.cleaned)
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return self._shared(
-            "enriched",
-            lambda: enrich.enrich(self.deduped, self.zones, self.model, self.zone_proof_key),
-        )
+        return enrich.enrich(self.deduped, self.zones, self.model)
 
     @cached_property
     def trips(self) -> DataFrame:
@@ -116,28 +78,24 @@ class Pipeline:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return self._shared("daily", lambda: aggregates.daily_zone(self.trips, self.model), False)
+        return aggregates.daily_zone(self.trips, self.model)
 
     @cached_property
     def hourly(self) -> DataFrame:
-        return self._shared(
-            "hourly", lambda: aggregates.hourly_profile(self.trips, self.model.fare), False
-        )
+        return aggregates.hourly_profile(self.trips, self.model.fare)
 
     @cached_property
     def event_hourly(self) -> DataFrame:
         """Hour x weekday x type profile of events (hours vary there)."""
-        return self._shared(
-            "event_hourly", lambda: aggregates.hourly_profile(self.events, "fare")
-        )
+        return aggregates.hourly_profile(self.events, "fare")
 
     @cached_property
     def series(self) -> DataFrame:
-        return self._shared("series", lambda: aggregates.citywide_and_borough(self.daily), False)
+        return aggregates.citywide_and_borough(self.daily)
 
     @cached_property
     def flags(self) -> DataFrame:
-        return self._shared("flags", lambda: anomaly.anomalies(self.series), False)
+        return anomaly.anomalies(self.series)
 
     # --- counts and checks ----------------------------------------------------
     def _bag(self, parts: dict[str, DataFrame]) -> DataFrame:
@@ -192,14 +150,16 @@ class Pipeline:
     def raw_counts(self) -> DataFrame:
         """Rows read and rows valid, one pass over the raw input (one plan,
         so step counts and checks in the same query reuse its shuffle)."""
-        return self._shared("raw_counts", lambda: clean.raw_counts(self.raw, self.model))
+        return clean.raw_counts(self.raw, self.model)
 
     @cached_property
     def check_inputs(self) -> DataFrame:
-        """The two counts the checks take from outside the trip table."""
+        """The counts the checks take from outside the trip table; the final
+        one is taken from the cleaning itself, not from the stored table."""
         raw = self.raw_counts.select("raw_rows_read")
-        return self._bag({"ingest": self.ingest_rows, "raw": raw}).unpivot(
-            [], ["ingest_total_rows", "raw_rows_read"], "name", "value"
+        final = self.deduped.agg(F.count(F.lit(1)).alias("final_cleaned_rows"))
+        return self._bag({"ingest": self.ingest_rows, "raw": raw, "final": final}).unpivot(
+            [], ["ingest_total_rows", "raw_rows_read", "final_cleaned_rows"], "name", "value"
         )
 
     @cached_property

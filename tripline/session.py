@@ -48,8 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used
-    as is.  Only when it is unset (local runs, tests) a fresh folder is
-    created and registered.
+    as is.  When it is unset, a local session gets a fresh folder; any other
+    master is an error, as executors would write to disks of their own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -58,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             current = None
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tripline-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(current)

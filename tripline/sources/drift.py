@@ -10,8 +10,9 @@ by name.  Missing columns become typed NULLs and are reported as drift rows.
 
 from __future__ import annotations
 
+import functools
+import json
 import posixpath
-from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,61 +23,22 @@ from pyspark.sql.types import DataType, StringType, StructField, StructType
 DRIFT_MESSAGE = "{file}: missing column '{column}' (filled null)"
 
 
-# Above this many files, footers are read by Spark tasks instead of the driver.
-FOOTER_SCAN_THRESHOLD = 64
-
-
-def _read_footers(batches):
-    """mapInPandas body: physical schema of each file, from its footer only."""
-    import pandas as pd
-    import pyarrow.parquet as pq
-    from pyarrow import fs as pafs
-
-    for pdf in batches:
-        keys = []
-        for path in pdf["path"]:
-            if "://" in path and not path.startswith("file:"):
-                filesystem, rel = pafs.FileSystem.from_uri(path)
-            else:
-                filesystem, rel = None, path.removeprefix("file:")
-            schema = pq.read_schema(rel, filesystem=filesystem)
-            keys.append(", ".join(f"{f.name}:{f.type}" for f in schema))
-        yield pd.DataFrame({"path": list(pdf["path"]), "schema_key": keys})
-
-
-def file_schemas(spark: SparkSession, paths: list[str],
-                 threshold: int = FOOTER_SCAN_THRESHOLD) -> "OrderedDict[str, list[str]]":
-    """Group paths by physical schema (footer reads, no data).
-
-    Few files: the driver asks Spark for each file's schema.  Many files: a
-    Spark job reads the footers in parallel (Arrow, footer only) and only the
-    (schema -> paths) groups come back."""
-    groups: "OrderedDict[str, list[str]]" = OrderedDict()
-    if len(paths) <= threshold:
-        for p in sorted(paths):
-            key = spark.read.parquet(p).schema.json()
-            groups.setdefault(key, []).append(p)
-        return groups
-    listing = spark.createDataFrame([(p,) for p in paths], "path string")
-    listing = listing.repartition(max(1, min(len(paths) // 16, 512)))
-    rows = (
-        listing.mapInPandas(_read_footers, "path string, schema_key string")
-        .groupBy("schema_key")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect()
-    )
-    for r in sorted(rows, key=lambda r: r.paths[0]):
-        groups[r.schema_key] = list(r.paths)
-    return groups
+def file_schemas(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Paths by the schema that Spark reads from their footers (no data); one
+    small metadata read for each path, files and folders alike."""
+    by_schema: dict[str, list[str]] = {}
+    for path in sorted(paths):
+        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    return by_schema
 
 
-def _resolve(columns: list[str], name: str, aliases: dict[str, tuple[str, ...]]) -> str | None:
-    if name in columns:
-        return name
-    for alt in aliases.get(name, ()):
-        if alt in columns:
-            return alt
-    return None
+def _projection(found: list[str], canonical: list[tuple[str, DataType]],
+                aliases: dict[str, tuple[str, ...]]) -> dict[str, str | None]:
+    """Canonical name -> the column of a file that holds it, None where it has none."""
+    return {
+        name: next((c for c in (name, *aliases.get(name, ())) if c in found), None)
+        for name, _ in canonical
+    }
 
 
 def read_aligned(
@@ -84,32 +46,31 @@ def read_aligned(
     paths: list[str],
     canonical: list[tuple[str, DataType]],
     aliases: dict[str, tuple[str, ...]] | None = None,
-    footer_scan_threshold: int = FOOTER_SCAN_THRESHOLD,
 ) -> tuple[DataFrame, list[tuple[str, str]]]:
     """Read ``paths`` into one DataFrame with the canonical schema.
 
     Returns ``(frame, drift)`` where drift lists ``(file_name, column)`` for
     every canonical column a file lacks (filled with NULL).  Extra columns are
-    dropped; type changes are cast silently."""
+    dropped; a value that does not fit its canonical type becomes NULL."""
     if not paths:
         raise ValueError("no input files")
-    aliases = aliases or {}
-    frames, drift = [], []
-    for _, group in file_schemas(spark, paths, footer_scan_threshold).items():
-        raw = spark.read.parquet(*group)
-        cols = []
-        for name, dtype in canonical:
-            src = _resolve(raw.columns, name, aliases)
-            if src is None:
-                drift.extend((posixpath.basename(p), name) for p in group)
-                cols.append(F.lit(None).cast(dtype).alias(name))
-            else:
-                cols.append(F.col(src).cast(dtype).alias(name))
-        frames.append(raw.select(*cols))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out, sorted(drift)
+    groups = []
+    for schema, members in file_schemas(spark, paths).items():
+        names = StructType.fromJson(json.loads(schema)).names
+        groups.append((members, _projection(names, canonical, aliases or {})))
+    types = dict(canonical)
+    frames = [
+        spark.read.parquet(*members).select(
+            *(F.lit(None).cast(types[n]).alias(n) if c is None else F.col(c).try_cast(types[n]).alias(n)
+              for n, c in held.items())
+        )
+        for members, held in groups
+    ]
+    missing = [
+        (posixpath.basename(path), name)
+        for members, held in groups for name, column in held.items() if column is None for path in members
+    ]
+    return functools.reduce(DataFrame.unionByName, frames), sorted(missing)
 
 
 def drift_frame(spark: SparkSession, drift: list[tuple[str, str]]) -> DataFrame:

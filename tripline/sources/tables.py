@@ -1,14 +1,12 @@
 """Driver tables and their binding to the trip model (FIXTURES.md §3).
 
 Trip fact   = lineitem ⋈ orders ⋈ customer ⋈ supplier (inner joins).
-Zones       = nation ⋈ region, nations 0..19 only, so 20..24 stay unmatched.
+Zones       = nation ⋈ region.
 Events      = hour-of-day / weekday source (timestamps with a time part).
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -27,42 +25,14 @@ TRIP_SOURCE_TABLES = ("lineitem", "orders", "customer", "supplier")
 TRIP_GRAIN_TABLE = "lineitem"
 # Tables the zone dimension reads.
 ZONE_TABLES = ("nation", "region")
-# Nations with a key below this have a zone; the rest join to NULL.
-ZONE_KEY_LIMIT = 20
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Footer schemas already inferred, keyed by file identity (path, size, mtime):
-# a re-read of an unchanged file skips the driver-side footer read.
-_SCHEMAS: dict[tuple, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = table_path(sf_dir, name)
-    ident = file_identity(sf_dir, (name,))
-    schema = _SCHEMAS.get(ident) if ident else None
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    df = spark.read.parquet(path)
-    if ident:
-        _SCHEMAS[ident] = df.schema
-    return df
-
-
-def file_identity(sf_dir: str, names: tuple[str, ...]) -> tuple | None:
-    """(path, size, mtime) of local table files; None when not local."""
-    out = []
-    for n in names:
-        p = table_path(sf_dir, n)
-        try:
-            st = os.stat(p)
-        except OSError:
-            return None
-        out.append((p, st.st_size, st.st_mtime_ns))
-    return tuple(out)
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def order_trips(spark: SparkSession, sf_dir: str, with_copies: bool = False) -> DataFrame:
@@ -96,7 +66,7 @@ def order_trips(spark: SparkSession, sf_dir: str, with_copies: bool = False) ->
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension ``(zone_id, zone, borough)``."""
-    nation = read_table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < ZONE_KEY_LIMIT)
+    nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").alias("zone_id"),
