@@ -233,7 +233,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict
     n = known.count()
     share = min(1.0, sample / max(n, 1))
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = documents.select("doc_id", "text").join(drawn, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    # about `sample` rows of two numbers
+    rows = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
     def count(batches):
         decoder = functools.lru_cache(1 << 16)(functools.partial(decode, model=chars.value))
