@@ -19,6 +19,12 @@ def test_nan_total_is_rejected(spark):
     assert kept(spark, taxi_row(total_amount=float("nan"))) == 0
 
 
+def test_infinite_amounts_are_rejected(spark):
+    inf = float("inf")
+    assert kept(spark, taxi_row(total_amount=inf), taxi_row(fare_amount=inf), taxi_row(trip_distance=inf),
+                taxi_row(passenger_count=inf)) == 0
+
+
 def test_null_passenger_count_is_rejected(spark):
     assert kept(spark, taxi_row(passenger_count=None)) == 0
 
@@ -62,7 +68,9 @@ def test_reject_profile_counts_each_rule(spark):
         taxi_row(fare_amount=None, PULocationID=999),
         taxi_row(passenger_count=0.0),
     ]
-    prof = {r.rule: r.rejected for r in clean.reject_profile(taxi_frame(spark, rows), M).collect()}
+    found = clean.reject_profile(taxi_frame(spark, rows), M).collect()
+    prof, missing = {r.rule: r.rejected for r in found}, {r.rule: r.missing for r in found}
+    assert (missing["fare"], missing["party"], missing["any_rule"], missing["rows_in"]) == (1, 0, 1, 0)
     assert prof["rows_in"] == 4
     assert prof["fare"] == 2
     assert prof["origin"] == 1

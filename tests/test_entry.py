@@ -11,6 +11,9 @@ from tripline.plans import catalog
 # the optional training-data queries have tests of their own
 KEYS = set(catalog.queries())
 
+# file sizes are not in the tables: tests/test_sources.py holds them against the file system
+NO_SQL = {"ingest_manifest_bytes"}
+
 FORBIDDEN_NODES = (
     "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
     "CartesianProduct", "BroadcastNestedLoopJoin",
@@ -24,8 +27,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert KEYS <= set(entry.oracle_sql())
-    assert len(KEYS) == 50
+    assert KEYS - NO_SQL <= set(entry.oracle_sql())
+    assert len(KEYS) == 58
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +36,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("key", sorted(KEYS))
+@pytest.mark.parametrize("key", sorted(KEYS - NO_SQL))
 def test_query_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF_SMALL)
     plan = plan_text(df)

@@ -36,9 +36,10 @@ def job(spark, tmp_dir):
             df = df.withColumnRenamed("airport_fee", "Airport_fee")
         df.coalesce(1).write.parquet(p)
         paths.append(p)
-    raw, missing = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
+    raw = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
+    lacking = drift.drift_messages(drift.drift_frame(spark, paths, TAXI_CANONICAL, TAXI_ALIASES))
     out = f"{tmp_dir}/processed"
-    manifest = etl.run_etl(spark, raw, zone_frame(spark), TAXI_MODEL, out, drift.drift_messages(missing))
+    manifest = etl.run_etl(spark, raw, zone_frame(spark), TAXI_MODEL, out, lacking)
     return spark, paths, out, manifest
 
 
@@ -90,7 +91,7 @@ def test_anomaly_job_writes_flags_and_report(job, tmp_dir):
     flags = etl.run_anomaly(spark, out, report_path=f"{tmp_dir}/anomaly_report")
     assert flags.count() > 0
     assert set(flags.columns) == {
-        "pickup_date", "grain", "metric", "value", "rolling_mean", "rolling_std", "z_score", "is_anomalous"
+        "pickup_date", "grain_type", "grain", "metric", "value", "rolling_mean", "rolling_std", "z_score", "is_anomalous"
     }
     lines = [r.value for r in spark.read.text(f"{tmp_dir}/anomaly_report").collect()]
     assert lines[0] == "# Anomaly Detection Report"
@@ -120,5 +121,11 @@ def test_cli_stages_end_to_end(spark, tmp_dir):
                    "SELECT name, passed FROM vw_data_quality"], spark)
     assert df.count() == 14
     row = cli.main(["layout", "--out", out, "--zone", "132", "--start", "2023-01-01",
-                    "--end", "2023-01-31"], spark)
+                    "--end", "2023-01-31", "--report", f"{tmp_dir}/layout"], spark)
+    names = cli.main(["report", "--out", out, "--report", f"{tmp_dir}/tables", "--checks", f"{tmp_dir}/val",
+                      "--layout", f"{tmp_dir}/layout"], spark)
+    assert len(names) == 7 and all(spark.read.parquet(f"{tmp_dir}/tables/{n}").columns for n in names)
+    head = spark.read.parquet(f"{tmp_dir}/tables/summary").first()
+    assert head.total_trips == 21 and head.checks_total == 14
+    assert head.wall_clock_speedup_x == row["wall_clock_speedup_x"]
     assert row["clustered_files"] <= row["naive_files"] + 1

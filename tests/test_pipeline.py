@@ -13,8 +13,26 @@ def test_every_nation_has_a_zone(spark):
     assert Pipeline(spark, SF_SMALL).zones.count() == 25
 
 
-def test_stored_trips_are_per_query(spark):
-    plain = Pipeline(spark, SF_SMALL)
-    s1, s2 = Pipeline(spark, SF_SMALL, store_trips=True), Pipeline(spark, SF_SMALL, store_trips=True)
-    assert s1.trips is not s2.trips  # each query writes and reads its own table
-    assert s1.trips.count() == plain.trips.count()
+def executed(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_branches_share_one_deduplication(spark):
+    plan = executed(Pipeline(spark, SF_SMALL).checks)
+    final = plan.split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+
+
+def test_scratch_folders_go_with_the_application(spark):
+    import os
+
+    from tripline.session import ensure_checkpoint_dir, scratch_path
+
+    before = set(os.listdir(f"{ensure_checkpoint_dir(spark)}/tripline-out")) if os.path.isdir(
+        f"{ensure_checkpoint_dir(spark)}/tripline-out") else set()
+    Pipeline(spark, SF_SMALL).checks.collect()
+    Pipeline(spark, SF_SMALL).step_counts.collect()
+    folder = f"{ensure_checkpoint_dir(spark)}/tripline-out"
+    assert not os.path.isdir(folder) or set(os.listdir(folder)) == before  # nothing stored
+    assert os.path.isdir(scratch_path(spark, "x"))

@@ -40,6 +40,12 @@ def test_cleaning_predicates_reach_every_fact_scan(spark):
     assert any("LessThanOrEqual(s_nationkey,23)" in f for f in pushed)
 
 
+def test_year_rule_reaches_the_scan(spark):
+    pushed = re.findall(r"PushedFilters: \[(.*)\]", plan(spark, "clean_trips_year"))
+    assert any("GreaterThanOrEqual(o_orderdate,1997-01-01" in f and "LessThan(o_orderdate,1998-01-01" in f
+               for f in pushed)
+
+
 def test_anomaly_window_is_partitioned(spark):
     t = tree(spark, "anomaly_zscore")
     windows = [line for line in t.splitlines() if re.search(r"\bWindow \[", line)]

@@ -24,16 +24,18 @@ def test_drift_reader_aligns_types_aliases_and_missing(spark, tmp_dir):
     write_month(spark, c, [taxi_row(VendorID=3)], vendor_type="int", rename={"airport_fee": "Airport_fee"})
     groups = drift.file_schemas(spark, [a, b, c])
     assert len(groups) == 2  # two physical schemas -> two scans, not three
-    df, missing = drift.read_aligned(spark, [a, b, c], TAXI_CANONICAL, TAXI_ALIASES)
+    df = drift.read_aligned(spark, [a, b, c], TAXI_CANONICAL, TAXI_ALIASES)
     assert df.count() == 4
     assert dict(df.dtypes)["VendorID"] == "bigint"
     assert [n for n, _ in TAXI_CANONICAL] == df.columns
     assert df.filter("airport_fee IS NULL").count() == 0  # alias resolved
-    assert missing == [("trips_2023-02.parquet", "congestion_surcharge")]
-    assert drift.drift_messages(missing) == [
-        "trips_2023-02.parquet: missing column 'congestion_surcharge' (filled null)"
-    ]
-    assert drift.drift_frame(spark, missing).count() == 1
+    found = drift.drift_frame(spark, [a, b, c], TAXI_CANONICAL, TAXI_ALIASES)
+    row = found.collect()[0]
+    assert found.count() == 1 and row.column_name == "congestion_surcharge" and row.file_name.endswith(".parquet")
+    assert drift.drift_messages(found).collect()[0].message == (
+        f"{row.file_name}: missing column 'congestion_surcharge' (filled null)"
+    )
+    assert drift.failed_values(spark, [a, b, c], TAXI_CANONICAL, TAXI_ALIASES).count() == 0
 
 
 def test_folders_and_any_number_of_files(spark, tmp_dir):
@@ -41,29 +43,41 @@ def test_folders_and_any_number_of_files(spark, tmp_dir):
     write_month(spark, dirs[0], [taxi_row()], vendor_type="int")
     write_month(spark, dirs[1], [taxi_row(), taxi_row(VendorID=2)])
     paths = [dirs[0], *[dirs[1]] * 69]
-    df, missing = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
-    assert df.count() == 1 + 69 * 2 and missing == []
+    df = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
+    assert df.count() == 1 + 69 * 2
+    assert drift.drift_frame(spark, dirs[:2], TAXI_CANONICAL, TAXI_ALIASES).count() == 0
 
 
 def test_text_that_is_no_number_becomes_null(spark, tmp_dir):
     path = f"{tmp_dir}/dirty.parquet"
     spark.createDataFrame([("N/A",), ("3",)], "VendorID string").write.parquet(path)
-    df, _ = drift.read_aligned(spark, [path], TAXI_CANONICAL, TAXI_ALIASES)
+    df = drift.read_aligned(spark, [path], TAXI_CANONICAL, TAXI_ALIASES)
+    failed = drift.failed_values(spark, [path], TAXI_CANONICAL, TAXI_ALIASES)
+    assert {r.column_name: r.failed for r in failed.collect()} == {"VendorID": 1}
     assert sorted(r.VendorID or 0 for r in df.collect()) == [0, 3]
 
 
 def test_empty_input_is_rejected(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
-        files.select_files(f"{tmp_dir}/trips_*.parquet")
+        files.select_files(spark, f"{tmp_dir}/trips_*.parquet")
     with pytest.raises(ValueError):
         drift.read_aligned(spark, [], TAXI_CANONICAL)
 
 
-def test_parse_months():
-    assert files.parse_months("1-12") == list(range(1, 13))
-    assert files.parse_months("1,3,5") == [1, 3, 5]
-    with pytest.raises(ValueError):
-        files.parse_months("1-3,5")
+def test_months():
+    assert files.months_of("1-12") == list(range(1, 13))
+    assert files.months_of("1,3,5") == [1, 3, 5] and files.months_of("7") == [7]
+    for bad in ("1-3,5", "0-4", "13", "5-2", "", "x"):
+        with pytest.raises(ValueError):
+            files.months_of(bad)
+
+
+def test_files_of_some_months(spark, tmp_dir):
+    for m in (1, 2, 3):
+        open(f"{tmp_dir}/trips_0{m}.parquet", "w").close()
+    found = files.select_files(spark, f"{tmp_dir}/trips_{{month}}.parquet", "2-3")
+    assert [os.path.basename(f) for f in found] == ["trips_02.parquet", "trips_03.parquet"]
+    assert len(files.select_files(spark, f"{tmp_dir}/trips_*.parquet")) == 3
 
 
 def test_zone_csv(spark, tmp_dir):
@@ -96,8 +110,23 @@ def test_ingest_manifest_counts_rows_per_file(spark, tmp_dir):
         "row count 2 outside expected sanity range", "row count 3 outside expected sanity range"
     ]
     assert files.assert_ingested(files.ingest_manifest(spark, [a, b])) == 5
-    sizes = files.file_sizes(spark, [f"{a}/*.parquet"]).collect()
-    assert sizes and sizes[0].bytes > 0
+    assert all(r.bytes > 0 for r in out)
+
+
+def test_ingest_manifest_tells_same_names_apart_and_lists_empty_files(spark, tmp_dir):
+    import shutil
+
+    paths = []
+    for name, n in (("y1", 3), ("y2", 5), ("y3", 0)):
+        write_month(spark, f"{tmp_dir}/{name}-out", [taxi_row()] * n)
+        part = next(f for f in os.listdir(f"{tmp_dir}/{name}-out") if f.startswith("part-"))
+        os.mkdir(f"{tmp_dir}/{name}")
+        paths.append(f"{tmp_dir}/{name}/part-0.parquet")
+        shutil.copy(f"{tmp_dir}/{name}-out/{part}", paths[-1])
+    out = {r.file_path.split("/")[-2]: r for r in files.ingest_manifest(spark, paths).collect()}
+    assert {k: r.rows for k, r in out.items()} == {"y1": 3, "y2": 5, "y3": 0}
+    assert out["y3"].warning and all(r.file_name == "part-0.parquet" for r in out.values())
+    assert {k: r.bytes for k, r in out.items()} == {p.split("/")[-2]: os.path.getsize(p) for p in paths}
 
 
 def test_partitioned_roundtrip(spark, tmp_dir):

@@ -5,6 +5,7 @@
     python -m tripline.cli validate --raw '...' --out data/processed --report reports/validation
     python -m tripline.cli anomaly  --out data/processed --report reports/anomaly_report
     python -m tripline.cli ask      --out data/processed --checks reports/validation "SELECT ..."
+    python -m tripline.cli report   --out data/processed --report reports/tables --checks reports/validation
     python -m tripline.cli layout   --out data/processed --zone 132 --start 2023-07-01 --end 2023-07-31
 
 Every stage is a Spark job; the driver only prints small results.
@@ -35,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     v = sub.add_parser("validate")
     v.add_argument("--raw", required=True)
+    for stage in (e, v):
+        stage.add_argument("--months", help="1-12 or 1,3,5: fills a {month} in --raw")
     v.add_argument("--out", required=True)
     v.add_argument("--report")
     a = sub.add_parser("anomaly")
@@ -50,6 +53,12 @@ def _parser() -> argparse.ArgumentParser:
     lay.add_argument("--start", default="2023-07-01")
     lay.add_argument("--end", default="2023-07-31")
     lay.add_argument("--partition", choices=("month", "day"), default="month")
+    lay.add_argument("--report", help="where the measurement is stored, as JSON")
+    r = sub.add_parser("report")
+    r.add_argument("--out", required=True)
+    r.add_argument("--report", required=True, help="folder of the report tables")
+    r.add_argument("--checks", help="validation report folder")
+    r.add_argument("--layout", help="layout report folder")
     return p
 
 
@@ -57,14 +66,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
     args = _parser().parse_args(argv)
     spark = spark or build_session(app_name=f"tripline-{args.cmd}")
     if args.cmd == "etl":
-        paths = files.select_files(args.raw)
-        raw, missing = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
+        paths = files.select_files(spark, args.raw, args.months)
+        raw = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
+        lacking = drift.drift_messages(drift.drift_frame(spark, paths, TAXI_CANONICAL, TAXI_ALIASES))
         zones = files.read_zone_csv(spark, args.zones)
-        manifest = etl.run_etl(spark, raw, zones, TAXI_MODEL, args.out, drift.drift_messages(missing))
+        manifest = etl.run_etl(spark, raw, zones, TAXI_MODEL, args.out, lacking)
         print(json.dumps(manifest, indent=2))
         return manifest
     if args.cmd == "validate":
-        ingest = files.ingest_manifest(spark, files.select_files(args.raw))
+        ingest = files.ingest_manifest(spark, files.select_files(spark, args.raw, args.months))
         files.assert_ingested(ingest)
         total = ingest.agg(F.sum("rows").alias("ingest_total_rows"))
         checks = etl.run_validation(spark, args.out, TAXI_MODEL, total, args.report, gate=False)
@@ -79,6 +89,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         counts = flags.agg(F.count(F.lit(1)), F.count_if("is_anomalous")).first()
         print(f"scored {counts[0]:,} points, {counts[1]:,} flagged")
         return counts
+    if args.cmd == "report":
+        names = etl.run_reports(spark, args.out, args.report, TAXI_MODEL, args.checks, args.layout)
+        print("wrote " + ", ".join(names))
+        return names
     if args.cmd == "ask":
         out = args.out.rstrip("/")
         checks = etl.load_checks(spark, args.checks) if args.checks else spark.createDataFrame(
@@ -102,6 +116,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         report = layout.benchmark(spark, f"{out}/trips_clustered", f"{out}/trips_plain", TAXI_MODEL,
                                   args.zone, args.start, args.end, part)
         row = report.first().asDict()
+        if args.report:
+            spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").json(args.report)
         print(json.dumps(row, indent=2))
         return row
     raise SystemExit(2)

@@ -2,19 +2,22 @@
 
 Money and averages are computed so the answer does not depend on how the
 rows were partitioned: amounts are summed as DECIMAL, and an average is an
-exact DECIMAL sum divided once, in double, by the count.
+exact DECIMAL sum divided once, in double, by the count.  No value is cut: a
+double that a DECIMAL does not hold exactly is summed as a double.
 """
 
 from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, IntegralType
 
-MONEY = DecimalType(18, 4)
-# Unscaled integer form of a MONEY value (value * 10^4), for exact moments.
+# Doubles are summed at this scale where it holds them exactly: 18 digits
+# before the point and 10 after it, with room for 10^10 rows in the sum.
+EXACT = DecimalType(28, 10)
+# Unscaled integer form of an amount (value * 10^4), for exact moments.
 MONEY_SCALE = 10_000
 WIDE_INT = DecimalType(38, 0)
 
@@ -26,27 +29,41 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(c: Column | str) -> Column:
-    """SUM of an amount as DECIMAL (order independent)."""
-    return F.sum(col(c).cast(MONEY))
+def _sum_of_doubles(c: Column, scale: DecimalType) -> Column:
+    """SUM of doubles as a double: exact over the values that ``scale`` holds,
+    plus the double sum of the others (tiny, huge, infinite, NaN)."""
+    fixed = c.try_cast(scale)
+    held = F.coalesce(fixed.cast("double") == c, F.lit(False))
+    exact = F.sum(F.when(held, fixed)).cast("double")
+    rest = F.sum(F.when(~held, c))
+    return F.when(
+        F.count(c) > 0, F.coalesce(exact, F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))
+    )
 
 
-def exact_avg(c: Column | str) -> Column:
-    """AVG whose sum is exact: DECIMAL sum / count, one double division."""
-    c = col(c)
-    return F.try_divide(F.sum(c.cast(MONEY)).cast("double"), F.count(c).cast("double"))
+def exact_sum(df: DataFrame, name: str) -> Column:
+    """SUM of an amount: in its own type for DECIMAL and integer columns, a
+    double for others."""
+    if isinstance(df.schema[name].dataType, (DecimalType, IntegralType)):
+        return F.sum(name)
+    return _sum_of_doubles(F.col(name).cast("double"), EXACT)
+
+
+def exact_avg(df: DataFrame, name: str) -> Column:
+    """AVG whose sum is ``exact_sum``: one double division by the count."""
+    return F.try_divide(exact_sum(df, name).cast("double"), F.count(name).cast("double"))
 
 
-# Scale at which an average of doubles is summed exactly (shortest text of
-# each double, up to 18 decimals).
-AVG_TEXT = DecimalType(38, 18)
+# Scale at which averages are summed exactly (shortest text of each double, up
+# to 18 decimals and 14 digits before the point, for 10^6 groups in a sum).
+AVG_TEXT = DecimalType(32, 18)
 
 
 def avg_of_doubles(c: Column | str) -> Column:
     """AVG of double values (e.g. per-group averages) summed exactly as
     DECIMAL, so the result does not depend on the order rows arrive in."""
     c = col(c)
-    return F.try_divide(F.sum(c.cast(AVG_TEXT)).cast("double"), F.count(c).cast("double"))
+    return F.try_divide(_sum_of_doubles(c, AVG_TEXT), F.count(c).cast("double"))
 
 
 def minutes_avg(minutes: Column | str) -> Column:
@@ -56,10 +73,6 @@ def minutes_avg(minutes: Column | str) -> Column:
     return F.try_divide(F.sum(seconds).cast("double"), F.count(m) * 60.0)
 
 
-def to_double(c: Column | str) -> Column:
-    return col(c).cast("double")
-
-
 def sunday_week(d: Column | str) -> Column:
     """Start of the Sunday-based week containing date ``d``."""
     d = col(d)

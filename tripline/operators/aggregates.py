@@ -17,11 +17,11 @@ def daily_zone(trips: DataFrame, model: TripModel) -> DataFrame:
     Partial + final hash aggregate; NULL boroughs/zones stay as groups."""
     return trips.groupBy("pickup_date", model.origin, "pickup_borough", "pickup_zone").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        exact_sum(model.total).alias("total_revenue"),
-        exact_avg(model.fare).alias("avg_fare"),
-        exact_avg(model.distance).alias("avg_distance"),
+        exact_sum(trips, model.total).alias("total_revenue"),
+        exact_avg(trips, model.fare).alias("avg_fare"),
+        exact_avg(trips, model.distance).alias("avg_distance"),
         minutes_avg("trip_duration_min").alias("avg_duration_min"),
-        exact_avg("revenue_per_mile").alias("avg_revenue_per_mile"),
+        exact_avg(trips, "revenue_per_mile").alias("avg_revenue_per_mile"),
     )
 
 
@@ -29,9 +29,9 @@ def hourly_profile(trips: DataFrame, fare: str) -> DataFrame:
     """``(pickup_hour, pickup_dow, pickup_borough)`` -> count and averages."""
     return trips.groupBy("pickup_hour", "pickup_dow", "pickup_borough").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        exact_avg(fare).alias("avg_fare"),
+        exact_avg(trips, fare).alias("avg_fare"),
         minutes_avg("trip_duration_min").alias("avg_duration_min"),
-        exact_avg("avg_speed_mph").alias("avg_speed_mph"),
+        exact_avg(trips, "avg_speed_mph").alias("avg_speed_mph"),
     )
 
 

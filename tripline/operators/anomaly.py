@@ -89,9 +89,10 @@ def weekday_zscore(points: DataFrame) -> DataFrame:
 
 def anomalies(series: DataFrame) -> DataFrame:
     """Every (grain, metric) of a city-wide + borough daily series, scored.
-    Output: pickup_date, grain, metric, value, rolling_mean, rolling_std,
-    z_score, is_anomalous."""
-    return weekday_zscore(long_series(series)).drop("grain_type")
+    Output: pickup_date, grain_type, grain, metric, value, rolling_mean,
+    rolling_std, z_score, is_anomalous; the type tells the total from a borough
+    of the same name."""
+    return weekday_zscore(long_series(series))
 
 
 def flag_counts(scored: DataFrame) -> DataFrame:

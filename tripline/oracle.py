@@ -22,10 +22,9 @@ from tripline.operators import quality as Q
 from tripline.operators.quality import (
     DUPLICATE_MAX_RATE,
     NULL_MAX_RATE,
-    drift_check_literal,
-    schema_check_literal,
 )
 from tripline.plans import catalog
+from tripline.sources import tables
 from tripline.sources.files import VOLUME_WARNING
 
 LO, HI = M.zone_range
@@ -44,7 +43,8 @@ def _f(x: str) -> str:
 
 
 def _exact_avg(x: str) -> str:
-    return f"{_d(f'SUM(CAST({x} AS DECIMAL(18,4)))')} / CAST(NULLIF(COUNT({x}), 0) AS DOUBLE)"
+    fixed = f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,10))"
+    return f"{_d(f'SUM({fixed})')} / CAST(NULLIF(COUNT({x}), 0) AS DOUBLE)"
 
 
 def _avg_dbl(x: str) -> str:
@@ -150,7 +150,7 @@ def _base(with_copies: bool = False) -> list[str]:
         f"""daily AS (
   SELECT pickup_date, {M.origin}, pickup_borough, pickup_zone,
     COUNT(*) AS trip_count,
-    SUM(CAST({M.total} AS DECIMAL(18,4))) AS total_revenue,
+    SUM({M.total}) AS total_revenue,
     {_exact_avg(M.fare)} AS avg_fare,
     {_exact_avg(M.distance)} AS avg_distance,
     {_minutes_avg('trip_duration_min')} AS avg_duration_min,
@@ -165,8 +165,10 @@ def _base(with_copies: bool = False) -> list[str]:
         f"""events_shaped AS (
   SELECT CAST(hour(ts) AS INTEGER) AS pickup_hour, strftime(ts, '%a') AS pickup_dow,
          event_type AS pickup_borough, value AS fare,
-         CAST(NULL AS DOUBLE) AS trip_duration_min, CAST(NULL AS DOUBLE) AS avg_speed_mph
-  FROM events)""",
+         secs / CAST(60 AS DOUBLE) AS trip_duration_min,
+         {_r("distance / NULLIF(secs / CAST(60 AS DOUBLE) / CAST(60 AS DOUBLE), 0)", 2)} AS avg_speed_mph
+  FROM (SELECT *, round(value * 60) AS secs,
+          TRY_CAST(regexp_extract(props, '"k": *([0-9.]+)', 1) AS DOUBLE) AS distance FROM events))""",
         f"""event_hourly AS (
   SELECT pickup_hour, pickup_dow, pickup_borough, COUNT(*) AS trip_count,
     {_exact_avg('fare')} AS avg_fare,
@@ -194,13 +196,13 @@ def _base(with_copies: bool = False) -> list[str]:
   WINDOW w AS (PARTITION BY grain_type, grain, metric, isodow(pickup_date)
                ORDER BY pickup_date ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING))""",
         f"""stats AS (
-  SELECT pickup_date, grain, metric, {_d('value')} AS value, n,
+  SELECT pickup_date, grain_type, grain, metric, {_d('value')} AS value, n,
     n * s2 - s1 * s1 AS var_num,
     {_d('s1')} / (CAST(n AS DOUBLE) * CAST(10000 AS DOUBLE)) AS mean,
     sqrt({_d('n * s2 - s1 * s1')} / CAST(n * (n - 1) AS DOUBLE)) / CAST(10000 AS DOUBLE) AS std
   FROM moments)""",
         """flags AS (
-  SELECT pickup_date, grain, metric, value,
+  SELECT pickup_date, grain_type, grain, metric, value,
     CASE WHEN n >= 3 THEN mean END AS rolling_mean,
     CASE WHEN n >= 3 THEN std END AS rolling_std,
     CASE WHEN n >= 3 AND var_num > 0 THEN (value - mean) / std END AS z_score
@@ -236,7 +238,7 @@ def _base(with_copies: bool = False) -> list[str]:
     {_r(_avg_dbl('avg_fare'), 2)} AS avg_fare, {_r(_avg_dbl('avg_speed_mph'), 2)} AS avg_speed_mph
   FROM event_hourly GROUP BY pickup_dow, pickup_hour)""",
         """overlay AS (
-  SELECT pickup_date AS day, grain, metric, value, rolling_mean, z_score, is_anomalous
+  SELECT pickup_date AS day, grain_type, grain, metric, value, rolling_mean, z_score, is_anomalous
   FROM scored)""",
     ]
 
@@ -249,8 +251,27 @@ def _checks_ctes() -> list[str]:
         "dropoff_borough", "dropoff_zone", "trip_duration_min", "avg_speed_mph",
         "revenue_per_mile", "pickup_date", "pickup_hour", "pickup_dow", "year_month",
     ]
-    schema_ok, schema_detail = schema_check_literal(trips_cols, M.expected_columns)
-    drift_ok, drift_detail = drift_check_literal([])
+    wanted_cols = [
+        "l_suppkey", "o_orderdate", "l_shipdate", "l_linenumber", "l_quantity", "c_nationkey", "s_nationkey",
+        "o_orderpriority", "l_extendedprice", "total_amount", "pickup_borough", "pickup_zone",
+        "dropoff_borough", "dropoff_zone", "trip_duration_min", "avg_speed_mph", "revenue_per_mile",
+        "pickup_date", "pickup_hour", "pickup_dow", "year_month",
+    ]
+
+    def names(found, others):
+        """Those of ``found`` that ``others`` lack, as the text of a list."""
+        lists = [", ".join(_lit(n) for n in part) for part in (found, others)]
+        left = f"list_sort([chr(39) || x || chr(39) FOR x IN [{lists[0]}] IF NOT list_contains([{lists[1]}], x)])"
+        return f"('[' || array_to_string({left}, ', ') || ']')"
+
+    lacking, extra = names(wanted_cols, trips_cols), names(trips_cols, wanted_cols)
+    schema_ok = f"{lacking} = '[]'"
+    schema_detail = f"'missing=' || {lacking} || ', extra(unexpected)=' || {extra}"
+    drift_text = "file_name || ': missing column ' || chr(39) || column_name || chr(39) || ' (filled null)'"
+    drift = f"""drift_found AS (SELECT COUNT(*) AS n, list_sort(list(DISTINCT {drift_text})) AS texts
+  FROM ({_drift_rows()}))"""
+    drift_detail = """n || ' column(s) drifted across source files' || CASE WHEN n > 0
+    THEN ': ["' || array_to_string(texts[1:5], '", "') || '"]' ELSE '' END"""
     nulls = ",\n    ".join(
         f"COUNT(*) FILTER (WHERE {c} IS NULL) AS \"nulls:{c}\"" for c in M.null_checked
     )
@@ -314,10 +335,10 @@ def _checks_ctes() -> list[str]:
     rows = [
         reconcile("ingest_to_etl_read", "ingest_total_rows", "raw_rows_read",
                   "ingest.total_rows", "etl.raw_rows_read"),
-        f"SELECT {_lit(Q.DRIFT_NAME)}, 'warning', {str(drift_ok).lower()}, {_lit(drift_detail)}",
+        f"SELECT {_lit(Q.DRIFT_NAME)}, 'warning', n = 0, {drift_detail} FROM drift_found",
         reconcile("etl_manifest_to_physical_parquet", "final_cleaned_rows", "physical_rows",
                   "etl.final_cleaned_rows", "physical rows in trips_cleaned/"),
-        f"SELECT {_lit(Q.SCHEMA_NAME)}, 'error', {str(schema_ok).lower()}, {_lit(schema_detail)}",
+        f"SELECT {_lit(Q.SCHEMA_NAME)}, 'error', {schema_ok}, {schema_detail}",
         *[null_rate(c) for c in M.null_checked],
         value_range(M.fare, *M.fare_range),
         value_range(M.distance, *M.distance_range),
@@ -327,7 +348,7 @@ def _checks_ctes() -> list[str]:
         reconcile("trips_to_hourly_profile", "physical_rows", "hourly_trip_sum",
                   "physical trips_cleaned rows", "sum(hourly_profile.trip_count)"),
     ]
-    return [bag, "checks AS (\n  " + "\n  UNION ALL ".join(rows) + ")"]
+    return [bag, drift, "checks AS (\n  " + "\n  UNION ALL ".join(rows) + ")"]
 
 
 def _with(final: str, with_copies: bool = False, checks: bool = False) -> str:
@@ -341,9 +362,9 @@ def _money(cols: list[str]) -> str:
 
 def _drift_rows() -> str:
     parts = []
-    for table in catalog.DRIFT_TABLES:
-        for name, _ in catalog.DRIFT_CANONICAL:
-            names = (name,) + catalog.DRIFT_ALIASES.get(name, ())
+    for table in tables.DRIFT_TABLES:
+        for name, _ in tables.DRIFT_CANONICAL:
+            names = (name,) + tables.DRIFT_ALIASES.get(name, ())
             in_list = ", ".join(f"'{n}'" for n in names)
             parts.append(
                 f"SELECT '{table}.parquet' AS file_name, '{name}' AS column_name "
@@ -358,12 +379,22 @@ def _reject_profile() -> str:
     cols = ["COUNT(*) AS rows_in"] + [
         f"COUNT(*) FILTER (WHERE NOT COALESCE({p}, false)) AS \"{n}\"" for n, p in KEEP_RULES
     ] + [f"COUNT(*) FILTER (WHERE NOT COALESCE({keep_all}, false)) AS any_rule"]
-    names = ["rows_in"] + [n for n, _ in KEEP_RULES] + ["any_rule"]
-    unions = "\nUNION ALL ".join(f"SELECT '{n}' AS rule, \"{n}\" AS rejected FROM prof" for n in names)
+    inputs = {
+        "rows_in": [], "start_present": [M.start], "end_present": [M.end], "order": [M.start, M.end],
+        "duration": [M.start, M.end], "party": [M.party], "distance": [M.distance], "fare": [M.fare],
+        "total": [M.total], "origin": [M.origin], "destination": [M.dest],
+        "any_rule": [M.start, M.end, M.party, M.distance, M.fare, M.total, M.origin, M.dest],
+    }
+    for n, columns in inputs.items():
+        null = " OR ".join(f"{c} IS NULL" for c in columns) or "false"
+        cols.append(f"COUNT(*) FILTER (WHERE {null}) AS \"null:{n}\"")
+    unions = "\nUNION ALL ".join(
+        f"SELECT '{n}' AS rule, \"{n}\" AS rejected, \"null:{n}\" AS missing FROM prof" for n in inputs
+    )
     return _with(f", prof AS (SELECT {', '.join(cols)} FROM raw)\n{unions}")
 
 
-def _step_counts() -> str:
+def _step_counts(with_copies: bool) -> str:
     return _with(
         """SELECT CAST(r.n AS BIGINT) AS raw_rows_read, CAST(r.n - c.n AS BIGINT) AS invalid_rows_dropped,
   CAST(c.n - t.n AS BIGINT) AS duplicate_rows_dropped, CAST(t.n AS BIGINT) AS final_cleaned_rows,
@@ -371,7 +402,7 @@ def _step_counts() -> str:
 FROM (SELECT COUNT(*) AS n FROM raw) r, (SELECT COUNT(*) AS n FROM cleaned) c,
      (SELECT COUNT(*) AS n FROM trips) t, (SELECT COUNT(*) AS n FROM daily) d,
      (SELECT COUNT(*) AS n FROM hourly) h""",
-        with_copies=True,
+        with_copies=with_copies,
     )
 
 
@@ -391,7 +422,7 @@ SELECT CAST(s_suppkey AS BIGINT), s_name, CAST(s_nationkey AS BIGINT), CAST(s_ac
         "SELECT year_month, COUNT(*) AS rows FROM trips GROUP BY year_month"
     )
     warning = _fill(VOLUME_WARNING, file="file_name", rows=_fmt_count("rows"))
-    q["ingest_manifest"] = f"SELECT *, CASE WHEN NOT in_bounds THEN {warning} END AS warning FROM (" + \
+    q["ingest_manifest"] = f"SELECT *, CASE WHEN NOT in_bounds THEN {warning} END AS warning, true AS has_bytes FROM (" + \
         "\nUNION ALL ".join(
             f"SELECT '{t}.parquet' AS file_name, COUNT(*) AS rows, "
             f"COUNT(*) BETWEEN 500000 AND 10000000 AS in_bounds FROM {t}"
@@ -399,11 +430,17 @@ SELECT CAST(s_suppkey AS BIGINT), s_name, CAST(s_nationkey AS BIGINT), CAST(s_ac
         ) + ")"
     # cleaning
     q["clean_trips"] = _with(f"SELECT * REPLACE ({_d('total_amount')} AS total_amount) FROM cleaned")
+    q["clean_trips_year"] = _with(
+        f"SELECT * REPLACE ({_d('total_amount')} AS total_amount) FROM cleaned WHERE year({M.start}) = 1997"
+    )
     q["clean_reject_profile"] = _reject_profile()
     q["dedupe_exact"] = _with(
         f"SELECT * REPLACE ({_d('total_amount')} AS total_amount) FROM deduped", with_copies=True
     )
-    q["etl_step_counts"] = _step_counts()
+    q["etl_step_counts"] = _step_counts(with_copies=True)
+    q["etl_manifest_steps"] = _step_counts(with_copies=False)
+    q["src_zone_csv"] = _with("SELECT CAST(zone_id AS INTEGER) AS zone_id, borough, zone FROM zones")
+    q["etl_report"] = _with("SELECT * FROM checks", checks=True)
     # enrichment
     q["enrich_zones"] = _with(f"SELECT * REPLACE ({_d('total_amount')} AS total_amount) FROM attached")
     q["derive_trip_metrics"] = _with(
@@ -413,6 +450,10 @@ SELECT CAST(s_suppkey AS BIGINT), s_name, CAST(s_nationkey AS BIGINT), CAST(s_ac
     q["derive_calendar"] = _with(
         f"SELECT {key_cols}, {M.start}, pickup_date, pickup_hour, pickup_dow, year_month FROM trips"
     )
+    q["derive_event_calendar"] = (
+        "SELECT event_id, ts, CAST(ts AS DATE) AS pickup_date, CAST(hour(ts) AS INTEGER) AS pickup_hour, "
+        "strftime(ts, '%a') AS pickup_dow, strftime(ts, '%Y-%m') AS year_month FROM events"
+    )
     # aggregates
     q["agg_daily_zone"] = _with(f"SELECT * REPLACE ({_d('total_revenue')} AS total_revenue) FROM daily")
     q["agg_hourly_profile"] = _with("SELECT * FROM event_hourly")
@@ -460,7 +501,8 @@ FROM cohorts GROUP BY 1, 2"""
     q["view_data_quality"] = _with("SELECT * FROM checks", checks=True)
     # anomaly
     q["anomaly_zscore"] = _with(
-        "SELECT pickup_date, grain, metric, value, rolling_mean, rolling_std, z_score, is_anomalous FROM scored"
+        "SELECT pickup_date, grain_type, grain, metric, value, rolling_mean, rolling_std, z_score, "
+        "is_anomalous FROM scored"
     )
     q["anomaly_flagged"] = _with(
         f"SELECT pickup_date AS date, grain, metric, {_r('value', 2)} AS value, "
@@ -524,7 +566,7 @@ FROM checks""",
     q["dash_anomaly_overlay"] = _with(
         "SELECT CAST(day AS TIMESTAMP) AS time, value AS trips, "
         "CASE WHEN is_anomalous THEN value END AS anomaly FROM overlay "
-        "WHERE grain = 'citywide' AND metric = 'trip_count' ORDER BY day"
+        "WHERE grain_type = 'citywide' AND metric = 'trip_count' ORDER BY day"
     )
     # report
     q["report_summary"] = _with(
@@ -599,7 +641,7 @@ FROM z ORDER BY rev DESC, pickup_zone, pickup_borough LIMIT 25"""
     # layout
     layout_sql = _with(
         f"""SELECT pickup_date AS day, COUNT(*) AS trips,
-  {_d(f'round(SUM(CAST({M.total} AS DECIMAL(18,4))), 2)')} AS revenue,
+  {_d(f'round(SUM({M.total}), 2)')} AS revenue,
   {_r(_exact_avg(M.distance), 3)} AS avg_distance
 FROM trips
 WHERE pickup_date BETWEEN DATE '{catalog.LAYOUT_START}' AND DATE '{catalog.LAYOUT_END}'
@@ -608,4 +650,5 @@ GROUP BY pickup_date"""
     )
     q["layout_clustered_query"] = layout_sql
     q["layout_naive_query"] = layout_sql
+    q["etl_written_daily"], q["etl_written_flags"] = q["agg_daily_zone"], q["anomaly_zscore"]
     return q

@@ -7,13 +7,15 @@ full.  Money stays DECIMAL inside plans; results present it as double.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, LongType, StringType
+from pyspark.sql.types import DecimalType
 
+from tripline.model import ORDERS_MODEL
 from tripline.operators import anomaly, clean, enrich, quality, report
-from tripline.plans import adhoc, layout, views
+from tripline.plans import adhoc, etl, layout, views
 from tripline.plans.pipeline import Pipeline
 from tripline.session import scratch_path
 from tripline.sources import drift, files, tables
@@ -25,24 +27,6 @@ LAYOUT_ZONE = 7
 LAYOUT_START = "1997-07-01"
 LAYOUT_END = "1997-09-30"
 
-# Canonical "monthly file" schema for the drift reader test binding: the
-# customer and supplier tables play two files of one source.
-DRIFT_CANONICAL = [
-    ("key", LongType()),
-    ("name", StringType()),
-    ("nationkey", LongType()),
-    ("acctbal", DoubleType()),
-    ("mktsegment", StringType()),
-]
-DRIFT_ALIASES = {
-    "key": ("c_custkey", "s_suppkey"),
-    "name": ("c_name", "s_name"),
-    "nationkey": ("c_nationkey", "s_nationkey"),
-    "acctbal": ("c_acctbal", "s_acctbal"),
-    "mktsegment": ("c_mktsegment",),
-}
-DRIFT_TABLES = ("customer", "supplier")
-
 GUARDED_SQL = (
     "SELECT day, trips, revenue FROM vw_daily_kpis "
     "WHERE revenue > (SELECT AVG(revenue) FROM vw_daily_kpis) "
@@ -81,38 +65,29 @@ def queries() -> dict[str, QueryFn]:
     return dict(_REGISTRY)
 
 
-def _stored(spark, sf_dir, **kw) -> Pipeline:
-    """A pipeline whose enriched trips are written once and read back: for
-    queries that consume them in several branches."""
-    return Pipeline(spark, sf_dir, store_trips=True, **kw)
-
-
 def _checks_of(spark, sf_dir, *families: str) -> DataFrame:
-    """One check family.  Families that need a single pass over the trips run
-    on the lazy pipeline; those with several branches read stored trips."""
-    multi = {"reconcile", "duplicate"} & set(families)
-    p = _stored(spark, sf_dir) if multi else Pipeline(spark, sf_dir)
-    return p.checks_of(families)
+    """One check family, with the counts that it needs only."""
+    return Pipeline(spark, sf_dir).checks_of(families)
 
 
 # --- sources ---------------------------------------------------------------------
 
 
-def _drift_read(spark, sf_dir):
-    paths = [tables.table_path(sf_dir, t) for t in DRIFT_TABLES]
-    return drift.read_aligned(spark, paths, DRIFT_CANONICAL, DRIFT_ALIASES)
+def _drift_source(sf_dir: str) -> tuple:
+    paths = [tables.table_path(sf_dir, t) for t in tables.DRIFT_TABLES]
+    return paths, tables.DRIFT_CANONICAL, tables.DRIFT_ALIASES
 
 
 @query("src_align_union")
 def src_align_union(spark, sf_dir):
     """Two files with drifting schemas, grouped by footer schema, cast to the
     canonical schema and unioned by name."""
-    return _drift_read(spark, sf_dir)[0]
+    return drift.read_aligned(spark, *_drift_source(sf_dir))
 
 
 @query("src_schema_drift")
 def src_schema_drift(spark, sf_dir):
-    return drift.drift_frame(spark, _drift_read(spark, sf_dir)[1])
+    return drift.drift_frame(spark, *_drift_source(sf_dir))
 
 
 @query("src_partition_roundtrip")
@@ -127,7 +102,14 @@ def src_partition_roundtrip(spark, sf_dir):
 
 @query("ingest_manifest")
 def ingest_manifest(spark, sf_dir):
-    return Pipeline(spark, sf_dir).manifest
+    manifest = Pipeline(spark, sf_dir).manifest
+    return manifest.select("file_name", "rows", "in_bounds", "warning", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query("ingest_manifest_bytes")
+def ingest_manifest_bytes(spark, sf_dir):
+    """Bytes of every source file; a database over views does not know them."""
+    return Pipeline(spark, sf_dir).manifest.select("file_name", "bytes", "rows")
 
 
 # --- cleaning --------------------------------------------------------------------
@@ -138,6 +120,12 @@ def clean_trips(spark, sf_dir):
     return Pipeline(spark, sf_dir).cleaned
 
 
+@query("clean_trips_year")
+def clean_trips_year(spark, sf_dir):
+    """Cleaning with the year rule: one year of start dates."""
+    return Pipeline(spark, sf_dir, replace(ORDERS_MODEL, year=1997)).cleaned
+
+
 @query("clean_reject_profile")
 def clean_reject_profile(spark, sf_dir):
     p = Pipeline(spark, sf_dir)
@@ -152,12 +140,57 @@ def dedupe_exact(spark, sf_dir):
 
 @query("etl_step_counts")
 def etl_step_counts(spark, sf_dir):
-    return _stored(spark, sf_dir, with_copies=True).step_counts.select(
+    return Pipeline(spark, sf_dir, with_copies=True).step_counts.select(
         "raw_rows_read", "invalid_rows_dropped", "duplicate_rows_dropped",
         "final_cleaned_rows", "daily_zone_agg_rows", "hourly_profile_rows",
     )
 
 
+@query("src_zone_csv")
+def src_zone_csv(spark, sf_dir):
+    """The zone dimension written as a lookup CSV and read back."""
+    path = scratch_path(spark, "zones_csv")
+    Pipeline(spark, sf_dir).zones.select(
+        F.col("zone_id").alias("LocationID"), F.col("borough").alias("Borough"), F.col("zone").alias("Zone"),
+        F.lit("zone").alias("service_zone"),
+    ).write.mode("overwrite").option("header", True).csv(path)
+    return files.read_zone_csv(spark, path)
+
+
+def _etl(spark, sf_dir) -> tuple[Pipeline, str]:
+    """The ETL job on the driver tables: its tables and manifest in a folder."""
+    p, out = Pipeline(spark, sf_dir), scratch_path(spark, "etl")
+    etl.run_etl(spark, p.raw, p.zones, p.model, out, p.drift)
+    return p, out
+
+
+@query("etl_written_daily")
+def etl_written_daily(spark, sf_dir):
+    """The daily aggregate that the ETL job wrote."""
+    return spark.read.parquet(f"{_etl(spark, sf_dir)[1]}/daily_zone_agg")
+
+
+@query("etl_manifest_steps")
+def etl_manifest_steps(spark, sf_dir):
+    """Step counts of the ETL job, read from its manifest document."""
+    path = f"{_etl(spark, sf_dir)[1]}/etl_manifest"
+    return files.read_json_report(spark, path, etl.MANIFEST_SCHEMA, required=True).select("steps.*")
+
+
+@query("etl_report")
+def etl_report(spark, sf_dir):
+    """Checks over the written tables, read from the validation report."""
+    p, out = _etl(spark, sf_dir)
+    etl.run_validation(spark, out, p.model, p.ingest_rows, f"{out}/validation", gate=False)
+    return etl.load_checks(spark, f"{out}/validation")
+
+
+@query("etl_written_flags")
+def etl_written_flags(spark, sf_dir):
+    """Anomaly flags that the anomaly job wrote from the ETL's aggregate."""
+    return etl.run_anomaly(spark, _etl(spark, sf_dir)[1])
+
+
 # --- enrichment ------------------------------------------------------------------
 
 
@@ -186,6 +219,13 @@ def derive_calendar(spark, sf_dir):
     )
 
 
+@query("derive_event_calendar")
+def derive_event_calendar(spark, sf_dir):
+    """Calendar columns of timestamps with a time of day."""
+    events = tables.read_table(spark, sf_dir, "events").select("event_id", "ts")
+    return enrich.derive_calendar(events, replace(ORDERS_MODEL, start="ts"))
+
+
 # --- aggregates ------------------------------------------------------------------
 
 
@@ -244,7 +284,7 @@ def view_zone_weekly_cohort(spark, sf_dir):
 
 @query("view_data_quality")
 def view_data_quality(spark, sf_dir):
-    return views.ordered("vw_data_quality", views.data_quality(_stored(spark, sf_dir).checks))
+    return views.ordered("vw_data_quality", views.data_quality(Pipeline(spark, sf_dir).checks))
 
 
 # --- anomaly ---------------------------------------------------------------------
@@ -300,12 +340,12 @@ def dq_reconcile(spark, sf_dir):
 
 @query("dq_results")
 def dq_results(spark, sf_dir):
-    return _stored(spark, sf_dir).checks
+    return Pipeline(spark, sf_dir).checks
 
 
 @query("dq_summary")
 def dq_summary(spark, sf_dir):
-    return quality.summary(_stored(spark, sf_dir).checks)
+    return quality.summary(Pipeline(spark, sf_dir).checks)
 
 
 # --- dashboard -------------------------------------------------------------------
@@ -318,7 +358,7 @@ def dash_totals(spark, sf_dir):
 
 @query("dash_failing_checks")
 def dash_failing_checks(spark, sf_dir):
-    return views.dash_failing_checks(_stored(spark, sf_dir).checks)
+    return views.dash_failing_checks(Pipeline(spark, sf_dir).checks)
 
 
 @query("dash_daily_series")
@@ -351,7 +391,7 @@ def dash_anomaly_overlay(spark, sf_dir):
 
 @query("report_summary")
 def report_summary(spark, sf_dir):
-    p = _stored(spark, sf_dir)
+    p = Pipeline(spark, sf_dir)
     return report.summary(p.daily, p.stage_counts, p.checks, p.flags, p.model.origin)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql.types import (
 
 from tripline.functions import fill
 from tripline.model import TripModel
-from tripline.operators import aggregates, anomaly, clean, enrich, quality
+from tripline.operators import aggregates, anomaly, clean, enrich, quality, report
 from tripline.sources.files import read_json_report, read_partitioned, write_partitioned
 
 STEP_NAMES = (
@@ -58,7 +58,7 @@ def run_etl(
     zones: DataFrame,
     model: TripModel,
     out_dir: str,
-    drift_messages: list[str] | None = None,
+    drift: DataFrame | None = None,
 ) -> dict:
     """Write trips_cleaned (month partitions), daily_zone_agg, hourly_profile
     and etl_manifest under ``out_dir``; return the manifest as a dict."""
@@ -97,7 +97,8 @@ def run_etl(
             "daily_zone_agg_rows": _count(obs_daily),
             "hourly_profile_rows": _count(obs_hourly),
         },
-        "schema_drift": list(drift_messages or []),
+        # files x missing columns, never rows
+        "schema_drift": sorted(r[0] for r in drift.collect()) if drift is not None else [],
         "elapsed_seconds": round(time.time() - t0, 1),
     }
     write_manifest(spark, manifest, f"{out_dir}/etl_manifest")
@@ -134,9 +135,7 @@ def run_validation(
     ``gate``.  Returns the checks DataFrame."""
     out_dir = out_dir.rstrip("/")
     manifest = read_json_report(spark, f"{out_dir}/etl_manifest", MANIFEST_SCHEMA, required=True)
-    # drift messages are metadata (bounded by files x columns), used as text
-    drift = [m for r in manifest.select(F.explode_outer("schema_drift")).collect() for m in r
-             if m is not None]
+    drift = manifest.select(F.explode("schema_drift").alias("message"))
     counts = manifest_counts(manifest).filter(
         F.col("name").isin("raw_rows_read", "final_cleaned_rows")
     ).unionByName(
@@ -175,10 +174,10 @@ def write_report(checks: DataFrame, path: str) -> None:
 def load_checks(spark: SparkSession, report_path: str) -> DataFrame:
     """Flatten a validation report into the 4-column checks table; a missing
     report or an empty check list gives an empty table."""
-    report = read_json_report(spark, report_path)
-    if report is None or "checks" not in report.columns:
+    found = read_json_report(spark, report_path)
+    if found is None or "checks" not in found.columns:
         return spark.createDataFrame([], CHECK_SCHEMA)
-    return report.select(F.explode("checks").alias("c")).select(
+    return found.select(F.explode("checks").alias("c")).select(
         "c.name", "c.severity", F.col("c.passed").cast("boolean").alias("passed"), "c.detail"
     )
 
@@ -196,6 +195,34 @@ def run_anomaly(spark: SparkSession, out_dir: str, report_path: str | None = Non
     return stored
 
 
+def run_reports(
+    spark: SparkSession, out_dir: str, path: str, model: TripModel,
+    checks_path: str | None = None, layout_path: str | None = None,
+) -> list[str]:
+    """Write the report tables over the stored outputs as Parquet folders under
+    ``path``; returns their names.  The checks and the layout benchmark come
+    from their own stored reports, where there are any."""
+    out_dir, path = out_dir.rstrip("/"), path.rstrip("/")
+    daily, hourly, flags = (
+        spark.read.parquet(f"{out_dir}/{t}") for t in ("daily_zone_agg", "hourly_profile", "anomaly_flags")
+    )
+    manifest = read_json_report(spark, f"{out_dir}/etl_manifest", MANIFEST_SCHEMA, required=True)
+    checks = load_checks(spark, checks_path) if checks_path else spark.createDataFrame([], CHECK_SCHEMA)
+    measured = read_json_report(spark, layout_path) if layout_path else None
+    frames = {
+        "summary": report.summary(daily, manifest_counts(manifest), checks, flags, model.origin, measured),
+        "daily": report.daily(daily),
+        "monthly": report.monthly(daily),
+        "zone_top": report.zone_top(daily),
+        "hourly_matrix": report.hourly_matrix(hourly),
+        "anomalies": report.flagged(flags),
+        "checks": checks,
+    }
+    for name, frame in frames.items():
+        frame.write.mode("overwrite").parquet(f"{path}/{name}")
+    return list(frames)
+
+
 def write_anomaly_report(flags: DataFrame, path: str, top_n: int = 50) -> None:
     """Markdown report: method line, totals, then the top |z| points.  The
     text is built from one aggregate row and at most ``top_n`` point rows."""

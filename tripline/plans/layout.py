@@ -7,7 +7,7 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.functions import exact_avg
+from tripline.functions import exact_avg, exact_sum
 from tripline.model import TripModel
 from tripline.sources.files import write_partitioned
 
@@ -50,8 +50,8 @@ def zone_period_query(table: DataFrame, model: TripModel, zone: int, start: str,
         .groupBy(F.col("pickup_date").alias("day"))
         .agg(
             F.count(F.lit(1)).alias("trips"),
-            F.round(F.sum(F.col(model.total).cast("decimal(18,4)")), 2).cast("double").alias("revenue"),
-            F.round(exact_avg(model.distance), 3).alias("avg_distance"),
+            F.round(exact_sum(table, model.total), 2).cast("double").alias("revenue"),
+            F.round(exact_avg(table, model.distance), 3).alias("avg_distance"),
         )
     )
 

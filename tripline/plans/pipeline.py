@@ -17,23 +17,20 @@ from pyspark.sql import functions as F
 from tripline.model import ORDERS_MODEL, TripModel
 from tripline.operators import aggregates, anomaly, clean, enrich, quality
 from tripline.plans import views
-from tripline.session import scratch_path
-from tripline.sources import tables
+from tripline.sources import drift, tables
 from tripline.sources.files import ingest_manifest
 
 
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, model: TripModel = ORDERS_MODEL,
-                 with_copies: bool = False, store_trips: bool = False):
-        """``store_trips``: write the enriched trips once to the shared
-        checkpoint folder and read them back, for plans that consume them in
-        several branches (checks, step counts, summary); it also cuts the
-        lineage so a lost executor re-reads files instead of re-cleaning."""
+                 with_copies: bool = False):
+        """Plans that use the trips in several branches (checks, step counts,
+        summary) share one deduplication shuffle: it is on whole rows, so the
+        branches' exchanges are equal and Spark runs it once."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.model = model
         self.with_copies = with_copies
-        self.store_trips = store_trips
 
     # --- sources --------------------------------------------------------------
     @cached_property
@@ -70,11 +67,7 @@ class Pipeline:
 
     @cached_property
     def trips(self) -> DataFrame:
-        if not self.store_trips:
-            return self.enriched
-        path = scratch_path(self.spark, "trips_enriched")
-        self.enriched.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.enriched
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -170,7 +163,15 @@ class Pipeline:
         """Only the chosen check families (and only the counts they need)."""
         return quality.run_checks(
             self.trips, self.daily, self.hourly, self.check_inputs, self.model,
-            drift_messages=[], families=families,
+            drift=self.drift, families=families,
+        )
+
+    @cached_property
+    def drift(self) -> DataFrame:
+        """Messages on the files of the drift source, one a missing column."""
+        paths = self.source_paths(tables.DRIFT_TABLES)
+        return drift.drift_messages(
+            drift.drift_frame(self.spark, paths, tables.DRIFT_CANONICAL, tables.DRIFT_ALIASES)
         )
 
     # --- views ----------------------------------------------------------------

@@ -102,6 +102,7 @@ def hourly_demand(hourly: DataFrame) -> DataFrame:
 def anomaly_overlay(flags: DataFrame) -> DataFrame:
     return flags.select(
         F.col("pickup_date").alias("day"),
+        "grain_type",
         "grain",
         "metric",
         "value",
@@ -209,7 +210,7 @@ def dash_heatmap(demand: DataFrame) -> DataFrame:
 
 def dash_anomaly_overlay(overlay: DataFrame) -> DataFrame:
     return (
-        overlay.filter((F.col("grain") == "citywide") & (F.col("metric") == "trip_count"))
+        overlay.filter((F.col("grain_type") == "citywide") & (F.col("metric") == "trip_count"))
         .select(
             F.col("day").cast("timestamp_ntz").alias("time"),
             F.col("value").alias("trips"),

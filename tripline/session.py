@@ -71,5 +71,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused output path under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/tripline-out/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused output folder under the shared checkpoint folder.
+    The driver's file system removes it when the application ends; frames read
+    from it are lazy, so it cannot go earlier."""
+    path = f"{ensure_checkpoint_dir(spark)}/tripline-out/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:  # Spark Connect has no gateway: the folder stays there
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        storage = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        storage.mkdirs(folder)
+        storage.deleteOnExit(folder)
+    return path

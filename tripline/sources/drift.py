@@ -12,12 +12,17 @@ from __future__ import annotations
 
 import functools
 import json
-import posixpath
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, StructType
 
+from tripline.functions import fill
+from tripline.sources.files import list_files
+
+Canonical = list[tuple[str, DataType]]
+Aliases = dict[str, tuple[str, ...]] | None
 
 # Fixed value: text of a drift message.
 DRIFT_MESSAGE = "{file}: missing column '{column}' (filled null)"
@@ -32,54 +37,90 @@ def file_schemas(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     return by_schema
 
 
-def _projection(found: list[str], canonical: list[tuple[str, DataType]],
-                aliases: dict[str, tuple[str, ...]]) -> dict[str, str | None]:
-    """Canonical name -> the column of a file that holds it, None where it has none."""
-    return {
-        name: next((c for c in (name, *aliases.get(name, ())) if c in found), None)
-        for name, _ in canonical
-    }
+@dataclass(frozen=True)
+class SchemaGroup:
+    """Files of one schema; ``held`` names the column of the files that each
+    canonical column comes from, None where they have none."""
 
+    paths: list[str]
+    held: dict[str, str | None]
 
-def read_aligned(
-    spark: SparkSession,
-    paths: list[str],
-    canonical: list[tuple[str, DataType]],
-    aliases: dict[str, tuple[str, ...]] | None = None,
-) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """Read ``paths`` into one DataFrame with the canonical schema.
-
-    Returns ``(frame, drift)`` where drift lists ``(file_name, column)`` for
-    every canonical column a file lacks (filled with NULL).  Extra columns are
-    dropped; a value that does not fit its canonical type becomes NULL."""
+    @property
+    def lacking(self) -> list[str]:
+        return [name for name, column in self.held.items() if column is None]
+
+
+def schema_groups(spark: SparkSession, paths: list[str], canonical: Canonical, aliases: Aliases) -> list[SchemaGroup]:
     if not paths:
         raise ValueError("no input files")
+    spellings = {name: (name, *(aliases or {}).get(name, ())) for name, _ in canonical}
     groups = []
     for schema, members in file_schemas(spark, paths).items():
-        names = StructType.fromJson(json.loads(schema)).names
-        groups.append((members, _projection(names, canonical, aliases or {})))
+        names = set(StructType.fromJson(json.loads(schema)).names)
+        held = {name: next(filter(names.__contains__, tried), None) for name, tried in spellings.items()}
+        groups.append(SchemaGroup(members, held))
+    return groups
+
+
+def read_aligned(
+    spark: SparkSession, paths: list[str], canonical: Canonical, aliases: Aliases = None
+) -> DataFrame:
+    """Read ``paths`` into one DataFrame with the canonical schema, one scan
+    for each schema among them.  A column that a file lacks is NULL, extra
+    columns are dropped, and a value that does not fit its canonical type
+    becomes NULL (``failed_values`` counts them)."""
     types = dict(canonical)
+
+    def aligned(group: SchemaGroup) -> DataFrame:
+        return spark.read.parquet(*group.paths).select(*[
+            (F.lit(None) if column is None else F.col(column)).try_cast(types[name]).alias(name)
+            for name, column in group.held.items()
+        ])
+
+    return functools.reduce(
+        DataFrame.unionByName, map(aligned, schema_groups(spark, paths, canonical, aliases))
+    )
+
+
+def drift_frame(
+    spark: SparkSession, paths: list[str], canonical: Canonical, aliases: Aliases = None
+) -> DataFrame:
+    """``(file_name, column_name)`` for every canonical column that a file
+    lacks, from a listing of the files themselves (empty ones too)."""
     frames = [
-        spark.read.parquet(*members).select(
-            *(F.lit(None).cast(types[n]).alias(n) if c is None else F.col(c).try_cast(types[n]).alias(n)
-              for n, c in held.items())
+        list_files(spark, group.paths).select(
+            "file_name", F.explode(F.array(*map(F.lit, group.lacking)).cast("array<string>")).alias("column_name")
         )
-        for members, held in groups
+        for group in schema_groups(spark, paths, canonical, aliases)
     ]
-    missing = [
-        (posixpath.basename(path), name)
-        for members, held in groups for name, column in held.items() if column is None for path in members
-    ]
-    return functools.reduce(DataFrame.unionByName, frames), sorted(missing)
-
+    return functools.reduce(DataFrame.unionByName, frames)
 
-def drift_frame(spark: SparkSession, drift: list[tuple[str, str]]) -> DataFrame:
-    """Drift rows as a DataFrame ``(file_name, column_name)``."""
-    schema = StructType(
-        [StructField("file_name", StringType()), StructField("column_name", StringType())]
-    )
-    return spark.createDataFrame(drift, schema=schema)
 
+def failed_values(
+    spark: SparkSession, paths: list[str], canonical: Canonical, aliases: Aliases = None
+) -> DataFrame:
+    """``(file_name, column_name, failed)``: values that a file holds and the
+    canonical type does not, one pass over the files; only columns with any."""
+    types = dict(canonical)
 
-def drift_messages(drift: list[tuple[str, str]]) -> list[str]:
-    return [DRIFT_MESSAGE.format(file=f, column=c) for f, c in drift]
+    def counted(group: SchemaGroup) -> DataFrame:
+        counts = [
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.count_if(F.col(column).isNotNull() & F.col(column).try_cast(types[name]).isNull()).alias("failed"),
+            )
+            for name, column in group.held.items() if column is not None
+        ]
+        files = spark.read.parquet(*group.paths).groupBy(F.col("_metadata.file_name").alias("file_name"))
+        return files.agg(F.array(*counts).alias("found")).select("file_name", F.inline("found"))
+
+    groups = [g for g in schema_groups(spark, paths, canonical, aliases) if any(g.held.values())]
+    if not groups:
+        return spark.createDataFrame([], "file_name string, column_name string, failed bigint")
+    return functools.reduce(DataFrame.unionByName, map(counted, groups)).filter("failed > 0")
+
+
+def drift_messages(drift: DataFrame) -> DataFrame:
+    """Drift rows as one text column, ``message``."""
+    text = fill(DRIFT_MESSAGE, file=F.col("file_name"), column=F.col("column_name"))
+    return drift.select(text.alias("message"))

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, DoubleType, LongType, StringType
 
-from tripline.functions import MONEY, weekday_name
+from tripline.functions import weekday_name
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -55,7 +55,7 @@ def order_trips(spark: SparkSession, sf_dir: str, with_copies: bool = False) ->
     total = (
         F.col("l_extendedprice").cast(DecimalType(18, 2))
         * (F.lit(1).cast(DecimalType(4, 2)) - F.col("l_discount").cast(DecimalType(4, 2)))
-    ).cast(MONEY)
+    ).cast(DecimalType(18, 4))  # 2 + 2 decimals: the product is exact
     return joined.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey",
         "o_orderdate", "l_shipdate", "c_nationkey", "s_nationkey", "l_quantity",
@@ -75,16 +75,38 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Two tables as two files of one source, for the drift reader: canonical
+# columns and the spellings that the files have.
+DRIFT_TABLES = ("customer", "supplier")
+DRIFT_CANONICAL = [
+    ("key", LongType()),
+    ("name", StringType()),
+    ("nationkey", LongType()),
+    ("acctbal", DoubleType()),
+    ("mktsegment", StringType()),
+]
+DRIFT_ALIASES = {
+    "key": ("c_custkey", "s_suppkey"),
+    "name": ("c_name", "s_name"),
+    "nationkey": ("c_nationkey", "s_nationkey"),
+    "acctbal": ("c_acctbal", "s_acctbal"),
+    "mktsegment": ("c_mktsegment",),
+}
+
+
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in the shape of enriched trips, for hour-of-day operators:
-    hour and weekday from ``ts``, borough = event_type, fare = value.
-    Events have no end time, so duration and speed are NULL."""
-    ev = read_table(spark, sf_dir, "events").select("ts", "event_type", "value")
+    hour and weekday from ``ts``, borough = event_type, fare = value.  An event
+    lasts ``value`` minutes, in whole seconds, and covers the distance ``k`` of
+    its props; text without a number there leaves the distance NULL."""
+    ev = read_table(spark, sf_dir, "events").select("ts", "event_type", "value", "props")
+    minutes = F.round(F.col("value") * 60.0) / 60.0
+    distance = F.get_json_object("props", "$.k").try_cast("double")
     return ev.select(
         F.hour("ts").alias("pickup_hour"),
         weekday_name("ts").alias("pickup_dow"),
         F.col("event_type").alias("pickup_borough"),
         F.col("value").alias("fare"),
-        F.lit(None).cast("double").alias("trip_duration_min"),
-        F.lit(None).cast("double").alias("avg_speed_mph"),
+        minutes.alias("trip_duration_min"),
+        F.round(F.try_divide(distance, minutes / 60.0), 2).alias("avg_speed_mph"),
     )
