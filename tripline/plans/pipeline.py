@@ -159,10 +159,11 @@ class Pipeline:
     def checks(self) -> DataFrame:
         return self.checks_of(quality.FAMILIES)
 
-    def checks_of(self, families) -> DataFrame:
-        """Only the chosen check families (and only the counts they need)."""
+    def checks_of(self, families, counts: DataFrame | None = None) -> DataFrame:
+        """Only the chosen check families (and only the counts they need);
+        ``counts`` that the caller uses too are then made once."""
         return quality.run_checks(
-            self.trips, self.daily, self.hourly, self.check_inputs, self.model,
+            self.trips, self.daily, self.hourly, self.check_inputs if counts is None else counts, self.model,
             drift=self.drift, families=families,
         )
 
