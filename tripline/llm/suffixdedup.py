@@ -26,13 +26,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.llm.common import RangeHash, mix, stored, table, text_batches, text_slices
 
 LENGTH = 400
 PIECES = (24, 1)
+#: Keys that a broadcast may hold.
+HOT_KEYS = 4096
 _MULT = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -154,9 +156,24 @@ def _split(texts: DataFrame, length: int, piece: int) -> DataFrame:
     return texts.select("tid", "text", "runs").mapInArrow(run, _RUNS)
 
 
-def _repeated(df: DataFrame, key: str) -> DataFrame:
-    """The keys that occur at two places or more."""
-    return df.groupBy(key).agg(F.min("place").alias("least"), F.max("place").alias("most")).where("least <> most").select(key)
+def _flagged(rows: DataFrame, key: str, flag: str, of_key: Column) -> DataFrame:
+    """The rows with a boolean column, an aggregate over all rows of their key.
+
+    Keys with more than one in HOT_KEYS of the rows, fewer than HOT_KEYS whatever the input, are sent to the
+    rows where they lie; the rows of the others meet their keys in a shuffle.  So no task gets a large group.
+    """
+    most = max(1, rows.count() // HOT_KEYS)
+    keys = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), of_key.alias(flag))
+    hot = rows.join(F.broadcast(keys.where(F.col("n") > most).select(key, flag)), key, "left")
+    cold = keys.where((F.col("n") <= most) & F.col(flag)).select(key, flag)
+    rest = hot.where(F.col(flag).isNull()).drop(flag).join(cold, key, "left")
+    return hot.where(F.col(flag).isNotNull()).unionByName(rest.withColumn(flag, F.coalesce(flag, F.lit(False))))
+
+
+def _repeated(runs: DataFrame) -> DataFrame:
+    """The runs whose bucket holds two places or more."""
+    found = _flagged(runs, "key", "repeated", F.min("place") != F.max("place"))
+    return found.where("repeated").select(*runs.columns)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -168,24 +185,20 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """(tid, spans): byte ranges [start, end) of each distinct text that a repeated string covers; they may overlap."""
     texts = _texts(text_batches(documents))
     long = texts.where(F.octet_length("text") >= length)
-    runs = _runs(long.select("tid", "text"), length)
+    runs = stored(_runs(long.select("tid", "text"), length), "suffix-buckets")
     size, spans, held = F.lit(length), None, None
     for piece in (min(p, max(1, length // 16)) for p in PIECES):
-        runs = stored(runs.join(_repeated(runs, "key"), "key").select(*runs.columns).distinct(), "suffix-runs")
-        settled = _repeated(runs, "content").withColumn("settled", F.lit(True))
-        runs = stored(runs.join(settled, "content", "left").withColumn("settled", F.coalesce("settled", F.lit(False))), "suffix-marked")
+        runs = stored(_repeated(runs).distinct(), "suffix-runs")
+        runs = stored(_flagged(runs, "content", "settled", F.min("place") != F.max("place")), "suffix-marked")
         found = runs.where("settled").select("tid", "start", (F.col("start") + F.col("windows") - 1 + size).alias("end"))
         spans = found if spans is None else spans.unionByName(found)
-        open_keys = runs.where("not settled").select("key").distinct()
         # one place for each content is enough to find its windows elsewhere
         place = F.min(F.struct("place", "tid", "start", "windows", "anchor")).alias("r")
-        to_open = runs.join(open_keys, "key").groupBy("content").agg(place)
+        to_open = _flagged(runs, "key", "open", F.bool_or(~F.col("settled"))).where("open").groupBy("content").agg(place)
         lists = to_open.groupBy(F.col("r.tid").alias("tid")).agg(F.collect_set(F.struct("r.start", "r.windows", "r.anchor")).alias("runs"))
         held = stored((long if held is None else held).select("tid", "text").join(lists, "tid").dropDuplicates(["tid"]), "suffix-texts")
-        runs = _split(held, length, piece)
-    runs = stored(runs, "suffix-windows")
-    found = runs.join(_repeated(runs, "key"), "key")
-    spans = spans.unionByName(found.select("tid", "start", (F.col("start") + size).alias("end")))
+        runs = stored(_split(held, length, piece), "suffix-pieces")
+    spans = spans.unionByName(_repeated(runs).select("tid", "start", (F.col("start") + size).alias("end")))
     spans = spans.unionByName(
         long.groupBy("tid", F.octet_length("text").alias("end")).count().where("count > 1").select("tid", F.lit(0).alias("start"), "end")
     )
