@@ -192,6 +192,16 @@ def test_trie_matches_brute_force(spark):
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, verdict), url
 
 
+def test_paths_with_equals_signs_match_brute_force(spark):
+    paths = ["//=x", "//=", "/=", "/en//=x", "/en/=", "/fr//=a/=b", "/fr/=", "=", "/=/en/", "/==/="]
+    urls = [f"http://{h}{p}" for h, p in itertools.product(["a.net", "net", "example.net", "x.org", "example.com", "="], paths)]
+    got = urlfilter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        fits = [(len(h.split(".")), len(p), h + p, v) for h, p, v in urlfilter.RULES if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)]
+        assert (r.rule, r.verdict) == (max(fits)[2:] if fits else (None, "allow")), urls[r.page_id]
+
+
 def test_conflicting_rules_are_refused():
     with pytest.raises(ValueError):
         urlfilter.build_trie([("a.org", "/", "allow"), ("a.org", "/", "block")])

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from tripline.llm.common import table
 
 MAX_RULES = 100_000
+#: Key of a rule's end beside the children; no label or segment, which are strings, is equal to it.
+END = None
 RULES = (
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -28,7 +30,7 @@ RULES = (
 
 
 def build_trie(rules) -> dict:
-    """Nested dicts: host labels from the right; under "/" the path segments; a rule's end holds (text, verdict)."""
+    """Nested dicts: host labels from the right; under "/" the path segments; (text, verdict) under END where a rule ends."""
     rules = set(rules)
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; the trie is sent to every task and takes {MAX_RULES} at most")
@@ -40,9 +42,9 @@ def build_trie(rules) -> dict:
         node = node.setdefault("/", {})
         for segment in path.split("/"):
             node = node.setdefault(segment, {})
-        if node.get("=", ("", verdict))[1] != verdict:
+        if node.get(END, ("", verdict))[1] != verdict:
             raise ValueError(f"both verdicts for {host}{path}")
-        node["="] = (host + path, verdict)
+        node[END] = (host + path, verdict)
     longest = max((len(s) for _, path, _ in rules for s in path.split("/")), default=0)
     return {"hosts": root, "longest": longest}
 
@@ -52,7 +54,7 @@ def _by_path(node: dict, segments: list[str], longest: int):
     best = None
     for segment in segments:
         for piece in range(min(len(segment), longest) + 1):
-            end = node.get(segment[:piece], {}).get("=")
+            end = node.get(segment[:piece], {}).get(END)
             if end:
                 best = end
         node = node.get(segment)
