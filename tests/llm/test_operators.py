@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -379,3 +380,47 @@ def test_slightly_changed_items_are_found(spark, frame):
     changed[30] = "other"
     got = decontaminate.find_leaks(frame([(1, prose(40) + " " + " ".join(changed) + " " + prose(9))]), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert [(r.doc_id, r.item_id) for r in got] == [(1, 7)] and 0.75 <= got[0].similarity < 1
+
+
+def weighted_jaccard(a, b):
+    a, b = ([tuple(x[i : i + 5]) for i in range(max(len(x) - 4, 1))] for x in (a, b))
+    both = sum((Counter(a) & Counter(b)).values())
+    return both / (len(a) + len(b) - both)
+
+
+def similar_windows(docs, items, similar=0.75):
+    """{(doc_id, item_id): best similarity} over every window as long as the item."""
+    out = {}
+    for (i, t), (j, x) in itertools.product(docs, items):
+        words, item = (re.findall(r"[^\W_]+", (y or "").lower()) for y in (t, x))
+        if words and item and {tuple(item[o : o + 5]) for o in range(len(item))} & {tuple(words[o : o + 5]) for o in range(len(words))}:
+            best = max(weighted_jaccard(words[s : s + len(item)], item) for s in range(max(len(words) - 4, 1)))
+            if best >= similar:
+                out[i, j] = best
+    return out
+
+
+def edited_items(items, copies):
+    """Documents that hold an item with words changed, dropped, put in or its parts in another order."""
+    docs = []
+    for j, x in items:
+        for c in range(copies):
+            w = x.split(" ")
+            for _ in range(c % 4):
+                at = random.randrange(len(w)) if c % 8 < 4 else random.choice([0, 1, len(w) - 2, len(w) - 1])
+                w[at : at + random.choice([0, 1, 1])] = random.choice([[], ["new"]])
+            if c % 3 == 2:
+                cut = random.randrange(len(w) // 3, len(w))
+                w = w[cut:] + w[:cut]
+            docs.append((1000 + len(docs), " ".join([prose(12), *w, prose(random.choice([1, 30]))])))
+    return docs
+
+
+def test_edited_items_match_brute_force(spark, frame):
+    items = [(j, prose(random.choice([15, 20, 30, 45, 59]))) for j in range(24)]
+    items += [(30, "a b " * 12 + prose(20)), (31, "the same words again " * 8)]
+    docs = edited_items(items, 12) + [(1, "a b " * 40), (2, "the same words again " * 30), (3, items[3][1] + " " + items[3][1]), (4, None)]
+    want = similar_windows(docs, items)
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_leaks(frame(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert sum(v < 0.9 for v in want.values()) > 20
+    assert {k: got.get(k) for k in want} == pytest.approx(want)

@@ -1,13 +1,16 @@
 """Benchmark decontamination: SimHash windows, multi-index Hamming blocks, exact weighted-shingle check.
 
-1. Words are runs of letters and digits, lower-cased.  A window as long as an item lies in a document
-   wherever it would line up with the item at a shared word shingle.  A window that is similar enough
-   shares a shingle with the item, so no placement that could pass is left out.
-2. Each distinct window and each item gets a 64-bit SimHash of its shingles, weighted by their counts.
-   Fingerprints are cut into ``RADIUS + 1`` blocks; two within the radius agree in one block at least, so
-   a join on (block, value) finds every pair within it, whichever item a window was placed for.
-3. Pairs pass when the weighted Jaccard similarity of their shingles (sum of the lesser counts over the
+1. Words are runs of letters and digits, lower-cased.  A window as long as an item (shorter where the
+   document ends) lies in a document wherever it would line up with the item at a shared word shingle.
+2. Pairs pass when the weighted Jaccard similarity of their shingles (sum of the lesser counts over the
    sum of the greater) is ``SIMILAR`` or more.
+3. Every window that begins at a shingle shared with the item, or lines up with the item there, is compared
+   with that item, whatever their SimHash distance.  A window moved on to its first shared shingle loses
+   none, so when any window as long as the item passes, one of these does.
+4. Windows of one item's length are compared with items of other lengths as well: each distinct window and
+   each item gets a 64-bit SimHash of its shingles, weighted by their counts.  Fingerprints are cut into
+   ``RADIUS + 1`` blocks; two within the radius agree in one block at least, so a join on (block, value)
+   finds every pair within it, whichever item a window was placed for.
 
 Only DataFrame functions run.  Defined cases: null and empty texts, and items without a word, match
 nothing; an item of fewer words than a shingle is one shingle, and documents are searched for that
@@ -58,6 +61,37 @@ def hamming_blocks(fingerprint: Column, radius: int = RADIUS) -> Column:
     return F.array(*pieces)
 
 
+def _same_length(placed: DataFrame, similar: float) -> DataFrame:
+    """(doc_id, thash, item_id, start, similarity) of the windows as long as the item that pass, from shared shingles alone.
+
+    Shared shingles and starts are dealt to pieces of as many places as the item has shingles, each with the
+    shared shingles of the next piece too, so that a piece holds whole windows and at most two items' worth.
+    """
+    key = ["doc_id", "thash", "n_words", "item_id", "length", "m"]
+    hit = F.struct("at", "hash", "d")
+    held = placed.select(*key, "start", F.explode("hits").alias("hit")).select(*key, "start", "hit.*")
+
+    def piece(at: Column) -> Column:
+        return F.floor(at / F.col("m")).cast("long")
+
+    nothing = F.lit(None)
+    entries = F.array(
+        F.struct(piece(F.col("at")).alias("piece"), hit.alias("hit"), F.col("at").alias("begin")),
+        F.struct((piece(F.col("at")) - 1).alias("piece"), hit.alias("hit"), nothing.cast("int").alias("begin")),
+        F.struct(piece(F.col("start")).alias("piece"), nothing.cast("struct<at:int,hash:bigint,d:int>").alias("hit"), F.col("start").alias("begin")),
+    )
+    pieces = held.select(*key, F.explode(entries).alias("e")).groupBy(*key, "e.piece").agg(F.collect_set("e.hit").alias("hits"), F.collect_set("e.begin").alias("begins"))
+    least = F.col("m") * similar
+    inside = F.filter("hits", lambda h: (h["at"] >= F.col("begin")) & (h["at"] < F.col("begin") + F.col("m")))
+    windows = pieces.where(F.size("hits") >= least).select(*key, "hits", F.explode("begins").alias("begin")).withColumn("hits", inside)
+    counts = windows.where(F.size("hits") >= least).select(*key, "begin", F.explode("hits").alias("h"))
+    counts = counts.groupBy(*key, "begin", "h.hash").agg(F.least(F.count("*"), F.first("h.d")).alias("both"))
+    n = F.greatest(F.least(F.col("length"), F.col("n_words") - F.col("begin")) - SHINGLE + 1, F.lit(1))
+    common = counts.groupBy(*key, "begin").agg(F.sum("both").alias("common"))
+    scored = common.select("doc_id", "thash", "item_id", F.col("begin").alias("start"), (F.col("common") / (n + F.col("m") - F.col("common"))).alias("similarity"))
+    return scored.where(F.col("similarity") >= similar)
+
+
 def find_leaks(documents: DataFrame, benchmark: DataFrame, similar: float = SIMILAR, radius: int = RADIUS) -> DataFrame:
     """(doc_id, thash, item_id, start_word, similarity): each item that a document holds, at its best placement."""
     items = benchmark.select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
@@ -68,18 +102,22 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, similar: float = SIMI
     def bounded(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
-    seeds = items.select("length", F.posexplode("hashes").alias("offset", "hash")).distinct()
+    seeds = items.select("item_id", "length", "hashes", F.size("hashes").alias("m"), F.posexplode("hashes").alias("offset", "hash"))
+    times = F.size(F.filter("hashes", lambda h: h == F.col("hash")))
+    seeds = seeds.withColumn("d", times).drop("hashes").distinct()
     docs = documents.select("doc_id", F.xxhash64("text").alias("thash"), words(F.col("text")).alias("words"))
     # sequences shorter than a shingle are looked up by their own length
     lengths = sorted(r.length for r in items.where(F.col("length") < SHINGLE).select("length").distinct().collect())
     placed = None
     for k in [SHINGLE, *lengths]:
         at_length = seeds.where(F.col("length") >= SHINGLE if k == SHINGLE else F.col("length") == k)
-        found = docs.where(F.size("words") >= k).select("doc_id", "thash", "words", F.posexplode(shingles(F.col("words"), k)).alias("at", "hash"))
+        found = docs.where(F.size("words") >= k).select("doc_id", "thash", "words", F.size("words").alias("n_words"), F.posexplode(shingles(F.col("words"), k)).alias("at", "hash"))
         found = found.join(bounded(at_length), "hash").withColumn("start", F.greatest(F.col("at") - F.col("offset"), F.lit(0)))
-        found = found.select("doc_id", "thash", "start", F.slice("words", F.col("start") + 1, F.col("length")).alias("window"))
+        window = F.slice("words", F.col("start") + 1, F.col("length")).alias("window")
+        found = found.select("doc_id", "thash", "n_words", "start", "item_id", "length", "m", F.struct("at", "hash", "d").alias("hit"), window)
         placed = found if placed is None else placed.unionByName(found)
-    placed = placed.withColumn("wid", F.xxhash64("window")).groupBy("doc_id", "thash", "start", "wid").agg(F.first("window").alias("window"))
+    keys = ["doc_id", "thash", "n_words", "start", "item_id", "length", "m", "wid"]
+    placed = placed.withColumn("wid", F.xxhash64("window")).groupBy(*keys).agg(F.first("window").alias("window"), F.collect_set("hit").alias("hits"))
     placed = stored(placed, "leak-placed")
 
     windows = placed.groupBy("wid").agg(F.first("window").alias("window")).select("wid", shingles(F.col("window")).alias("hashes"))
@@ -106,9 +144,9 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, similar: float = SIMI
         .where(F.col("similarity") >= similar)
     )
     best = F.max_by(F.struct("start", "similarity"), F.struct("similarity", -F.col("start")))
+    other_lengths = placed.select("doc_id", "thash", "start", "wid").distinct().join(passed.select("wid", "item_id", "similarity"), "wid").drop("wid")
     return (
-        placed.select("doc_id", "thash", "start", "wid")
-        .join(passed.select("wid", "item_id", "similarity"), "wid")
+        other_lengths.unionByName(_same_length(placed, similar))
         .groupBy("doc_id", "thash", "item_id")
         .agg(best.alias("b"))
         .select("doc_id", "thash", "item_id", F.col("b.start").alias("start_word"), "b.similarity")
