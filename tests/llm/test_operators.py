@@ -337,6 +337,29 @@ def test_sketches_estimate_containment_and_merge():
     assert list(fingerprint.from_text(fingerprint.to_text(whole))) == list(whole)
 
 
+def test_sketches_of_short_texts_lose_nothing(frame):
+    rows = [(i, prose(1 + i % 60)) for i in range(300)]
+    for r in fingerprint.fingerprint_documents(frame(rows)).collect():
+        text, following = rows[r.doc_id][1], rows[(r.doc_id + 1) % len(rows)][1]
+        a, b, c = (brute.shingles(t) for t in (text, fingerprint.edited(text, following), following))
+        assert r.fingerprint and r.near_edited == pytest.approx(len(a & b) / len(a | b))
+        assert r.near_next == pytest.approx(len(a & c) / len(a | c))
+
+
+def test_short_and_long_sketches_are_compared_by_one_fraction():
+    words = [f"w{i}" for i in range(fingerprint.WHOLE + 300)]
+    long, short = " ".join(words), " ".join(words[: fingerprint.WHOLE])
+    a, b, rest = fingerprint.sketches([long, short, " ".join(words[fingerprint.WHOLE - 4 :])])
+    assert len(fingerprint.from_text(fingerprint.to_text(b))) == fingerprint.WHOLE - 4 + 1
+    assert abs(fingerprint.jaccard(a, b) - (fingerprint.WHOLE - 4) / (len(words) - 4)) < 0.15
+    assert fingerprint.containment(a, b) == 1
+    assert list(fingerprint.merge(b, rest)) == list(fingerprint.merge(rest, b)) == list(a)
+    one, two = fingerprint.sketches(["a b c d e", "a b c d e f"])
+    assert fingerprint.jaccard(one, two) == 0.5 and list(fingerprint.merge(one, two)) == list(two)
+    first, second = fingerprint.sketches([" ".join(words[:200]), " ".join(words[196:])])
+    assert list(fingerprint.merge(first, second)) == list(a)
+
+
 # decontamination
 
 

@@ -1,11 +1,13 @@
-"""Document fingerprints: every word-shingle hash below a fixed fraction of the hash range.
+"""Document fingerprints: every word-shingle hash below a fixed fraction of the hash range; of short texts, all.
 
-The sketch of a union is the union of sketches, so sketches merge, and the share of common hashes
-estimates Jaccard similarity and, for documents of very unequal length, containment.
+A text of at most ``WHOLE`` distinct shingles keeps every hash, with ``MARK`` after them, since a fraction
+of a few hashes may be none.  Two whole sketches are compared as they are; otherwise a whole one is cut to
+the fixed fraction first.  The sketch of a union is the union of sketches, so sketches merge, and the share
+of common hashes estimates Jaccard similarity and, for documents of very unequal length, containment.
 
-Defined cases: null text counts as empty; a text without words has an empty fingerprint, and a short text
-may have one as well (no hash below the threshold); two empty fingerprints are alike to 1 when the texts
-are equal and 0 otherwise; equal texts have equal fingerprints; an empty table gives no rows.  Rows are
+Defined cases: null text counts as empty; a text without words has an empty fingerprint, and no other text;
+two sketches without hashes to compare are alike to 1 when the texts are equal and 0 otherwise; a short
+text within one of more than ``WHOLE`` shingles may have no hash left to compare; equal texts have equal fingerprints; an empty table gives no rows.  Rows are
 ordered by doc_id (null last), then text hash; repeated rows follow one another.
 """
 
@@ -23,23 +25,38 @@ from tripline.llm.common import SLICE_BYTES, shingle_sets, table, text_batches,
 SHINGLE = 5
 #: One shingle hash of so many is retained.
 SCALE = 8
+#: Distinct shingles up to which a text keeps all of its hashes.
+WHOLE = 256
+#: The last entry of a sketch that holds all hashes; no fraction of the range reaches it.
+MARK = np.uint32((1 << 32) - 1)
 #: Rows of one bucket of consecutive ids; the ids between buckets are the only thing the driver sees.
 BUCKET_ROWS = 4096
 
 
 def sketches(texts: list[str], scale: int = SCALE, k: int = SHINGLE) -> list[np.ndarray]:
-    """The retained 32-bit hashes of each text, ascending."""
+    """The retained 32-bit hashes of each text, ascending; MARK comes last when all are retained for their small number."""
     out = []
     for _, _, data, offsets in text_slices(pa.array(texts, pa.large_string())):
         rows, hashes, _ = shingle_sets(data, offsets, k)
         short = (hashes >> np.uint64(32)).astype(np.uint32)
-        keep = short < np.uint32((1 << 32) // scale) if scale > 1 else np.ones(len(short), bool)
+        counts = np.bincount(rows, minlength=len(offsets) - 1)
+        whole = (counts > 0) & (counts <= WHOLE) & (scale > 1)
+        keep = whole[rows] | (short < np.uint32((1 << 32) // scale)) if scale > 1 else np.ones(len(short), bool)
         rows, short = rows[keep], short[keep]
         ends = np.searchsorted(rows, np.arange(len(offsets)))
-        out += [np.unique(short[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+        out += [np.unique(np.append(short[a:b], MARK) if w else short[a:b]) for a, b, w in zip(ends[:-1], ends[1:], whole)]
     return out
 
 
+def comparable(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of two sketches that stand for one fraction of the range: all of two whole ones, else those below it."""
+    wholes = [scale > 1 and len(x) > 0 and x[-1] == MARK for x in (a, b)]
+    a, b = (x[:-1] if w else x for x, w in zip((a, b), wholes))
+    if scale > 1 and any(wholes) and not all(w or not len(x) for x, w in zip((a, b), wholes)):
+        a, b = (x[x < np.uint32((1 << 32) // scale)] for x in (a, b))
+    return a, b
+
+
 def to_text(sketch: np.ndarray) -> str:
     return sketch.astype(">u4").tobytes().hex()
 
@@ -48,23 +65,32 @@ def from_text(fingerprint: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32)
 
 
-def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The sketch of two texts' shingles together."""
-    return np.union1d(a, b)
+def merge(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
+    """The sketch of two texts' shingles together; whole when both are, and few together."""
+    wholes = [scale > 1 and len(x) > 0 and x[-1] == MARK for x in (a, b)]
+    a, b = comparable(a, b, scale)
+    both = np.union1d(a, b)
+    if not any(wholes) or not len(both):
+        return both
+    if all(w or not len(x) for x, w in zip((a, b), wholes)):
+        return np.append(both, MARK) if len(both) <= WHOLE else both[both < np.uint32((1 << 32) // scale)]
+    return both
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
 
-def jaccard(a: np.ndarray, b: np.ndarray, equal: bool = False) -> float:
+def jaccard(a: np.ndarray, b: np.ndarray, equal: bool = False, scale: int = SCALE) -> float:
+    a, b = comparable(a, b, scale)
     both = common(a, b)
     union = len(a) + len(b) - both
     return both / union if union else float(equal)
 
 
-def containment(a: np.ndarray, b: np.ndarray, equal: bool = False) -> float:
+def containment(a: np.ndarray, b: np.ndarray, equal: bool = False, scale: int = SCALE) -> float:
     """Share of the smaller sketch that the larger one holds."""
+    a, b = comparable(a, b, scale)
     least = min(len(a), len(b))
     return common(a, b) / least if least else float(equal)
 
@@ -134,10 +160,10 @@ def _pairs(rows: list[tuple], scale: int) -> pa.RecordBatch:
             hashlib.sha256(edits[i].encode()).hexdigest(),
             to_text(own[i]),
             to_text(other[i]),
-            jaccard(own[i], other[i], texts[i] == edits[i]),
-            jaccard(own[i], own[i + 1], texts[i] == texts[i + 1]),
-            containment(own[i], other[i], texts[i] == edits[i]),
-            containment(own[i], own[i + 1], texts[i] == texts[i + 1]),
+            jaccard(own[i], other[i], texts[i] == edits[i], scale),
+            jaccard(own[i], own[i + 1], texts[i] == texts[i + 1], scale),
+            containment(own[i], other[i], texts[i] == edits[i], scale),
+            containment(own[i], own[i + 1], texts[i] == texts[i + 1], scale),
         )
         for i in range(len(edits))
         if not rows[i][0]
