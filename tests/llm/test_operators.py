@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -176,6 +177,28 @@ def test_license_forms(spark, frame):
     )
 
 
+def wrapped(text, width):
+    """The text's lines refilled to a width, but for those that begin with a copyright mark."""
+    out, held = [], []
+    for line in [*text.split("\n"), ""]:
+        mark = re.match(r"\W*(copyright \(c\)|copyright \[|copyright \d)", line.lower())
+        if mark or not line.strip():
+            out += [*textwrap.wrap(" ".join(held), width, break_long_words=False, break_on_hyphens=False), line]
+            held = []
+        else:
+            held.append(line.strip())
+    return "\n".join(out)
+
+
+def test_isc_is_found_at_every_width(spark, frame):
+    text = next(t for name, t in licenses.KNOWN if name == "ISC")
+    usual = text.replace("above copyright", "above\ncopyright")
+    rows = [(1, usual), (2, "ISC License\n\nCopyright (c) 2020, A Holder\n\n" + usual), (3, "Copyright The Foo Authors\n(c) Foo Inc\n" + text)]
+    rows += [(w, f"ISC License (ISC)\nCopyright 2020 A\n\n{wrapped(text, w)}") for w in range(20, 140, 3)]
+    got = licenses.scan_licenses(frame(rows), licenses.known_digests(spark)).collect()
+    assert [r.doc_id for r in got if r.whole_license != "ISC"] == []
+
+
 # url filter
 
 

@@ -1,7 +1,8 @@
 """Licence scans: whole texts looked up by the digest of their canonical form.
 
-Canonical form: lower case, lines that begin with a copyright mark dropped, every run of signs one blank,
-equivalent spellings made one (fixed tables below), blanks trimmed.  The digest is SHA-256.  Two kinds of
+Canonical form: lower case, lines that begin with a copyright mark and a year or holder dropped, every run of
+signs one blank, equivalent spellings made one (fixed tables below), blanks trimmed; of whole texts, lines
+that are a licence's title as well.  The digest is SHA-256.  Two kinds of
 text are looked up: a document as a whole, and each of its lines as a text of its own.  The table of known
 licences is a parameter, at most ``MAX_KNOWN`` rows (checked), and is broadcast.  Only texts whose canonical
 length is that of a known licence are digested, which loses none.
@@ -58,7 +59,19 @@ KNOWN = (
         "OR PERFORMANCE OF THIS SOFTWARE.",
     ),
 )
-_COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright|\(c\)|©)[^\n]*$"
+# Canonical lines that whole texts have or lack, and what follows the marks in licence wording, where no year or holder does.
+TITLES = (
+    "mit license", "the mit license", "the mit license mit", "isc license", "the isc license", "isc license isc",
+    "bsd 2 clause license", "the bsd 2 clause license", "simplified bsd license", "bsd 3 clause license",
+    "the bsd 3 clause license", "new bsd license", "the unlicense", "unlicense", "all rights reserved",
+)
+_WORDING = (
+    r"notices?|holders?|owners?|ownership|line|disclaimers?|the\s+(?:software|library|program)|interests?|on|laws?|licen[cs]es?|"
+    r"patents?|statements?|also|like|permission|those|treaty|are|if|doctrines|and|or|in|is"
+)
+_COPYRIGHT = (
+    r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright\b(?![\s\p{P}]*(?:" + _WORDING + r")\b)|\(c\)(?!\s+(?:you\s+must|under\s+patent)\b)|©)[^\n]*$"
+)
 
 
 def canonical_lines(text: Column) -> Column:
@@ -71,8 +84,11 @@ def canonical_lines(text: Column) -> Column:
 
 
 def canonical_text(lines: Column) -> Column:
-    """A whole text of canonical lines: those with something in them, one blank between."""
-    return F.array_join(F.filter(lines, lambda line: line != ""), " ")
+    """A whole text of canonical lines: those with something in them and no title, one blank between."""
+    text = F.array_join(F.filter(lines, lambda line: (line != "") & ~line.isin(*TITLES)), " ")
+    for old, new in SPELLINGS:  # those over a line's end
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
