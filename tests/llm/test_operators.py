@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pathlib
 import random
 import re
 import textwrap
@@ -199,6 +200,19 @@ def test_isc_is_found_at_every_width(spark, frame):
     assert [r.doc_id for r in got if r.whole_license != "ISC"] == []
 
 
+@pytest.mark.parametrize("file, name", [("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3", "LGPL-3.0"), ("MPL-2.0", "MPL-2.0"), *((None, x) for x in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "Unlicense"))])
+def test_whole_licences_are_found_at_every_width(spark, frame, file, name):
+    path = pathlib.Path("/usr/share/common-licenses") / (file or "")
+    if not path.exists():
+        pytest.skip("no licence texts here")
+    texts = [path.read_text()] if file else ["The MIT License (MIT)\n\nCopyright (c) 2020 A\nAll rights reserved.\n\n" + t for x, t in licenses.TEXTS if x == name]
+    rows = [(i * 1000 + w, wrapped(t, w)) for i, t in enumerate(texts) for w in (40, 60, 72, 80, 100, 9999)]
+    rows += [(i * 1000, t) for i, t in enumerate(texts)]
+    got = licenses.scan_licenses(frame(rows), licenses.known_digests(spark)).collect()
+    assert [r.doc_id for r in got if r.whole_license != name] == []
+    assert licenses.scan_licenses(frame([(1, texts[0] + "\nand more")]), licenses.known_digests(spark)).first().whole_license is None
+
+
 # url filter
 
 

@@ -59,6 +59,89 @@ KNOWN = (
         "OR PERFORMANCE OF THIS SOFTWARE.",
     ),
 )
+_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+    "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED "
+    "OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.",
+)
+
+
+def _bsd(clauses: int) -> list[str]:
+    """The text with numbers and with bullets, and with each word for whom the warranty names."""
+    numbered = "\n".join([_BSD[0], *(f"{i}. {x}" for i, x in enumerate(_BSD[1 : clauses + 1], 1))])
+    return [f"{x}\n{_WARRANTY.format(who)}" for x in (numbered, "\n".join(_BSD[: clauses + 1])) for who in ("HOLDER", "HOLDERS", "OWNER")]
+
+
+# Whole licence texts besides KNOWN's.
+TEXTS = (
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions:\n"
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n"
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    *(("BSD-2-Clause", x) for x in _bsd(2)),
+    *(("BSD-3-Clause", x) for x in _bsd(3)),
+    *(
+        (
+            "Unlicense",
+            "This is free and unencumbered software released into the public domain.\n"
+            "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+            "as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n"
+            "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+            "interest in the software to the public domain. We make this dedication for the benefit of the public at large and to "
+            "the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity "
+            "of all present and future rights to this software under copyright law.\n"
+            "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+            "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE "
+            "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+            "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE." + end,
+        )
+        for end in ("", *(f"\nFor more information, please refer to <{x}://unlicense.org{y}>" for x in ("http", "https") for y in ("", "/")))
+    ),
+)
+# SHA-256 and length of the canonical form of longer licence texts (with http and https links; to the end of the
+# terms, and with what follows them).
+DIGESTS = (
+    ("Apache-2.0", "37599287c15c2f2ec060c3c3b55bdf69e3bc7a8aeeb9cd57e18800088789538a", 8838),
+    ("Apache-2.0", "65bfb6f56a10dc6dd6135cf4adeee0f5bc238b3d404067ac48dbf48c0ced3b32", 8839),
+    ("Apache-2.0", "f45538b138cf9aea39fa205de037a0bede8305e68281650e7ab809a8b3ebb2f0", 8866),
+    ("Apache-2.0", "ed44d69699f98d45c0c3e52ef4574fb05d6045eb6e2cd0e5e3810f6177e87f84", 8867),
+    ("Apache-2.0", "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2", 9882),
+    ("Apache-2.0", "ef9aa6097e8b8724e8bedf9a9a264cbc3142b55ef97f3c3f079b7aa1aeac425c", 9884),
+    ("GPL-2.0", "f5f16ed9d47f1ad7fbe7c0870bcd2959c99c0443059d2858bf67a0457eb67a8e", 14387),
+    ("GPL-2.0", "fd358cc1bde8c83b502dc8841f25cb84cc6f11ba2587f31b838bc2f46abee02d", 14415),
+    ("GPL-2.0", "d151c085125fd224532cdad6281a114e4363371bf22a3877367cceb2fc469905", 16992),
+    ("GPL-3.0", "b9529120541d3c485a7beb3d330cca5f5810fc89d5edc89140d409d5a0877d41", 30758),
+    ("GPL-3.0", "efa6e44e00091c1637623bb83b919a2af9e72d2f9d8aa6f0be80155231f8f271", 30786),
+    ("GPL-3.0", "44ba8aa05cca099afe6bb69f94a242984a91bef10fc46aa32a33ee4e0b0428db", 33148),
+    ("GPL-3.0", "b8e18cea1002cb24579afe82598eadccbb1adbdd6663520c185839ffef8ff1b2", 33151),
+    ("LGPL-2.1", "0a47765285064783ea56d653c6d98fecbd69a24f7a29b9143b78bad78a4c1ef5", 23223),
+    ("LGPL-2.1", "80d70fadee5d6e128ca3f66e46b050dda8eedd6b43a20529983e9cb92c4eadbb", 23251),
+    ("LGPL-2.1", "70104554f7f007e5aa2b935c6c9065d20efc9fd3924bb30972c9047a8a89d5dd", 25103),
+    ("LGPL-3.0", "6cf684c84e8856b24ed793c245fd41a24e51700ab88ed242711e9a4fa3ec5df9", 7066),
+    ("MPL-2.0", "3dc53ad82f3586706ea02d522d2a5a2e577f67d6db6445a814a8ba7822ac2a6a", 14322),
+    ("MPL-2.0", "251d233846581715b83580ad15017102c06dc11311bf08e47757ad9a6e1c9562", 14323),
+)
 # Canonical lines that whole texts have or lack, and what follows the marks in licence wording, where no year or holder does.
 TITLES = (
     "mit license", "the mit license", "the mit license mit", "isc license", "the isc license", "isc license isc",
@@ -91,16 +174,19 @@ def canonical_text(lines: Column) -> Column:
     return text
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license, size) of a bounded list of (name, text)."""
-    known = list(known)
-    if len(known) > MAX_KNOWN:
-        raise ValueError(f"{len(known)} licences; the table is broadcast and takes {MAX_KNOWN} at most")
+def known_digests(spark: SparkSession, known=KNOWN + TEXTS, digests=DIGESTS) -> DataFrame:
+    """(digest, license, size) of bounded lists of (name, text) and of (name, digest, size)."""
+    known, digests = list(known), list(digests)
+    if len(known) + len(digests) > MAX_KNOWN:
+        raise ValueError(f"{len(known) + len(digests)} licences; the table is broadcast and takes {MAX_KNOWN} at most")
     rows = spark.createDataFrame(known, "license string, text string")
     canon = rows.select("license", canonical_text(canonical_lines(F.col("text"))).alias("canon"))
+    stored = spark.createDataFrame(digests, "license string, digest string, size int")
     return (
         canon.where("canon <> ''")
-        .groupBy(F.sha2("canon", 256).alias("digest"), F.length("canon").alias("size"))
+        .select("license", F.sha2("canon", 256).alias("digest"), F.length("canon").alias("size"))
+        .unionByName(stored)
+        .groupBy("digest", "size")
         .agg(F.min("license").alias("license"))
     )
 
