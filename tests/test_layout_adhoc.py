@@ -69,7 +69,22 @@ def test_date_range_filter_adds_month_range():
      "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a",
      "SELECT java_method('java.lang.System', 'exit', 1)", "SELECT reflect('java.util.UUID', 'randomUUID')",
      "SELECT * FROM parquet.`/root/testdata/sf0.001/lineitem.parquet`", "SELECT * FROM lineitem",
-     "SELECT (SELECT max(x) FROM other) FROM vw_daily_kpis", "nonsense"],
+     "SELECT (SELECT max(x) FROM other) FROM vw_daily_kpis", "nonsense",
+     # names of WITH clauses hold where they are in scope only
+     "WITH secret AS (SELECT * FROM secret) SELECT * FROM secret",
+     "WITH a AS (SELECT 1 AS x), b AS (SELECT * FROM c), c AS (SELECT 2 AS x) SELECT * FROM b",
+     "WITH a AS (WITH inner_one AS (SELECT 1 AS x) SELECT * FROM inner_one) SELECT * FROM a JOIN inner_one",
+     "SELECT (WITH a AS (SELECT 1 AS y) SELECT max(y) FROM a) FROM a",
+     "WITH vw AS (SELECT 1 AS x) SELECT * FROM db.vw",
+     "SELECT * FROM vw_daily_kpis WHERE day IN (SELECT day FROM other)",
+     "SELECT * FROM vw_daily_kpis ORDER BY (SELECT max(x) FROM other)",
+     "SELECT sum(x) OVER w FROM vw_daily_kpis WINDOW w AS (ORDER BY (SELECT max(x) FROM other))",
+     "SELECT * FROM VALUES ((SELECT max(x) FROM other)) AS t(x)",
+     "SELECT * FROM vw_daily_kpis GROUP BY day HAVING max(trips) > (SELECT 1 FROM other)",
+     # lateral subqueries and functions that make rows are refused on purpose
+     "SELECT * FROM vw_daily_kpis, LATERAL (SELECT 1)", "SELECT * FROM range(5)",
+     "SELECT x FROM vw_daily_kpis LATERAL VIEW json_tuple('{}', 'a') t AS x",
+     "SELECT * FROM IDENTIFIER('vw_' || 'x')", "SELECT system.builtin.reflect('a', 'b')"],
 )
 def test_guard_rejects(spark, sql):
     with pytest.raises(ValueError):
@@ -81,6 +96,31 @@ def test_guard_accepts_words_in_texts_and_ctes(spark):
     assert adhoc.guarded_query(spark, "WITH a AS (SELECT 1 AS x) SELECT * FROM a;", []).count() == 1
 
 
+def test_guard_reads_names_in_their_scope(spark):
+    spark.range(4).createOrReplaceTempView("v_scope")
+    spark.range(9).createOrReplaceTempView("secret")
+    for sql, rows in [
+        ("WITH a AS (SELECT * FROM v_scope), b AS (SELECT * FROM a) SELECT * FROM b WHERE id IN (SELECT id FROM a)", 4),
+        ("WITH v_scope AS (SELECT 7 AS id) SELECT * FROM V_SCOPE", 1),  # shadows the view
+        ("WITH a AS (WITH a AS (SELECT * FROM v_scope) SELECT * FROM a) SELECT * FROM a", 4),
+        ("SELECT id, x FROM v_scope LATERAL VIEW explode(array(1, 2)) t AS x", 8),
+        ("SELECT sum(id) OVER w AS s FROM v_scope WINDOW w AS (ORDER BY id)", 4),
+    ]:
+        assert adhoc.guarded_query(spark, sql, ["v_scope"]).count() == rows
+    recursive = "WITH RECURSIVE r(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM r WHERE n < 3) SELECT * FROM r"
+    assert adhoc.relations_of(spark, recursive) == set()
+    with pytest.raises(ValueError, match="scan"):  # no bound on what it scans
+        adhoc.guarded_query(spark, recursive, [])
+    with pytest.raises(ValueError, match="secret"):
+        adhoc.guarded_query(spark, "WITH secret AS (SELECT * FROM secret) SELECT * FROM secret", ["v_scope"])
+
+
+def test_guard_leaves_literals_alone(spark):
+    text = "a\nInsertIntoStatement 'UnresolvedRelation [x]\n+- CTE [y]"
+    assert adhoc.guarded_query(spark, f"SELECT '{text.replace(chr(39), chr(34))}' AS x", []).collect()[0].x.startswith("a\n")
+    assert adhoc.guarded_query(spark, "SELECT 'a\nb' AS x, \"from secret\" AS y", []).collect()[0].x == "a\nb"
+
+
 def test_guarded_query_caps_rows(spark):
     spark.range(1000).withColumn("g", F.col("id") % 7).createOrReplaceTempView("t_guard")
     df = adhoc.guarded_query(spark, "SELECT * FROM (SELECT * FROM t_guard LIMIT 500) ORDER BY id;", ["t_guard"])

@@ -1,13 +1,14 @@
 """Sources and sinks: drift reader, CSV dimension, manifests, partitions."""
 
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import taxi_frame, taxi_row
 from tripline.model import TAXI_ALIASES, TAXI_CANONICAL
-from tripline.sources import drift, files
+from tripline.sources import drift, files, footers
 
 
 def write_month(spark, path, rows, vendor_type="bigint", rename=None, drop=()):
@@ -22,8 +23,10 @@ def test_drift_reader_aligns_types_aliases_and_missing(spark, tmp_dir):
     write_month(spark, a, [taxi_row()], vendor_type="int", rename={"airport_fee": "Airport_fee"})
     write_month(spark, b, [taxi_row(), taxi_row(VendorID=2)], drop=("congestion_surcharge",))
     write_month(spark, c, [taxi_row(VendorID=3)], vendor_type="int", rename={"airport_fee": "Airport_fee"})
-    groups = drift.file_schemas(spark, [a, b, c])
+    groups = drift.schema_groups(spark, [a, b, c], TAXI_CANONICAL, TAXI_ALIASES)
     assert len(groups) == 2  # two physical schemas -> two scans, not three
+    assert sorted(len(g.paths) for g in groups) == [1, 2]
+    assert [n for g in groups for n, column in g.held.items() if column is None] == ["congestion_surcharge"]
     df = drift.read_aligned(spark, [a, b, c], TAXI_CANONICAL, TAXI_ALIASES)
     assert df.count() == 4
     assert dict(df.dtypes)["VendorID"] == "bigint"
@@ -42,12 +45,51 @@ def test_folders_and_any_number_of_files(spark, tmp_dir):
     dirs = [f"{tmp_dir}/m{i}" for i in range(70)]
     write_month(spark, dirs[0], [taxi_row()], vendor_type="int")
     write_month(spark, dirs[1], [taxi_row(), taxi_row(VendorID=2)])
-    paths = [dirs[0], *[dirs[1]] * 69]
-    df = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
+    for copy in dirs[2:]:
+        shutil.copytree(dirs[1], copy)
+    df = drift.read_aligned(spark, dirs, TAXI_CANONICAL, TAXI_ALIASES)
     assert df.count() == 1 + 69 * 2
     assert drift.drift_frame(spark, dirs[:2], TAXI_CANONICAL, TAXI_ALIASES).count() == 0
 
 
+def test_ten_thousand_small_files_take_a_bounded_number_of_jobs(spark, tmp_dir):
+    kinds = []
+    for name, change in (("a", {}), ("b", {"vendor_type": "int"}), ("c", {"drop": ("extra",)})):
+        write_month(spark, f"{tmp_dir}/{name}", [taxi_row()], **change)
+        kinds.append(next(f"{tmp_dir}/{name}/{f}" for f in os.listdir(f"{tmp_dir}/{name}") if f.startswith("part-")))
+    os.mkdir(f"{tmp_dir}/many")
+    for i in range(10_000):
+        os.link(kinds[i % 3 if i % 100 == 0 else 0], f"{tmp_dir}/many/trips_{i:05d}.parquet")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("many-footers", "footers of many files")
+    try:
+        paths = sorted(f"{tmp_dir}/many/{f}" for f in os.listdir(f"{tmp_dir}/many"))
+        groups = drift.schema_groups(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)
+        assert sorted(len(g.paths) for g in groups) == [33, 33, 9934]
+        assert len(jobs.getJobIdsForGroup("many-footers")) <= 8
+        lacking = drift.drift_frame(spark, paths[:301], TAXI_CANONICAL, TAXI_ALIASES)
+        assert [r.column_name for r in lacking.collect()] == ["extra"]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_footers_tell_rows_and_column_sizes(spark, tmp_dir):
+    spark.range(5000).selectExpr("id", "cast(id as string) as text").coalesce(1).write.parquet(f"{tmp_dir}/x")
+    found = footers.footers(spark, [f"{tmp_dir}/x"]).collect()
+    assert [r.rows for r in found] == [5000]
+    sizes = {c.name: c.bytes for c in found[0].columns}
+    assert set(sizes) == {"id", "text"} and 0 < sum(sizes.values()) < found[0].bytes
+    total = footers.column_bytes(footers.footers(spark, [f"{tmp_dir}/x"]), ["text"]).collect()
+    assert [(r.column_name, r.files, r.bytes) for r in total] == [("text", 1, sizes["text"])]
+
+
+def test_footers_of_stores_that_tasks_cannot_open(spark, tmp_dir, monkeypatch):
+    write_month(spark, f"{tmp_dir}/a", [taxi_row()], drop=("extra",))
+    monkeypatch.setattr(footers, "tasks_can_open", lambda uri: False)
+    found = drift.drift_frame(spark, [f"{tmp_dir}/a"], TAXI_CANONICAL, TAXI_ALIASES).collect()
+    assert [r.column_name for r in found] == ["extra"]
+
+
 def test_text_that_is_no_number_becomes_null(spark, tmp_dir):
     path = f"{tmp_dir}/dirty.parquet"
     spark.createDataFrame([("N/A",), ("3",)], "VendorID string").write.parquet(path)
@@ -114,8 +156,6 @@ def test_ingest_manifest_counts_rows_per_file(spark, tmp_dir):
 
 
 def test_ingest_manifest_tells_same_names_apart_and_lists_empty_files(spark, tmp_dir):
-    import shutil
-
     paths = []
     for name, n in (("y1", 3), ("y2", 5), ("y3", 0)):
         write_month(spark, f"{tmp_dir}/{name}-out", [taxi_row()] * n)

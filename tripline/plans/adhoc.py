@@ -1,9 +1,14 @@
-"""Ad-hoc SQL over the curated views, judged by Spark's own parser."""
+"""Ad-hoc SQL over the curated views, judged by Spark's own parser.
+
+The parsed plan is walked node by node, with the names that are in scope at
+each: a WITH clause's names hold in its own query and in the definitions after
+them, not in their own, and end where the query ends.  Any other name is a
+relation that the text reads.  Texts inside literals are never looked at.
+"""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,15 +16,74 @@ from pyspark.sql import DataFrame, SparkSession
 RESULT_ROW_LIMIT = 200
 MAX_SCAN_BYTES = 2 * 1024**3
 
-# The parsed plan nodes that a query may have; any other refuses it.
+# The parsed plan nodes that a query may have; any other refuses it.  A lateral
+# view is allowed for the generators below, which read no relation; lateral
+# subqueries, table functions and hints are refused.
 QUERY_NODES = frozenset(
     "Project Filter Aggregate Sort GlobalLimit LocalLimit Offset Distinct Union Except Intersect Join "
     "SubqueryAlias UnresolvedSubqueryColumnAliases UnresolvedRelation UnresolvedHaving UnresolvedInlineTable "
-    "UnresolvedWith CTE WithWindowDefinition OneRowRelation LocalRelation".split()
+    "UnresolvedWith WithWindowDefinition OneRowRelation LocalRelation Generate".split()
 )
-_NODE = re.compile(r"^[\s:+\-]*'?(\w+)", re.M)
-_RELATION = re.compile(r"'UnresolvedRelation \[([^\]]*)\]")
-_REFLECTION = re.compile(r"'[\w.]*\b(?:reflect|java_method|try_reflect)\(", re.I)
+GENERATORS = frozenset("explode explode_outer posexplode posexplode_outer inline inline_outer stack".split())
+REFLECTION = frozenset("reflect try_reflect java_method".split())
+# The expressions that hold a query.
+SUBQUERIES = frozenset("ScalarSubquery Exists ListQuery LateralSubquery".split())
+
+
+def _items(seq) -> Iterator:
+    return (seq.apply(i) for i in range(seq.size()))
+
+
+def _kind(node) -> str:
+    return node.getClass().getSimpleName()
+
+
+def _dotted(parts) -> str:
+    return ".".join(_items(parts))
+
+
+def _expressions(node, sql: str) -> Iterator:
+    """Every expression of one plan node, refusing calls into the JVM and
+    functions that are named by an expression."""
+    todo = list(_items(node.expressions()))
+    if _kind(node) == "WithWindowDefinition":
+        todo += _items(node.windowDefinitions().values().toSeq())
+    while todo:
+        one = todo.pop()
+        if _kind(one) == "ExpressionWithUnresolvedIdentifier":
+            raise ValueError(f"no names made by expressions: {sql}")
+        name = {"UnresolvedFunction": "nameParts", "UnresolvedGenerator": "name"}.get(_kind(one))
+        if name == "nameParts" and _dotted(one.nameParts()).lower().split(".")[-1] in REFLECTION:
+            raise ValueError(f"no calls into the JVM: {sql}")
+        if name == "name" and one.name().funcName().lower() not in GENERATORS:
+            raise ValueError(f"not a generator of this guard ({one.name().funcName()}): {sql}")
+        yield one
+        todo.extend(_items(one.children()))
+
+
+def _relations(plan, scope: frozenset[str], sql: str) -> Iterator[str]:
+    """Relations that a parsed plan reads, where ``scope`` has the names of WITH clauses around it."""
+    kind = _kind(plan)
+    if kind not in QUERY_NODES:
+        raise ValueError(f"not a plain query ({kind}): {sql}")
+    if kind == "UnresolvedRelation":
+        name = _dotted(plan.multipartIdentifier()).lower()
+        if plan.multipartIdentifier().size() > 1 or name not in scope:
+            yield name
+        return
+    if kind == "UnresolvedWith":
+        for definition in _items(plan.cteRelations()):
+            name = definition._1().lower()
+            inner = scope | {name} if plan.allowRecursion() else scope
+            yield from _relations(definition._2(), inner, sql)
+            scope = scope | {name}
+        yield from _relations(plan.child(), scope, sql)
+        return
+    for one in _expressions(plan, sql):
+        if _kind(one) in SUBQUERIES:
+            yield from _relations(one.plan(), scope, sql)
+    for child in _items(plan.children()):
+        yield from _relations(child, scope, sql)
 
 
 def relations_of(spark: SparkSession, sql: str) -> set[str]:
@@ -27,16 +91,10 @@ def relations_of(spark: SparkSession, sql: str) -> set[str]:
     anything but a query or calls into the JVM.  Nothing is run."""
     parser = spark._jsparkSession.sessionState().sqlParser()
     try:
-        tree = parser.parsePlan(sql.strip().rstrip(";")).treeString(True, False, 2**31 - 1, False, False)
+        plan = parser.parsePlan(sql.strip().rstrip(";"))
     except Exception as bad:
         raise ValueError(f"not one SQL query: {sql}") from bad
-    other = set(_NODE.findall(tree)) - QUERY_NODES
-    if other:
-        raise ValueError(f"not a plain query ({', '.join(sorted(other))}): {sql}")
-    if _REFLECTION.search(tree):
-        raise ValueError(f"no calls into the JVM: {sql}")
-    defined = {n.strip() for names in re.findall(r"CTE \[([^\]]*)\]", tree) for n in names.split(",")}
-    return {n.lower() for n in _RELATION.findall(tree)} - {n.lower() for n in defined}
+    return set(_relations(plan, frozenset(), sql))
 
 
 def estimated_scan_bytes(df: DataFrame) -> int:

@@ -2,24 +2,24 @@
 
 Monthly files drift: an int column becomes long, a column is missing, a
 name changes case.  Reading all files as one path fails on a physical type
-conflict, and reading each file separately makes an N-way union.  Instead
-files are grouped by their footer schema (metadata only), each group is read
-with ONE scan, cast to the canonical schema, and the few groups are unioned
-by name.  Missing columns become typed NULLs and are reported as drift rows.
+conflict, and reading each file separately makes an N-way union.  Instead a
+Spark job reads all footers and groups the files by the canonical columns that
+they hold and the types they hold them in; each group is read with ONE scan,
+cast to the canonical schema, and the few groups are unioned by name.  Missing
+columns become typed NULLs and are reported as drift rows.
 """
 
 from __future__ import annotations
 
 import functools
-import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType
 
 from tripline.functions import fill
-from tripline.sources.files import list_files
+from tripline.sources.footers import footers
 
 Canonical = list[tuple[str, DataType]]
 Aliases = dict[str, tuple[str, ...]] | None
@@ -28,15 +28,6 @@ Aliases = dict[str, tuple[str, ...]] | None
 DRIFT_MESSAGE = "{file}: missing column '{column}' (filled null)"
 
 
-def file_schemas(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Paths by the schema that Spark reads from their footers (no data); one
-    small metadata read for each path, files and folders alike."""
-    by_schema: dict[str, list[str]] = {}
-    for path in sorted(paths):
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    return by_schema
-
-
 @dataclass(frozen=True)
 class SchemaGroup:
     """Files of one schema; ``held`` names the column of the files that each
@@ -45,21 +36,30 @@ class SchemaGroup:
     paths: list[str]
     held: dict[str, str | None]
 
-    @property
-    def lacking(self) -> list[str]:
-        return [name for name, column in self.held.items() if column is None]
+
+def _spellings(canonical: Canonical, aliases: Aliases) -> dict[str, tuple[str, ...]]:
+    return {name: (name, *(aliases or {}).get(name, ())) for name, _ in canonical}
+
+
+def _held(spelled: tuple[str, ...]) -> Column:
+    """The first of some spellings that a file's footer has, with its type; NULL where it has none."""
+    def of(spelling: str) -> Column:
+        return F.filter("columns", lambda c: c["name"] == spelling)
+
+    found = F.flatten(F.array(*map(of, spelled)))
+    return F.get(F.transform(found, lambda c: F.struct(c["name"].alias("name"), c["type"].alias("type"))), F.lit(0))
 
 
 def schema_groups(spark: SparkSession, paths: list[str], canonical: Canonical, aliases: Aliases) -> list[SchemaGroup]:
+    """The files under ``paths``, each once, by what they hold of the canonical
+    columns, merged in one aggregate over their footers: a row for each group."""
     if not paths:
         raise ValueError("no input files")
-    spellings = {name: (name, *(aliases or {}).get(name, ())) for name, _ in canonical}
-    groups = []
-    for schema, members in file_schemas(spark, paths).items():
-        names = set(StructType.fromJson(json.loads(schema)).names)
-        held = {name: next(filter(names.__contains__, tried), None) for name, tried in spellings.items()}
-        groups.append(SchemaGroup(members, held))
-    return groups
+    spellings = _spellings(canonical, aliases)
+    found = footers(spark, paths).select("file_path", F.array(*map(_held, spellings.values())).alias("held"))
+    merged = found.groupBy("held").agg(F.array_sort(F.collect_list("file_path")).alias("paths")).collect()
+    groups = [SchemaGroup(r.paths, {n: h and h["name"] for n, h in zip(spellings, r.held)}) for r in merged]
+    return sorted(groups, key=lambda g: g.paths[0])
 
 
 def read_aligned(
@@ -86,14 +86,13 @@ def drift_frame(
     spark: SparkSession, paths: list[str], canonical: Canonical, aliases: Aliases = None
 ) -> DataFrame:
     """``(file_name, column_name)`` for every canonical column that a file
-    lacks, from a listing of the files themselves (empty ones too)."""
-    frames = [
-        list_files(spark, group.paths).select(
-            "file_name", F.explode(F.array(*map(F.lit, group.lacking)).cast("array<string>")).alias("column_name")
-        )
-        for group in schema_groups(spark, paths, canonical, aliases)
-    ]
-    return functools.reduce(DataFrame.unionByName, frames)
+    lacks, empty files too, from the job that reads the footers."""
+    if not paths:
+        raise ValueError("no input files")
+    lacking = [F.when(_held(spelled).isNull(), F.lit(name)) for name, spelled in _spellings(canonical, aliases).items()]
+    found = footers(spark, paths).select("file_name", F.explode(F.array_compact(F.array(*lacking))).alias("column_name"))
+    # files x missing columns, never rows: plans that join it stay free of Python
+    return spark.createDataFrame(found.collect(), "file_name string, column_name string")
 
 
 def failed_values(
