@@ -29,12 +29,16 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def held_exactly(c: Column, scale: DecimalType) -> Column:
+    """Whether a double is a value of ``scale``, so that no digit is cut."""
+    return F.coalesce(c.try_cast(scale).cast("double") == c, F.lit(False))
+
+
 def _sum_of_doubles(c: Column, scale: DecimalType) -> Column:
     """SUM of doubles as a double: exact over the values that ``scale`` holds,
     plus the double sum of the others (tiny, huge, infinite, NaN)."""
-    fixed = c.try_cast(scale)
-    held = F.coalesce(fixed.cast("double") == c, F.lit(False))
-    exact = F.sum(F.when(held, fixed)).cast("double")
+    held = held_exactly(c, scale)
+    exact = F.sum(F.when(held, c.try_cast(scale))).cast("double")
     rest = F.sum(F.when(~held, c))
     return F.when(
         F.count(c) > 0, F.coalesce(exact, F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))

@@ -457,6 +457,16 @@ SELECT CAST(s_suppkey AS BIGINT), s_name, CAST(s_nationkey AS BIGINT), CAST(s_ac
     # aggregates
     q["agg_daily_zone"] = _with(f"SELECT * REPLACE ({_d('total_revenue')} AS total_revenue) FROM daily")
     q["agg_hourly_profile"] = _with("SELECT * FROM event_hourly")
+    q["agg_daily_incremental"] = q["agg_daily_zone"]
+    q["agg_hourly_incremental"] = _with("SELECT * FROM hourly")
+    q["agg_active_zones"] = _with(
+        "SELECT CAST(pickup_date - CAST(dayofweek(pickup_date) AS INTEGER) AS DATE) AS week, "
+        "COUNT(DISTINCT pickup_zone) AS active_zones FROM trips WHERE pickup_zone IS NOT NULL GROUP BY 1"
+    )
+    q["load_months"] = _with(
+        "SELECT year_month, COUNT(*) AS table_rows, COUNT(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_loaded_again "
+        "FROM trips GROUP BY year_month"
+    )
     q["agg_citywide_borough"] = _with(
         f"SELECT pickup_date, grain_type, grain, CAST(trip_count AS BIGINT) AS trip_count, "
         f"{_d('total_revenue')} AS total_revenue FROM series"
@@ -650,5 +660,6 @@ GROUP BY pickup_date"""
     )
     q["layout_clustered_query"] = layout_sql
     q["layout_naive_query"] = layout_sql
+    q["agg_zone_cohorts"] = q["view_zone_weekly_cohort"]
     q["etl_written_daily"], q["etl_written_flags"] = q["agg_daily_zone"], q["anomaly_zscore"]
     return q

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tripline.model import ORDERS_MODEL
-from tripline.operators import anomaly, clean, enrich, quality, report
-from tripline.plans import adhoc, etl, layout, views
+from tripline.operators import anomaly, clean, enrich, partials, quality, report
+from tripline.plans import adhoc, etl, layout, loads, views
 from tripline.plans.pipeline import Pipeline
 from tripline.session import scratch_path
 from tripline.sources import drift, files, tables
@@ -27,6 +27,9 @@ LAYOUT_ZONE = 7
 LAYOUT_START = "1997-07-01"
 LAYOUT_END = "1997-09-30"
 
+# Fixed parameter of the queries that load months in two steps.
+LOAD_SPLIT = "1997-01-01"
+
 GUARDED_SQL = (
     "SELECT day, trips, revenue FROM vw_daily_kpis "
     "WHERE revenue > (SELECT AVG(revenue) FROM vw_daily_kpis) "
@@ -244,6 +247,61 @@ def agg_citywide_borough(spark, sf_dir):
     return Pipeline(spark, sf_dir).series
 
 
+def _loaded_in_two_steps(spark, sf_dir, transform) -> tuple[Pipeline, str]:
+    """A table kept by ``loads`` over month partitions: the months up to the
+    middle one first, then the others, as new months of one source."""
+    p = Pipeline(spark, sf_dir)
+    source, target, ledger = (scratch_path(spark, n) for n in ("months_source", "months_table", "months_ledger"))
+    for part in (F.col("pickup_date") < LOAD_SPLIT, F.col("pickup_date") >= LOAD_SPLIT):
+        files.write_partitioned(p.trips.filter(part), source, "year_month", only_partitions=True)
+        loads.load_partitions(spark, source, target, ledger, "year_month", lambda rows: transform(rows, p.model))
+    return p, target
+
+
+@query("agg_daily_incremental")
+def agg_daily_incremental(spark, sf_dir):
+    """The daily aggregate merged from partials by month, stored in two loads."""
+    p, path = _loaded_in_two_steps(spark, sf_dir, partials.daily_partials)
+    return partials.merge_daily(files.read_partitioned(spark, path, "year_month"), p.model)
+
+
+@query("agg_hourly_incremental")
+def agg_hourly_incremental(spark, sf_dir):
+    """The hourly profile of trips merged from partials by month: one group has rows of every month."""
+    p, path = _loaded_in_two_steps(spark, sf_dir, lambda rows, m: partials.hourly_partials(rows, m.fare))
+    return partials.merge_hourly(files.read_partitioned(spark, path, "year_month"), p.model.fare)
+
+
+@query("agg_active_zones")
+def agg_active_zones(spark, sf_dir):
+    """Distinct zones of each week, by OR of bitmaps that months keep."""
+    _, path = _loaded_in_two_steps(spark, sf_dir, partials.zone_week_bitmaps)
+    return partials.active_zones(files.read_partitioned(spark, path, "year_month"))
+
+
+@query("agg_zone_cohorts")
+def agg_zone_cohorts(spark, sf_dir):
+    """The weekly cohorts with zones as bitmaps by month."""
+    p = Pipeline(spark, sf_dir)
+    return partials.merge_cohorts(partials.cohort_bitmaps(p.daily, p.model))
+
+
+# --- loads -----------------------------------------------------------------------
+
+
+@query("load_months")
+def load_months(spark, sf_dir):
+    """Trips loaded month by month, twice: the second load finds nothing new,
+    and the table and its counts stay."""
+    source, target, ledger = (scratch_path(spark, n) for n in ("trips_cleaned", "trips_loaded", "trips_ledger"))
+    files.write_partitioned(Pipeline(spark, sf_dir).trips, source, "year_month")
+    first, again = (loads.load_partitions(spark, source, target, ledger, "year_month") for _ in range(2))
+    table = files.read_partitioned(spark, target, "year_month").groupBy("year_month").agg(F.count(F.lit(1)).alias("table_rows"))
+    renamed = [d.select("year_month", F.col("rows").alias(n)) for d, n in ((first, "rows_loaded"), (again, "rows_loaded_again"))]
+    both = table.join(renamed[0], "year_month", "full").join(renamed[1], "year_month", "full")
+    return both.fillna(0, ["rows_loaded", "rows_loaded_again", "table_rows"])
+
+
 # --- views -----------------------------------------------------------------------
 
 
