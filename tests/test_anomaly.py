@@ -1,7 +1,9 @@
 """Weekday-adjusted rolling z-score (FIXTURES.md §4)."""
 
 import datetime as dt
+import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 
@@ -55,6 +57,29 @@ def test_missing_week_uses_previous_occurrences(spark):
     assert rows[3].rolling_mean == pytest.approx((10 + 20 + 40) / 3)
 
 
+@pytest.mark.parametrize("base", ["0", "123456789012", "-5000"])
+def test_ten_decimals_score_as_a_brute_force_does(spark, base):
+    rng = random.Random(1)
+    values = [Decimal(base) + Decimal(rng.choice([0, 1, 2, 10**6 - 1, 10**6, 10**6 + 1, rng.randrange(10**7)])).scaleb(-10) for _ in range(40)]
+    rows = [(dt.date(2023, 1, 2) + dt.timedelta(days=7 * i), "citywide", "citywide", i, v) for i, v in enumerate(values)]
+    kind = "pickup_date date, grain_type string, grain string, trip_count bigint, total_revenue decimal(28,10)"
+    out = anomaly.anomalies(spark.createDataFrame(rows, kind)).filter("metric = 'total_revenue'").orderBy("pickup_date").collect()
+    flagged = 0
+    for i, r in enumerate(out):
+        past = [Fraction(v) for v in values[max(0, i - 6) : i]]
+        assert r.value == float(values[i])
+        if len(past) < 3:
+            assert r.rolling_mean is None and r.z_score is None
+            continue
+        mean = sum(past) / len(past)
+        var = sum((x - mean) ** 2 for x in past) / (len(past) - 1)
+        assert r.rolling_mean == pytest.approx(float(mean), rel=1e-14)
+        assert r.rolling_std == pytest.approx(float(var) ** 0.5, rel=1e-12)
+        assert (r.z_score is None) == (var == 0)
+        flagged += var > 0
+    assert flagged > 20
+
+
 def test_weekdays_are_separate_series(spark):
     # daily values: each weekday has only one occurrence -> nothing scored
     rows = scored(spark, [1, 2, 3, 4, 5, 6, 7], step_days=1)

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import taxi_frame, taxi_row, ts, zone_frame
+from tests.helpers import plan_text, taxi_frame, taxi_row, ts, zone_frame
 from tripline.model import TAXI_ALIASES, TAXI_CANONICAL, TAXI_MODEL
+from tripline.operators import quality
 from tripline.plans import etl
 from tripline.sources import drift, files
 
@@ -129,3 +130,21 @@ def test_cli_stages_end_to_end(spark, tmp_dir):
     assert head.total_trips == 21 and head.checks_total == 14
     assert head.wall_clock_speedup_x == row["wall_clock_speedup_x"]
     assert row["clustered_files"] <= row["naive_files"] + 1
+
+
+def test_checks_of_a_run_take_no_pass_over_the_trips_for_nulls_and_ranges(job, tmp_dir):
+    spark, paths, out, manifest = job
+    model, ingest = TAXI_MODEL, spark.createDataFrame([(53,)], "ingest_total_rows bigint")
+    stored = files.read_partitioned(spark, f"{out}/trips_cleaned", "year_month")
+    again = {k: v for k, v in quality.trip_profile(stored, model).first().asDict().items()}
+    assert manifest["profile"] == again  # as observed at the write
+
+    def checked():
+        """The checks, and the scans of the trips that read the fare."""
+        df = etl.run_validation(spark, out, model, ingest, gate=False)
+        blocks = [b for b in plan_text(df).split("Scan parquet")[1:] if "ReadSchema" in b and "trips_cleaned" in b]
+        return sorted(map(str, df.collect())), sum(model.fare in b.split("ReadSchema")[1].split("\n")[0] for b in blocks)
+
+    observed, passes = checked()
+    etl.write_manifest(spark, {**manifest, "profile": None}, f"{out}/etl_manifest")
+    assert passes == 0 and checked() == (observed, 1)

@@ -1,6 +1,7 @@
 """Clustered vs plain layout, pruning helper, scan metrics; guarded SQL."""
 
 import datetime as dt
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import plan_text, taxi_frame, taxi_row, zone_frame
 from tripline.model import TAXI_MODEL as M
 from tripline.operators import enrich
-from tripline.plans import adhoc, layout
+from tripline.plans import adhoc, layout, scanlog
 
 
 @pytest.fixture()
@@ -54,10 +55,64 @@ def test_benchmark_reports_less_data_scanned(spark, trips, tmp_dir):
     r = layout.benchmark(spark, c, p, M, 132, "2023-07-01", "2023-07-31").collect()[0]
     assert r.clustered_files == 1 and r.naive_files >= 1
     assert r.clustered_bytes < r.naive_bytes
-    assert r.bytes_scanned_reduction_pct > 0
+    assert 0 < r.clustered_bytes_read < r.naive_bytes_read
+    assert r.bytes_scanned_reduction_pct == pytest.approx(100 * (1 - r.clustered_bytes_read / r.naive_bytes_read), abs=0.01)
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
 
 
+@pytest.fixture(scope="module")
+def year(spark):
+    """Trips of 200 zones on 360 days, in no order, with a wide column."""
+    day = F.date_add(F.lit("2023-01-01").cast("date"), F.pmod(F.xxhash64("id"), F.lit(360)).cast("int"))
+    return spark.range(0, 60_000, 1, 4).select(
+        (F.col("id") * 104_729 % 200 + 1).alias(M.origin), day.alias("pickup_date"),
+        F.date_format(day, "yyyy-MM").alias("year_month"), F.lit(1.5).alias(M.distance),
+        (F.col("id") % 100).cast("decimal(10,2)").alias(M.total), (F.col("id") % 3).alias(M.payment), F.sha2(F.col("id").cast("string"), 256).alias("note"),
+    )
+
+
+def bytes_of(spark, df):
+    with scanlog.job_group(spark, "test") as group:
+        rows = df.collect()
+    read = scanlog.input_of(spark, [group])[group]
+    return len(rows), *read
+
+
+def test_bytes_read_fall_with_pruned_columns_and_skipped_row_groups(spark, year, tmp_dir):
+    path = f"{tmp_dir}/sorted"
+    year.coalesce(1).sort(M.origin).write.option("parquet.block.size", 512 * 1024).parquet(path)
+    table = spark.read.parquet(path)
+    rows, wide, _ = bytes_of(spark, table)
+    assert rows == 60_000
+    _, narrow, _ = bytes_of(spark, table.select(M.origin))
+    found, skipped, records = bytes_of(spark, table.filter(F.col(M.origin) == 7))
+    assert found == 300 and records < 30_000  # most row groups are not read
+    assert narrow < wide / 3 and skipped < wide / 3
+
+
+def test_interleaved_layout_skips_on_zone_and_on_date(spark, year, tmp_dir):
+    paths = [f"{tmp_dir}/{n}" for n in ("interleaved", "plain", "clustered")]
+    layout.write_interleaved(year, paths[0], M, files=4, row_group_bytes=64 * 1024)
+    year.write.option("parquet.block.size", 64 * 1024).parquet(paths[1])
+    layout.write_clustered(year, paths[2], M)
+    tables = [spark.read.parquet(p) for p in paths]
+    zone, week = F.col(M.origin) == 77, F.col("pickup_date").between(dt.date(2023, 5, 1), dt.date(2023, 5, 7))
+    for condition in (zone, week, zone & week):
+        (rows, read, _), (same, all_read, _) = (bytes_of(spark, t.filter(condition)) for t in tables[:2])
+        assert rows == same > 0
+        assert read < all_read / 2
+    a, b, c = (sorted(layout.zone_period_query(t, M, 77, "2023-02-01", "2023-03-31", p).collect()) for t, p in zip(tables, (None, None, "year_month")))
+    assert a == b == c and a
+
+
+def test_interleaved_bits(spark):
+    key = layout.interleaved(F.col("x"), F.col("y"), 3)
+    rows = spark.createDataFrame([(5, 0), (0, 5), (7, 7), (3, 4)], "x int, y int").select(key.alias("k")).collect()
+    assert [r.k for r in rows] == [0b010001, 0b100010, 0b111111, 0b100101]
+    empty = spark.createDataFrame([], f"{M.origin} int, pickup_date date")
+    layout.write_interleaved(empty, f"{tempfile.mkdtemp(prefix='tripline-test-')}/none", M)
+
+
 def test_date_range_filter_adds_month_range():
     cond = str(layout.date_range_filter("2023-07-01", "2023-08-15"))
     assert "year_month" in cond and "2023-07" in cond and "2023-08" in cond
@@ -130,6 +185,30 @@ def test_guarded_query_caps_rows(spark):
         adhoc.guarded_query(spark, "SELECT * FROM t_guard", ["t_guard"], max_bytes=1)
 
 
+def test_scan_estimate_follows_columns_partitions_and_subqueries(spark, tmp_dir):
+    path = f"{tmp_dir}/wide"
+    wide = spark.range(20_000).selectExpr("id", "sha2(cast(id as string), 512) as note", "id % 4 as part")
+    wide.coalesce(1).write.partitionBy("part").parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("v_wide")
+
+    def size(sql):
+        return adhoc.estimated_scan_bytes(spark.sql(sql))
+
+    total, narrow = size("SELECT * FROM v_wide"), size("SELECT sum(id) FROM v_wide")
+    assert 0 < narrow < total / 10
+    assert size("SELECT * FROM v_wide WHERE part = 2") == pytest.approx(total / 4, rel=0.05)
+    assert size("SELECT * FROM v_wide WHERE id > (SELECT avg(id) FROM v_wide)") == total + narrow
+    assert size("SELECT 1") < 100
+    cap = total // 2
+    assert adhoc.guarded_query(spark, "SELECT max(id) FROM v_wide", ["v_wide"], max_bytes=cap).count() == 1
+    with pytest.raises(ValueError, match="scan"):
+        adhoc.guarded_query(spark, "SELECT max(note) FROM v_wide", ["v_wide"], max_bytes=cap)
+    with pytest.raises(ValueError, match="scan"):
+        adhoc.guarded_query(spark, "SELECT * FROM v_wide", ["v_wide"], max_bytes=cap)
+    assert adhoc.guarded_query(spark, "SELECT * FROM v_wide WHERE part = 1", ["v_wide"], max_bytes=cap).count() == 200
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
 def test_referenced_views(spark):
     sql = "SELECT * FROM vw_daily_kpis d JOIN VW_MONTHLY_TREND m ON true"
     assert adhoc.relations_of(spark, sql) == {"vw_daily_kpis", "vw_monthly_trend"}

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tripline.model import TAXI_ALIASES, TAXI_CANONICAL, TAXI_MODEL
 from tripline.operators import quality
-from tripline.plans import adhoc, etl, layout, views
+from tripline.plans import adhoc, etl, layout, scanlog, views
 from tripline.session import build_session
 from tripline.sources import drift, files
 
@@ -54,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     lay.add_argument("--end", default="2023-07-31")
     lay.add_argument("--partition", choices=("month", "day"), default="month")
     lay.add_argument("--report", help="where the measurement is stored, as JSON")
+    lay.add_argument("--events", help="existing folder for Spark's event log: reports the bytes really read")
     r = sub.add_parser("report")
     r.add_argument("--out", required=True)
     r.add_argument("--report", required=True, help="folder of the report tables")
@@ -62,9 +63,17 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _event_log(args: argparse.Namespace) -> dict[str, str]:
+    """Session settings for the bytes that the layout benchmark reports."""
+    if args.cmd != "layout" or not args.events:
+        return {}
+    return {**scanlog.EVENT_LOG_CONF, "spark.eventLog.dir": args.events}
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> object:
     args = _parser().parse_args(argv)
-    spark = spark or build_session(app_name=f"tripline-{args.cmd}")
+    if spark is None:
+        spark = build_session(app_name=f"tripline-{args.cmd}", extra_conf=_event_log(args))
     if args.cmd == "etl":
         paths = files.select_files(spark, args.raw, args.months)
         raw = drift.read_aligned(spark, paths, TAXI_CANONICAL, TAXI_ALIASES)

@@ -659,7 +659,7 @@ WHERE pickup_date BETWEEN DATE '{catalog.LAYOUT_START}' AND DATE '{catalog.LAYOU
 GROUP BY pickup_date"""
     )
     q["layout_clustered_query"] = layout_sql
-    q["layout_naive_query"] = layout_sql
+    q["layout_naive_query"] = q["layout_interleaved_query"] = layout_sql
     q["agg_zone_cohorts"] = q["view_zone_weekly_cohort"]
     q["etl_written_daily"], q["etl_written_flags"] = q["agg_daily_zone"], q["anomaly_zscore"]
     return q

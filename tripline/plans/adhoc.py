@@ -11,6 +11,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripline.sources.footers import column_bytes, footers
 
 # Fixed values of the guard.
 RESULT_ROW_LIMIT = 200
@@ -97,11 +100,57 @@ def relations_of(spark: SparkSession, sql: str) -> set[str]:
     return set(_relations(plan, frozenset(), sql))
 
 
+def _leaves(node) -> Iterator:
+    """Leaf nodes of a physical plan, those of its subqueries too, reused ones once."""
+    for sub in _items(node.subqueries()):
+        if not _kind(sub).startswith("Reused"):
+            yield from _leaves(sub)
+    children = list(_items(node.children()))
+    if not children and not _kind(node).startswith("Reused"):
+        yield node
+    for child in children:
+        yield from _leaves(child)
+
+
+def _scanned_files(scan) -> list[str]:
+    """The files of the partitions that a file scan's filters leave."""
+    location = scan.relation().location()
+    found = location.listFiles(scan.partitionFilters(), scan.dataFilters())
+    return [f.getPath().toString() for folder in _items(found) for f in _items(folder.files())]
+
+
+def _logical_bytes(node) -> int:
+    link = node.logicalLink()
+    return int(str(link.get().stats().sizeInBytes())) if link.isDefined() else 0
+
+
 def estimated_scan_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of the relations the plan reads, summed over
-    its leaves (no job runs)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    """Stored bytes of the columns that the plan's file scans need, in the
+    partitions that their filters leave, from the files' footers (a job that
+    reads no data).  Other leaves count with the optimizer's estimate."""
+    spark = df.sparkSession
+    logical = df._jdf.queryExecution().logical()
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else subqueries are planned as the query runs
+    try:
+        plan = spark._jsparkSession.sessionState().executePlan(logical, _eager(spark)).executedPlan()
+        total, wanted = 0, []
+        for leaf in _leaves(plan):
+            if _kind(leaf) == "FileSourceScanExec" and leaf.relation().fileFormat().toString() == "Parquet":
+                wanted.append((_scanned_files(leaf), list(leaf.requiredSchema().fieldNames())))
+            else:
+                total += _logical_bytes(leaf)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    for paths, names in wanted:
+        if paths and names:
+            sizes = column_bytes(footers(spark, paths), names)
+            total += sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    return total
+
+
+def _eager(spark: SparkSession):
+    return spark._jvm.org.apache.spark.sql.execution.CommandExecutionMode.SKIP()
 
 
 def guarded_query(spark: SparkSession, sql: str, names: Iterable[str], max_rows: int = RESULT_ROW_LIMIT,

@@ -496,12 +496,14 @@ def weekly_anomalies(spark, sf_dir):
 
 @query("guarded_query")
 def guarded_query(spark, sf_dir):
-    """Validate first, then register the curated views the text names.  The
-    views stand on the raw tables here, so there is no cap on bytes: it is a
-    parameter for views over stored aggregates."""
+    """Validate first, then register the curated views the text names, over
+    the stored daily aggregate, and hold the query to the cap on bytes."""
     named = adhoc.relations_of(spark, GUARDED_SQL)
-    Pipeline(spark, sf_dir).register_views([v for v in views.VIEW_NAMES if v in named])
-    return adhoc.guarded_query(spark, GUARDED_SQL, views.VIEW_NAMES, max_bytes=None)
+    p, path = Pipeline(spark, sf_dir), scratch_path(spark, "daily_zone_agg")
+    p.daily.write.mode("overwrite").parquet(path)
+    p.daily = spark.read.parquet(path)  # the views of this pipeline stand on it
+    p.register_views([v for v in views.VIEW_NAMES if v in named])
+    return adhoc.guarded_query(spark, GUARDED_SQL, views.VIEW_NAMES)
 
 
 # --- layout ----------------------------------------------------------------------
@@ -523,3 +525,13 @@ def layout_naive_query(spark, sf_dir):
     layout.write_plain(p.trips, path)
     table = spark.read.parquet(path)
     return layout.zone_period_query(table, p.model, LAYOUT_ZONE, LAYOUT_START, LAYOUT_END, None)
+
+
+@query("layout_interleaved_query")
+def layout_interleaved_query(spark, sf_dir):
+    """The layout query on rows clustered by zone and date at once."""
+    p = Pipeline(spark, sf_dir)
+    path = scratch_path(spark, "trips_interleaved")
+    layout.write_interleaved(p.trips, path, p.model)
+    table = spark.read.parquet(path)
+    return layout.zone_period_query(table, p.model, LAYOUT_ZONE, LAYOUT_START, LAYOUT_END, None)

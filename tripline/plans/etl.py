@@ -1,9 +1,10 @@
 """Batch jobs: ETL (clean -> dedupe -> enrich -> write -> aggregate) and
 validation (checks over the written tables -> report -> gate).
 
-Step counts come from ``Observation`` metrics attached to the writes, so the
-job runs 1 scan-only count + 3 writes instead of re-running the plan for
-every count.  Aggregates are computed from the *written* trip table, which
+Step counts and the checks' NULL and range counts come from ``Observation``
+metrics attached to the writes, so the job runs 1 scan-only count + 3 writes
+instead of re-running the plan for every count, and validation needs no pass
+over the stored trips for them.  Aggregates are computed from the *written* trip table, which
 cuts the lineage: a lost executor re-reads stored files instead of
 recomputing the whole cleaning plan.
 """
@@ -18,6 +19,7 @@ from pyspark.sql.types import (
     ArrayType,
     DoubleType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -42,6 +44,7 @@ MANIFEST_SCHEMA = StructType(
         StructField("steps", StructType([StructField(n, LongType()) for n in STEP_NAMES])),
         StructField("schema_drift", ArrayType(StringType())),
         StructField("elapsed_seconds", DoubleType()),
+        StructField("profile", MapType(StringType(), LongType())),
     ]
 )
 
@@ -71,7 +74,7 @@ def run_etl(
     trips = enrich.enrich(clean.dedupe(valid), zones, model)
     obs_final = Observation("final_rows")
     write_partitioned(
-        trips.observe(obs_final, F.count(F.lit(1)).alias("rows")),
+        trips.observe(obs_final, *quality.profile_metrics(trips, model)),
         f"{out_dir}/trips_cleaned",
         "year_month",
         (model.origin, model.payment),
@@ -100,6 +103,7 @@ def run_etl(
         # files x missing columns, never rows
         "schema_drift": sorted(r[0] for r in drift.collect()) if drift is not None else [],
         "elapsed_seconds": round(time.time() - t0, 1),
+        "profile": {name: int(value) for name, value in obs_final.get.items()},
     }
     write_manifest(spark, manifest, f"{out_dir}/etl_manifest")
     return manifest
@@ -111,6 +115,7 @@ def write_manifest(spark: SparkSession, manifest: dict, path: str) -> None:
         tuple(manifest["steps"].get(n) for n in STEP_NAMES),
         manifest.get("schema_drift", []),
         float(manifest.get("elapsed_seconds", 0.0)),
+        manifest.get("profile"),
     )
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
 
@@ -121,6 +126,12 @@ def manifest_counts(manifest: DataFrame) -> DataFrame:
     return steps.unpivot([], list(steps.columns), "name", "value")
 
 
+def manifest_profile(manifest: DataFrame) -> DataFrame | None:
+    """The trips' metrics of an ETL manifest as ``(name, value)``; None in one that has none."""
+    rows = manifest.select(F.explode("profile").alias("name", "value"))
+    return None if rows.isEmpty() else rows
+
+
 def run_validation(
     spark: SparkSession,
     out_dir: str,
@@ -147,7 +158,7 @@ def run_validation(
     trips = read_partitioned(spark, f"{out_dir}/trips_cleaned", "year_month")
     daily = spark.read.parquet(f"{out_dir}/daily_zone_agg")
     hourly = spark.read.parquet(f"{out_dir}/hourly_profile")
-    checks = quality.run_checks(trips, daily, hourly, counts, model, drift)
+    checks = quality.run_checks(trips, daily, hourly, counts, model, drift, profile=manifest_profile(manifest))
     if report_path:
         write_report(checks, report_path)
         checks = spark.read.option("multiLine", True).json(report_path).select(

@@ -1,4 +1,5 @@
-"""Clustered vs plain layouts, partition-pruning helper and scan metrics."""
+"""Clustered, two-column-clustered and plain layouts, partition-pruning helper
+and scan metrics."""
 
 from __future__ import annotations
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripline.functions import exact_avg, exact_sum
 from tripline.model import TripModel
+from tripline.plans import scanlog
 from tripline.sources.files import write_partitioned
 
 PARTITION_COL = "year_month"
@@ -25,6 +27,52 @@ def write_clustered(trips: DataFrame, path: str, model: TripModel,
     write_partitioned(trips, path, partition_col, sort)
 
 
+# Bits of each column in the key of the two-column layout, and its row groups.
+INTERLEAVED_BITS = 10
+ROW_GROUP_BYTES = 16 * 1024**2
+
+
+def interleaved(x: Column, y: Column, bits: int = INTERLEAVED_BITS) -> Column:
+    """The bits of two whole numbers in turn, x's lowest bit last: rows near in
+    both columns are near in this key (a Z-order curve)."""
+    key = F.lit(0).cast("bigint")
+    for i in range(bits):
+        for place, c in ((2 * i, x), (2 * i + 1, y)):
+            bit = F.shiftright(c.cast("bigint"), i).bitwiseAND(F.lit(1).cast("bigint"))
+            key = key.bitwiseOR(F.shiftleft(bit, place))
+    return key
+
+
+def _spread(c: Column, low, high, bits: int) -> Column:
+    """A value's place between the least and greatest one, in ``bits`` bits; NULL comes first."""
+    place = F.floor((c - F.lit(low)).cast("double") * (2**bits - 1) / F.lit(float(max(high - low, 1))))
+    return F.coalesce(place, F.lit(0)).cast("bigint")
+
+
+def write_interleaved(trips: DataFrame, path: str, model: TripModel, files: int | None = None,
+                      row_group_bytes: int = ROW_GROUP_BYTES, bits: int = INTERLEAVED_BITS) -> None:
+    """One layout for filters on the origin zone, on the date, or on both: rows
+    are range-partitioned and sorted by the interleaved bits of zone and date,
+    so every file and row group holds a small range of each, and the zone has
+    Parquet bloom filters besides.  The bounds come from one aggregate."""
+    day = F.datediff(DAY_COL, F.lit("1970-01-01").cast("date"))
+    zone = F.col(model.origin).cast("bigint")
+    ends = trips.agg(F.min(zone), F.max(zone), F.min(day), F.max(day)).first()
+    if ends[0] is None or ends[2] is None:
+        return write_plain(trips, path)
+    key = interleaved(_spread(zone, ends[0], ends[1], bits), _spread(day, ends[2], ends[3], bits), bits)
+    keyed = trips.withColumn("__key", key)
+    dealt = keyed.repartitionByRange(files, "__key") if files else keyed.repartitionByRange("__key")
+    (
+        dealt.sortWithinPartitions("__key", model.origin, DAY_COL).drop("__key")
+        .write.mode("overwrite")
+        .option("parquet.block.size", row_group_bytes)
+        .option(f"parquet.bloom.filter.enabled#{model.origin}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{model.origin}", 4096)
+        .parquet(path)
+    )
+
+
 def write_plain(trips: DataFrame, path: str) -> None:
     trips.write.mode("overwrite").parquet(path)
 
@@ -81,9 +129,11 @@ def scan_metrics(df: DataFrame) -> dict:
 
 def benchmark(spark: SparkSession, clustered_path: str, plain_path: str, model: TripModel,
               zone: int, start: str, end: str, partition_col: str = PARTITION_COL) -> DataFrame:
-    """Same query on both copies: bytes scanned and wall seconds, reduction
-    and speed-up, as a one-row DataFrame.  Both copies are read once before
-    they are timed.  AQE is off in a session of its own, so scan metrics come
+    """Same query on both copies: bytes and wall seconds, reduction and
+    speed-up, as a one-row DataFrame.  ``*_bytes`` is the size of the opened
+    files, ``*_bytes_read`` what their tasks read, from the event log, which the
+    reduction uses; NULL in a session without one (then the size is used).
+    Both copies are read once before they are timed.  AQE is off in a session of its own, so scan metrics come
     from a static plan and the caller's settings stay."""
     own = spark.newSession()
     own.conf.set("spark.sql.adaptive.enabled", "false")
@@ -93,25 +143,26 @@ def benchmark(spark: SparkSession, clustered_path: str, plain_path: str, model:
     }
     for q in runs.values():
         q.write.format("noop").mode("overwrite").save()
-    out = {}
+    out, groups = {}, {}
     for label, q in runs.items():
-        t0 = time.perf_counter()
-        q.collect()
-        out[label] = (time.perf_counter() - t0, scan_metrics(q))
-    c_sec, c_m = out["clustered"]
-    n_sec, n_m = out["naive"]
-    row = {
-        "clustered_bytes": c_m["bytes"],
-        "clustered_files": c_m["files"],
-        "clustered_seconds": round(c_sec, 3),
-        "naive_bytes": n_m["bytes"],
-        "naive_files": n_m["files"],
-        "naive_seconds": round(n_sec, 3),
-    }
-    return spark.createDataFrame([row]).select(
-        *row.keys(),
-        F.round((1 - F.col("clustered_bytes") / F.when(F.col("naive_bytes") == 0, 1)
-                 .otherwise(F.col("naive_bytes"))) * 100, 2).alias("bytes_scanned_reduction_pct"),
+        with scanlog.job_group(spark, f"layout-{label}") as groups[label]:
+            t0 = time.perf_counter()
+            q.collect()
+            out[label] = (time.perf_counter() - t0, scan_metrics(q))
+    read = scanlog.input_of(spark, list(groups.values()))
+    row = {}
+    for label, (seconds, opened) in out.items():
+        row |= {
+            f"{label}_bytes": opened["bytes"],
+            f"{label}_files": opened["files"],
+            f"{label}_bytes_read": read[groups[label]][0] if read else None,
+            f"{label}_seconds": round(seconds, 3),
+        }
+    row = spark.createDataFrame([row], ", ".join(f"{c} {'double' if c.endswith('seconds') else 'bigint'}" for c in row))
+    scanned = {c: F.coalesce(f"{c}_bytes_read", f"{c}_bytes") for c in runs}
+    return row.select(
+        *row.columns,
+        F.round((1 - F.try_divide(scanned["clustered"], scanned["naive"])) * 100, 2).alias("bytes_scanned_reduction_pct"),
         F.round(F.try_divide(F.col("naive_seconds"), F.col("clustered_seconds")), 2)
         .alias("wall_clock_speedup_x"),
     )
