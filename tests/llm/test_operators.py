@@ -87,6 +87,72 @@ def test_decoding_of_disguises():
     assert toxicity.restore([None, ""], model) == ["", ""]
 
 
+def small_model():
+    counts = np.ones((32, 32, 32))
+    for word in ["idiot", "moron", "stupid", "hate", "bad"] * 50:
+        c = [0, 0, *toxicity._CLASS[np.frombuffer(f"{word} ".encode(), np.uint8)]]
+        for x in zip(c, c[1:], c[2:]):
+            counts[x] += 1
+    return np.log(counts / counts.sum(2, keepdims=True))
+
+
+@pytest.mark.parametrize("text,plain", [
+    ("idio7", "idiot"), ("hat3", "hate"), ("b a d", "bad"), ("i  d  i  o  t", "idiot"), ("b\n a\td", "bad"), ("b.a.d", "bad"),
+    ("you idio7.", "you idiot"), ("(1diot)", "idiot"), ("mor0n!", "moron"), ("what a b4d day", "what a bad day"),
+    ("great! 455 2023 v. 1,000", "great! 455 2023 v. 1,000"), ("a b", "a b"),
+])
+def test_every_disguise_is_met(text, plain):
+    assert toxicity.restore([text], small_model())[0].split() == plain.split()
+
+
+@pytest.mark.parametrize("text", ["1d10t", "b a d", "idiooot", "$7up1d", "b.4.d", "h4t3", "mmm0r0n"])
+def test_decoding_takes_the_best_of_all_paths(text):
+    model = small_model()
+    best = None
+    for path in itertools.product(*toxicity._choices(text)):
+        plain = "".join(p for p, _ in path)
+        c = [0, 0, *toxicity._CLASS[np.frombuffer(f"{plain} ".encode(), np.uint8)]]
+        cost = sum(price for _, price in path) - sum(model[x] for x in zip(c, c[1:], c[2:]))
+        best = min(best or (cost, plain), (cost, plain))
+    assert toxicity.decode(text, model) == best[1]
+
+
+def test_scores_match_brute_force(spark, frame):
+    rows = [(i, prose(30) + (random.choice([" idiot", " 1d10t", " i d i o t"]) if i % 4 == 0 else "")) for i in range(200)] + [(900, None), (901, "")]
+    labels = {i: int(i % 4 == 0) for i, _ in rows if i % 3}
+    frames = frame(rows).repartition(3), spark.createDataFrame([(i, 1, t) for i, t in labels.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_documents(frames[0], toxicity.train(*frames)).collect()}
+
+    counts = np.full((32, 32, 32), 0.1)
+    for _, t in rows:
+        c = toxicity._CLASS[np.frombuffer((t or "").encode(), np.uint8)]
+        for x in zip(c, c[1:], c[2:]):
+            counts[x] += 1
+    texts = dict(zip([i for i, _ in rows], toxicity.restore([t for _, t in rows], np.log(counts / counts.sum(2, keepdims=True)))))
+    fold = bytes.maketrans(bytes([*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]), b" " * 66)
+
+    def grams(text):
+        b = f" {text} ".encode().translate(fold)
+        return [b[i : i + 5] for i in range(len(b) - 4)]
+
+    seen = [Counter(g for i, y in labels.items() if y == kind and i in texts for g in set(grams(texts[i]))) for kind in (0, 1)]
+    n = [sum(y == kind for i, y in labels.items() if i in texts) for kind in (0, 1)]
+    weights = {}
+    for g, b in seen[1].items():
+        a, share = seen[0][g], (seen[0][g] + b) / sum(n)
+        odds = np.log((b + 0.5) / (n[1] + 1)) - np.log((a + 0.5) / (n[0] + 1))
+        g2 = 2 * (b * np.log(b / (n[1] * share)) + (a * np.log(a / (n[0] * share)) if a else 0))
+        if b >= 5 and odds >= toxicity.LEAST_ODDS and g2 >= toxicity.LEAST_G2:
+            weights[g] = odds
+    assert weights
+    told = {i: [weights[g] for g in grams(t) if g in weights] for i, t in texts.items()}
+    evidence = {i: [max(w, default=0), np.log1p(len(w))] for i, w in told.items()}
+    known = sorted(i for i in labels if i in texts)
+    curve = toxicity._logistic(np.array([evidence[i] for i in known]), np.array([labels[i] for i in known], float))
+    for i, e in evidence.items():
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(e[0] * curve[0] + e[1] * curve[1] + curve[2]))), abs=1e-9)
+
+
 def test_toxicity_learns_and_handles_awkward_rows(spark, frame):
     rows = [(1000 + i, prose(40) + (" idiot moron" if i % 5 == 0 else "")) for i in range(300)]
     labels = spark.createDataFrame([(i, 1, int("idiot" in t)) for i, t in rows] + [(None, 1, 1), (1, 1, None)], "doc_id long, quality int, toxic int")
@@ -138,6 +204,14 @@ def test_near_duplicates_keep_one_of_each_class(frame):
     assert ngramjoin.drop_near_duplicates(frame([])).count() == 0
 
 
+def test_ties_are_decided_by_the_other_columns(frame):
+    rows = [(1, "same text of some words here", lang, source) for lang in "cab" for source in "zy"]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        kept = ngramjoin.drop_near_duplicates(frame(rows).repartition(4)).collect()
+        assert [(r.lang, r.source) for r in kept] == [("a", "y")]
+
+
 def test_components_match_union_find(spark):
     edges = [(random.randrange(200), random.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

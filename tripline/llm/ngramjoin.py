@@ -344,7 +344,8 @@ def similarity_classes(documents: DataFrame, k: int = SHINGLE, num: int = NUM, d
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """The rows of documents, all columns, less all but one of each class: the one with the least doc_id, then text hash.
 
-    Rows without shingles are all kept.
+    Of rows equal in both, the one least in the other columns, in their order, stays (columns of map type
+    cannot be ordered and are passed over).  Rows without shingles are all kept.
     """
     classes = similarity_classes(documents)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "thash")
@@ -353,7 +354,8 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     )
     hashed = documents.withColumn("__text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     joined = hashed.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left")
-    one = Window.partitionBy("doc_id", "__text_hash").orderBy(F.lit(1))
+    rest = [F.col(f"`{f.name}`") for f in documents.schema if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
+    one = Window.partitionBy("doc_id", "__text_hash").orderBy(*(rest or [F.lit(1)]))
     worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     return (
         joined.where(F.col("__kept").isNotNull() | ~worded)

@@ -4,18 +4,22 @@
    dense counts by partition, summed by Spark.
 2. Channel: a word's lattice has, at each character, the character itself and the letters it may stand
    for (fixed table below), a run of three or more equal letters may be one, two or all of them, and the
-   separators of spaced-out letters may be dropped.  Viterbi under the language model picks the path.  A
-   word of plain letters without such a run has a single path, so it is its own decoding.
-3. A classifier on 5-byte grams of the restored text: smoothed log odds of a gram's presence in toxic
-   against other labelled texts, kept where the likelihood ratio is significant; a text's largest weight
-   and the number of its telling grams go through a logistic curve.
+   separators of spaced-out letters may be dropped.  Viterbi under the language model picks the path.
+   Decoded is every word with a digit or sign of the table beside a letter, its last character too, every
+   word with a run of three equal letters, and every three or more letters with blanks, any number of them,
+   or signs between.  The others have a single path, or stand for no letters (numbers, closing marks).
+3. A classifier on 5-byte grams of the restored text, each known by its bytes: smoothed log odds of a
+   gram's presence in toxic against other labelled texts, kept where the likelihood ratio is significant; a
+   text's largest weight and the number of its telling grams go through a logistic curve.
 
 Labels come from rows outside the held-out fold only; the classifier is fitted on at most ``SAMPLE``
 labelled rows, drawn by hash.  The language model and the scoring cover all rows and whole texts.
 
 Defined cases: null and empty texts have no telling gram and get the curve's base value; repeated rows
 get equal scores; labels with null toxic are not learned from; several labels of one document count as
-toxic when one is; without labels of both kinds the score is 0; an empty table gives no rows.
+toxic when one is; without labels of both kinds the score is 0; texts of any length are scored whole, a
+slice or one long text at a time; an empty table gives no rows; input columns named like the results are
+not read, and ``drop_toxic`` keeps all columns as they are.
 """
 
 from __future__ import annotations
@@ -35,7 +39,10 @@ from tripline.llm.common import crc_mod, table, text_batches, text_slices
 #: Rows that the classifier is fitted on at most.
 SAMPLE = 20_000
 GRAM = 5
-GRAM_BITS = 20
+#: Bits of the table that says which grams to look up; grams are then compared by their bytes.
+TABLE_BITS = 20
+#: Grams of texts that a task holds before it adds them up.
+PENDING = 1 << 22
 #: A gram tells when its log odds and its likelihood ratio statistic reach these.
 LEAST_ODDS, LEAST_G2 = 2.0, 25.0
 # The letters that digits and signs stand for in disguised words.
@@ -57,6 +64,10 @@ _LEET = np.zeros(256, bool)
 _LEET[[ord(c) for c in STANDS_FOR]] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = _LETTER[128:] = True
+#: Characters that end a disguised word; other signs there are closing marks.
+_TAIL = np.zeros(256, bool)
+_TAIL[[*range(48, 58), ord("@"), ord("$")]] = True
+_BLANKS = re.compile(r"[\x09-\x0d ]+")
 _EDGES = re.compile(r"^[^\w@$!|+]+|[^\w@$]+$")
 
 
@@ -133,22 +144,21 @@ def _disguised(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     starts, ends = np.flatnonzero(word & before), np.flatnonzero(word & after) + 1
     mark = np.zeros(len(data) + 1, np.int32)
     hit = np.zeros(len(data), bool)
-    left = np.concatenate(([False], letter[:-1] | leet[:-1]))
     hit[:-1] = leet[:-1] & letter[1:]
-    hit[1:] |= (leet[1:] & letter[:-1]) & np.concatenate((letter[2:] | leet[2:], [False]))
-    hit &= left | before
+    hit[1:] |= leet[1:] & letter[:-1] & (_TAIL[data[1:]] | np.concatenate((letter[2:] | leet[2:], [False])))
     hit[2:] |= letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2]) & (data[2:] < 128)
     np.cumsum(hit, out=mark[1:])
     odd = mark[ends] > mark[starts]
     size = ends - starts
     lead = data[starts]
     single = ((size == 1) | ((size == 2) & (lead >= 0xC2) & (lead < 0xE0))) & (letter[starts] | leet[starts])
-    # letters one blank apart, four or more in a row
+    # letters with blanks between, three or more in a row
+    texts = np.searchsorted(offsets, starts, "right")
     linked = np.zeros(len(starts) + 1, bool)
-    linked[1:-1] = single[1:] & single[:-1] & (starts[1:] == ends[:-1] + 1) & ~edge[starts[1:]]
+    linked[1:-1] = single[1:] & single[:-1] & (texts[1:] == texts[:-1])
     heads = np.flatnonzero(single & ~linked[:-1])
     tails = np.flatnonzero(single & ~linked[1:])
-    long = tails - heads >= 3
+    long = tails - heads >= 2
     ranges = [(int(starts[a]), int(ends[b])) for a, b in zip(heads[long], tails[long])]
     inside = np.zeros(len(starts) + 1, np.int32)
     np.add.at(inside, heads[long], 1)
@@ -157,7 +167,7 @@ def _disguised(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
     signs = np.isin(data, np.frombuffer(b".-_*", np.uint8))
     mark2 = np.zeros(len(data) + 1, np.int32)
     np.cumsum(signs, out=mark2[1:])
-    odd |= (mark2[ends] - mark2[starts] >= 3) & (2 * (mark2[ends] - mark2[starts]) >= size - 2)
+    odd |= (mark2[ends] - mark2[starts] >= 2) & (2 * (mark2[ends] - mark2[starts]) >= size - 2)
     odd &= np.cumsum(inside)[:-1] == 0
     return sorted(ranges + [(int(a), int(b)) for a, b in zip(starts[odd], ends[odd])])
 
@@ -177,7 +187,7 @@ def restore(texts: list[str | None], model: np.ndarray, decoder=None) -> list[st
             while at < len(ranges) and owners[at] == row:
                 a, b = ranges[at]
                 stretch = raw[a:b].decode("utf-8", "replace")
-                core = _EDGES.sub("", stretch)
+                core = _EDGES.sub("", _BLANKS.sub(" ", stretch))
                 pieces += [raw[pos:a].decode("utf-8", "replace"), " ", decoder(core), " "]
                 pos, at = b, at + 1
             pieces.append(raw[pos:stop].decode("utf-8", "replace"))
@@ -185,32 +195,62 @@ def restore(texts: list[str | None], model: np.ndarray, decoder=None) -> list[st
     return out
 
 
-def _gram_ids(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, gram id at each byte, row of each byte) of restored texts with blanks at both ends."""
+def _grams(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, the gram's bytes as a number at each byte, row of each byte) of restored texts with blanks at both ends."""
     column = pa.array([f" {t} " for t in texts], pa.large_string())
     for first, end, data, offsets in text_slices(column):
-        x, low = np.zeros(max(len(data) - GRAM + 1, 0), np.uint64), _FOLD[data].astype(np.uint64)
+        x, low = np.zeros(max(len(data) - GRAM + 1, 0), np.int64), _FOLD[data].astype(np.int64)
         for j in range(GRAM):
-            x = (x << np.uint64(8)) | low[j : len(low) - GRAM + 1 + j]
-        ids = ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
-        rows = np.repeat(np.arange(end - first), np.diff(offsets))[: len(ids)]
-        keep = rows == np.repeat(np.arange(end - first), np.diff(offsets))[GRAM - 1 :]
-        yield first, end, ids[keep], rows[keep]
+            x = (x << 8) | low[j : len(low) - GRAM + 1 + j]
+        owners = np.repeat(np.arange(end - first), np.diff(offsets))
+        rows = owners[: len(x)]
+        keep = rows == owners[GRAM - 1 :]
+        yield first, end, x[keep], rows[keep]
 
 
-def _evidence(texts: list[str], weights: np.ndarray) -> np.ndarray:
+def _slot(grams: np.ndarray) -> np.ndarray:
+    return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
+class Weights:
+    """Weights of the telling grams, which are as many as the sample holds at most."""
+
+    def __init__(self, grams: np.ndarray, weights: np.ndarray):
+        order = np.argsort(grams)
+        self.grams, self.weights = grams[order], weights[order]
+        self.table = np.zeros(1 << TABLE_BITS, bool)
+        self.table[_slot(self.grams)] = True
+
+    def __call__(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the telling ones among some grams, and their weights."""
+        at = np.flatnonzero(self.table[_slot(grams)])
+        place = np.searchsorted(self.grams, grams[at])
+        same = self.grams[np.minimum(place, len(self.grams) - 1)] == grams[at] if len(at) else np.zeros(0, bool)
+        return at[same], self.weights[place[same]]
+
+
+def _evidence(texts: list[str], weights: Weights) -> np.ndarray:
     """For each text its largest gram weight and log(1 + telling grams)."""
     out = np.zeros((len(texts), 2))
-    for first, end, ids, rows in _gram_ids(texts):
-        held = weights[ids]
-        at = np.flatnonzero(held)
+    for first, end, grams, rows in _grams(texts):
+        at, held = weights(grams)
         top = np.zeros(end - first)
-        np.maximum.at(top, rows[at], held[at])
+        np.maximum.at(top, rows[at], held)
         out[first:end, 0] = top
         out[first:end, 1] = np.log1p(np.bincount(rows[at], minlength=end - first))
     return out
 
 
+def _added(pending: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows (gram, clean, toxic) with each gram once."""
+    if not pending:
+        return []
+    rows = np.concatenate(pending)
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    first = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0])))
+    return [np.column_stack([rows[first, 0], np.add.reduceat(rows[:, 1:], first)])]
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights of a logistic curve (last: base), by Newton steps with a small ridge."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -238,19 +278,18 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict
 
     def count(batches):
         decoder = functools.lru_cache(1 << 16)(functools.partial(decode, model=chars.value))
-        held, size = np.zeros((2, 1 << GRAM_BITS), np.int32), np.zeros(2, np.int64)
+        pending, size = [], np.zeros(2, np.int64)
         for batch in batches:
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
-            for first, end, ids, owners in _gram_ids(restore(batch.column("text").to_pylist(), chars.value, decoder)):
-                pairs = np.unique(owners << GRAM_BITS | ids)
-                mine = toxic[first:end][pairs >> GRAM_BITS].astype(int)
-                np.add.at(held, (mine, pairs & ((1 << GRAM_BITS) - 1)), 1)
+            for first, end, grams, owners in _grams(restore(batch.column("text").to_pylist(), chars.value, decoder)):
+                pairs = np.unique(owners << 8 * GRAM | grams)
+                mine = toxic[first:end][pairs >> 8 * GRAM]
+                pending.append(np.column_stack([pairs & ((1 << 8 * GRAM) - 1), ~mine, mine]).astype(np.int64))
+                if sum(map(len, pending)) > PENDING:
+                    pending = _added(pending)
             size += np.bincount(toxic, minlength=2)
-        at = np.flatnonzero(held.sum(0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, -1)), pa.array(np.append(held[0, at], size[0]).astype(np.int64)), pa.array(np.append(held[1, at], size[1]).astype(np.int64))],
-            names=["gram", "clean", "toxic"],
-        )
+        rows = np.concatenate([*_added(pending), [[-1, *size]]]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T.copy()], names=["gram", "clean", "toxic"])
 
     grams = (
         rows.mapInArrow(count, "gram long, clean long, toxic long")
@@ -258,12 +297,11 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where("gram = -1 or toxic >= 5")
         .toPandas()
-    )  # at most 2**GRAM_BITS rows
+    )  # grams of five toxic rows of the sample, at most
     total = grams[grams["gram"] == -1]
-    weights = np.zeros(1 << GRAM_BITS, np.float32)
     n_clean, n_toxic = (int(total["clean"].sum()), int(total["toxic"].sum())) if len(total) else (0, 0)
     if not n_clean or not n_toxic:
-        return {"chars": chars, "weights": weights, "curve": None}
+        return {"chars": chars, "weights": None, "curve": None}
     grams = grams[grams["gram"] >= 0]
     a, b = grams["toxic"].to_numpy(float), grams["clean"].to_numpy(float)
     odds = np.log((a + 0.5) / (n_toxic + 1)) - np.log((b + 0.5) / (n_clean + 1))
@@ -271,8 +309,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict
     with np.errstate(divide="ignore", invalid="ignore"):
         g2 = 2 * (np.where(a > 0, a * np.log(a / (n_toxic * share_all)), 0) + np.where(b > 0, b * np.log(b / (n_clean * share_all)), 0))
     telling = (odds >= LEAST_ODDS) & (g2 >= LEAST_G2)
-    weights[grams["gram"].to_numpy(int)[telling]] = odds[telling]
-    fitted = {"chars": chars, "weights": spark.sparkContext.broadcast(weights), "curve": None}  # 2**GRAM_BITS numbers
+    weights = Weights(grams["gram"].to_numpy(np.int64)[telling], odds[telling])
+    fitted = {"chars": chars, "weights": spark.sparkContext.broadcast(weights), "curve": None}  # 2**TABLE_BITS bits and the sample's grams
     seen = rows.withColumn("e", evidence_of(F.col("text"), fitted)).select("toxic", "e.*").toPandas()  # at most about `sample` rows
     fitted["curve"] = _logistic(seen[["top", "many"]].to_numpy(), seen["toxic"].to_numpy(float))
     return fitted
