@@ -9,6 +9,7 @@ import textwrap
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -287,6 +288,27 @@ def test_whole_licences_are_found_at_every_width(spark, frame, file, name):
     assert licenses.scan_licenses(frame([(1, texts[0] + "\nand more")]), licenses.known_digests(spark)).first().whole_license is None
 
 
+def test_scans_of_whole_licences_equal_the_sql(spark, frame, tmp_path):
+    rows = []
+    texts = [t for _, t in licenses.KNOWN + licenses.TEXTS] + [p.read_text() for p in sorted(pathlib.Path("/usr/share/common-licenses").glob("*")) if p.is_file()]
+    for n, text in enumerate(texts):
+        for width in (9_999, 72, 40):
+            paragraphs = "\n".join(textwrap.fill(x, width, break_long_words=False, break_on_hyphens=False) for x in text.split("\n"))
+            rows.append((len(rows), ("MIT License\n\n" if n % 2 else "") + "Copyright (c) 2020 A. Holder\nAll rights reserved.\n\n" + paragraphs))
+            rows.append((len(rows), paragraphs.upper() + " and more"))
+    rows += [(len(rows) + i, t) for i, t in enumerate([None, "", "copyright\nnotice", "(c) you must\n(c) 2001 X", "Copyright holders and contributors\ncopyright X", "© ©\nMIT"])]
+    docs = frame(rows)
+    docs.write.parquet(str(tmp_path / "documents"))
+    db = duckdb.connect()
+    db.sql(f"create view documents as from '{tmp_path}/documents/*.parquet'")
+    got = licenses.scan_licenses(docs, licenses.known_digests(spark)).collect()
+    want = db.execute(licenses.OP4_SQL).fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    found = Counter(r.whole_license for r in got)
+    assert all(found[name] >= 3 for name in ("MIT", "ISC", "BSD-3-Clause", "Unlicense"))
+    assert not pathlib.Path("/usr/share/common-licenses/GPL-3").exists() or found["GPL-3.0"] >= 3
+
+
 # url filter
 
 

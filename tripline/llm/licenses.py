@@ -230,23 +230,48 @@ def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+#: Letters that stand for a copyright mark in licence wording while the lines with marks go; RE2 cannot look ahead.
+_KEPT = {"copyright": "\ua7ff", "(c)": "\ua7fe"}
+
+
 def _sql() -> str:
-    known = ", ".join(f"({_literal(a)}, {_literal(b)})" for a, b in KNOWN)
-    spelled = "regexp_replace(regexp_replace(lower(coalesce(text, '')), '(?m)^[^\\p{L}\\p{N}\\n(©]*(?:copyright|\\(c\\)|©)[^\\n]*$', '', 'g'), '[^\\p{L}\\p{N}\\n]+', ' ', 'g')"
-    for old, new in SPELLINGS:
-        spelled = f"replace({spelled}, {_literal(old)}, {_literal(new)})"
-    lines = f"list_transform(string_split({spelled}, chr(10)), lambda x: trim(x))"
-    whole = "array_to_string(list_filter(lines, lambda x: x <> ''), ' ')"
+    """The scan in SQL: the same rules, texts and digests."""
+    known = ", ".join(f"({_literal(a)}, {_literal(b)})" for a, b in KNOWN + TEXTS)
+    stored = ", ".join(f"({_literal(a)}, {_literal(b)})" for a, b, _ in DIGESTS)
+    titles = ", ".join(map(_literal, TITLES))
+
+    def spelled(text: str) -> str:
+        for old, new in SPELLINGS:
+            text = f"replace({text}, {_literal(old)}, {_literal(new)})"
+        return text
+
+    def lines(text: str) -> str:
+        blank = r"[\s\x0b]"
+        rules = (
+            (rf"copyright((?:{blank}|\p{{P}})+(?:{_WORDING.replace(chr(92) + 's', blank)})\b)", _KEPT["copyright"] + r"\1"),
+            (rf"\(c\)({blank}+(?:you{blank}+must|under{blank}+patent)\b)", _KEPT["(c)"] + r"\1"),
+            (r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright\b|\(c\)|©)[^\n]*$", ""),
+            (_KEPT["copyright"], "copyright"),
+            (_KEPT["(c)"], "(c)"),
+            (r"[^\p{L}\p{N}\n]+", " "),
+        )
+        for pattern, by in rules:
+            text = f"regexp_replace({text}, {_literal(pattern)}, {_literal(by)}, 'g')"
+        return f"list_transform(string_split({spelled(text)}, chr(10)), lambda x: trim(x))"
+
+    whole = spelled(f"array_to_string(list_filter(lines, lambda x: x <> '' and x not in ({titles})), ' ')")
     return f"""
-with known as (select sha256(canon) as digest, min(license) as license from (
-    select license, {whole} as canon from (select license, {lines} as lines from (values {known}) as k(license, text))) group by 1),
-texts as (select doc_id, {lines} as lines from documents),
-wholes as (select doc_id, sha256({whole}) as digest from texts where {whole} <> ''),
-units as (select doc_id, unnest(lines) as line from texts),
-notices as (select doc_id, string_agg(distinct license, ',' order by license) as notices, count(*) as n
-    from units join known on sha256(line) = digest where line <> '' group by doc_id)
+with listed as (select license, {lines('lower(text)')} as lines from (values {known}) as k(license, text)),
+canon as (select license, {whole} as canon from listed),
+known as (select digest, min(license) as license from (
+    select license, sha256(canon) as digest from canon where canon <> '' union all select * from (values {stored}) as s(license, digest)) group by 1),
+rows as (select row_number() over () as rid, doc_id, {lines("lower(coalesce(text, ''))")} as lines from documents),
+wholes as (select rid, sha256({whole}) as digest from rows where {whole} <> ''),
+units as (select rid, unnest(lines) as line from rows),
+notices as (select rid, string_agg(distinct license, ',' order by license) as notices, count(*) as n
+    from units join known on sha256(line) = digest where line <> '' group by rid)
 select d.doc_id, k.license as whole_license, coalesce(n.notices, '') as notice_licenses, coalesce(n.n, 0) as n_notices
-from documents d left join wholes w using (doc_id) left join known k on w.digest = k.digest left join notices n using (doc_id)
+from rows d left join wholes w using (rid) left join known k on w.digest = k.digest left join notices n using (rid)
 """
 
 
