@@ -42,7 +42,7 @@ GRAM = 5
 #: Bits of the table that says which grams to look up; grams are then compared by their bytes.
 TABLE_BITS = 20
 #: Grams of texts that a task holds before it adds them up.
-PENDING = 1 << 22
+PENDING = 1 << 19
 #: A gram tells when its log odds and its likelihood ratio statistic reach these.
 LEAST_ODDS, LEAST_G2 = 2.0, 25.0
 # The letters that digits and signs stand for in disguised words.
