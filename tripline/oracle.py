@@ -661,5 +661,9 @@ GROUP BY pickup_date"""
     q["layout_clustered_query"] = layout_sql
     q["layout_naive_query"] = q["layout_interleaved_query"] = layout_sql
     q["agg_zone_cohorts"] = q["view_zone_weekly_cohort"]
+    q["views_published"] = " UNION ALL ".join(
+        f"SELECT 'vw_{key[5:]}' AS view_name, COUNT(*) AS rows FROM ({q[key]})"
+        for key in list(q) if key.startswith("view_")
+    )
     q["etl_written_daily"], q["etl_written_flags"] = q["agg_daily_zone"], q["anomaly_zscore"]
     return q

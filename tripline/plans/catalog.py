@@ -15,7 +15,7 @@ from pyspark.sql.types import DecimalType
 
 from tripline.model import ORDERS_MODEL
 from tripline.operators import anomaly, clean, enrich, partials, quality, report
-from tripline.plans import adhoc, etl, layout, loads, views
+from tripline.plans import adhoc, etl, layout, loads, published, views
 from tripline.plans.pipeline import Pipeline
 from tripline.session import scratch_path
 from tripline.sources import drift, files, tables
@@ -345,6 +345,20 @@ def view_data_quality(spark, sf_dir):
     return views.ordered("vw_data_quality", views.data_quality(Pipeline(spark, sf_dir).checks))
 
 
+@query("views_published")
+def views_published(spark, sf_dir):
+    """Rows of the eight views, published by this session and opened by another."""
+    p, path, daily = Pipeline(spark, sf_dir), scratch_path(spark, "views"), scratch_path(spark, "daily_zone_agg")
+    p.daily.write.mode("overwrite").parquet(daily)
+    p.daily = spark.read.parquet(daily)  # the views of this pipeline stand on it
+    published.publish_views(spark, {name: build() for name, build in p.view_builders().items()}, path)
+    other, rows = spark.newSession(), None
+    for name in published.open_views(other, path):
+        one = other.table(name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("view_name"), "rows")
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 # --- anomaly ---------------------------------------------------------------------
 
 
