@@ -123,35 +123,8 @@ def test_scores_match_brute_force(spark, frame):
     labels = {i: int(i % 4 == 0) for i, _ in rows if i % 3}
     frames = frame(rows).repartition(3), spark.createDataFrame([(i, 1, t) for i, t in labels.items()], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r.score for r in toxicity.score_documents(frames[0], toxicity.train(*frames)).collect()}
-
-    counts = np.full((32, 32, 32), 0.1)
-    for _, t in rows:
-        c = toxicity._CLASS[np.frombuffer((t or "").encode(), np.uint8)]
-        for x in zip(c, c[1:], c[2:]):
-            counts[x] += 1
-    texts = dict(zip([i for i, _ in rows], toxicity.restore([t for _, t in rows], np.log(counts / counts.sum(2, keepdims=True)))))
-    fold = bytes.maketrans(bytes([*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]), b" " * 66)
-
-    def grams(text):
-        b = f" {text} ".encode().translate(fold)
-        return [b[i : i + 5] for i in range(len(b) - 4)]
-
-    seen = [Counter(g for i, y in labels.items() if y == kind and i in texts for g in set(grams(texts[i]))) for kind in (0, 1)]
-    n = [sum(y == kind for i, y in labels.items() if i in texts) for kind in (0, 1)]
-    weights = {}
-    for g, b in seen[1].items():
-        a, share = seen[0][g], (seen[0][g] + b) / sum(n)
-        odds = np.log((b + 0.5) / (n[1] + 1)) - np.log((a + 0.5) / (n[0] + 1))
-        g2 = 2 * (b * np.log(b / (n[1] * share)) + (a * np.log(a / (n[0] * share)) if a else 0))
-        if b >= 5 and odds >= toxicity.LEAST_ODDS and g2 >= toxicity.LEAST_G2:
-            weights[g] = odds
-    assert weights
-    told = {i: [weights[g] for g in grams(t) if g in weights] for i, t in texts.items()}
-    evidence = {i: [max(w, default=0), np.log1p(len(w))] for i, w in told.items()}
-    known = sorted(i for i in labels if i in texts)
-    curve = toxicity._logistic(np.array([evidence[i] for i in known]), np.array([labels[i] for i in known], float))
-    for i, e in evidence.items():
-        assert got[i] == pytest.approx(1 / (1 + np.exp(-(e[0] * curve[0] + e[1] * curve[1] + curve[2]))), abs=1e-9)
+    want = brute.toxicity_scores(rows, labels)
+    assert got == pytest.approx(want, abs=1e-9)
 
 
 def test_toxicity_learns_and_handles_awkward_rows(spark, frame):
@@ -357,23 +330,11 @@ def test_repeats_match_brute_force(frame, length):
 # mixing
 
 
-def fill(sizes, weights, most):
-    """Targets by turns: give by weight, fix those above their limit, deal again."""
-    fixed, total = {}, float(sum(sizes))
-    while True:
-        free = [i for i in range(len(sizes)) if i not in fixed]
-        level = (total - sum(fixed.values())) / sum(weights[i] for i in free) if free else 0
-        above = [i for i in free if level * weights[i] > most * sizes[i]]
-        if not above:
-            return [fixed.get(i, level * weights[i]) for i in range(len(sizes))]
-        fixed |= {i: most * sizes[i] for i in above}
-
-
 def test_targets_match_refilling(spark):
     sizes = [10, 0, 5000, 3, 800, 20, 60]
     names = ["a", "b", "c", "d", "é", "z", None]
     got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(list(zip(names, sizes)), "source string, source_size long")).collect()}
-    want = dict(zip(names, fill(sizes, [5, 2, 1, 5, 2, 1, 5], 3.0)))
+    want = dict(zip(names, brute.refilled(sizes, [5, 2, 1, 5, 2, 1, 5], 3.0)))
     assert got == pytest.approx(want)
 
 
@@ -534,24 +495,6 @@ def test_slightly_changed_items_are_found(spark, frame):
     assert [(r.doc_id, r.item_id) for r in got] == [(1, 7)] and 0.75 <= got[0].similarity < 1
 
 
-def weighted_jaccard(a, b):
-    a, b = ([tuple(x[i : i + 5]) for i in range(max(len(x) - 4, 1))] for x in (a, b))
-    both = sum((Counter(a) & Counter(b)).values())
-    return both / (len(a) + len(b) - both)
-
-
-def similar_windows(docs, items, similar=0.75):
-    """{(doc_id, item_id): best similarity} over every window as long as the item."""
-    out = {}
-    for (i, t), (j, x) in itertools.product(docs, items):
-        words, item = (re.findall(r"[^\W_]+", (y or "").lower()) for y in (t, x))
-        if words and item and {tuple(item[o : o + 5]) for o in range(len(item))} & {tuple(words[o : o + 5]) for o in range(len(words))}:
-            best = max(weighted_jaccard(words[s : s + len(item)], item) for s in range(max(len(words) - 4, 1)))
-            if best >= similar:
-                out[i, j] = best
-    return out
-
-
 def edited_items(items, copies):
     """Documents that hold an item with words changed, dropped, put in or its parts in another order."""
     docs = []
@@ -572,7 +515,7 @@ def test_edited_items_match_brute_force(spark, frame):
     items = [(j, prose(random.choice([15, 20, 30, 45, 59]))) for j in range(24)]
     items += [(30, "a b " * 12 + prose(20)), (31, "the same words again " * 8)]
     docs = edited_items(items, 12) + [(1, "a b " * 40), (2, "the same words again " * 30), (3, items[3][1] + " " + items[3][1]), (4, None)]
-    want = similar_windows(docs, items)
+    want = brute.similar_windows(docs, items)
     got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_leaks(frame(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert sum(v < 0.9 for v in want.values()) > 20
     assert {k: got.get(k) for k in want} == pytest.approx(want)
