@@ -121,6 +121,9 @@ def test_cli_stages_end_to_end(spark, tmp_dir):
     df = cli.main(["ask", "--out", out, "--checks", f"{tmp_dir}/val",
                    "SELECT name, passed FROM vw_data_quality"], spark)
     assert df.count() == 14
+    cli.main(["publish", "--out", out, "--checks", f"{tmp_dir}/val", "--views", f"{tmp_dir}/views"], spark)
+    asked = cli.main(["ask", "--views", f"{tmp_dir}/views", "SELECT name, passed FROM vw_data_quality"], spark.newSession())
+    assert sorted(asked.collect()) == sorted(df.collect())
     row = cli.main(["layout", "--out", out, "--zone", "132", "--start", "2023-01-01",
                     "--end", "2023-01-31", "--report", f"{tmp_dir}/layout"], spark)
     names = cli.main(["report", "--out", out, "--report", f"{tmp_dir}/tables", "--checks", f"{tmp_dir}/val",

@@ -5,6 +5,8 @@
     python -m tripline.cli validate --raw '...' --out data/processed --report reports/validation
     python -m tripline.cli anomaly  --out data/processed --report reports/anomaly_report
     python -m tripline.cli ask      --out data/processed --checks reports/validation "SELECT ..."
+    python -m tripline.cli publish  --out data/processed --checks reports/validation --views data/views
+    python -m tripline.cli ask      --views data/views "SELECT ..."
     python -m tripline.cli report   --out data/processed --report reports/tables --checks reports/validation
     python -m tripline.cli layout   --out data/processed --zone 132 --start 2023-07-01 --end 2023-07-31
 
@@ -17,12 +19,12 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.model import TAXI_ALIASES, TAXI_CANONICAL, TAXI_MODEL
 from tripline.operators import quality
-from tripline.plans import adhoc, etl, layout, scanlog, views
+from tripline.plans import adhoc, etl, layout, published, scanlog, views
 from tripline.session import build_session
 from tripline.sources import drift, files
 
@@ -44,8 +46,14 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--out", required=True)
     a.add_argument("--report")
     q = sub.add_parser("ask")
-    q.add_argument("--out", required=True)
-    q.add_argument("--checks", help="validation report folder (for vw_data_quality)")
+    source = q.add_mutually_exclusive_group(required=True)
+    source.add_argument("--out")
+    source.add_argument("--views", help="folder of published views")
+    u = sub.add_parser("publish")
+    u.add_argument("--out", required=True)
+    u.add_argument("--views", required=True, help="folder of published views")
+    for stage in (q, u):
+        stage.add_argument("--checks", help="validation report folder (for vw_data_quality)")
     q.add_argument("sql")
     lay = sub.add_parser("layout")
     lay.add_argument("--out", required=True)
@@ -70,6 +78,13 @@ def _event_log(args: argparse.Namespace) -> dict[str, str]:
     return {**scanlog.EVENT_LOG_CONF, "spark.eventLog.dir": args.events}
 
 
+def _stored_views(spark: SparkSession, out: str, checks_path: str | None) -> tuple[DataFrame, ...]:
+    """The stored tables that the views stand on."""
+    checks = etl.load_checks(spark, checks_path) if checks_path else spark.createDataFrame([], etl.CHECK_SCHEMA)
+    tables = ("daily_zone_agg", "hourly_profile", "anomaly_flags")
+    return *(spark.read.parquet(f"{out.rstrip('/')}/{t}") for t in tables), checks
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> object:
     args = _parser().parse_args(argv)
     if spark is None:
@@ -103,19 +118,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         print("wrote " + ", ".join(names))
         return names
     if args.cmd == "ask":
-        out = args.out.rstrip("/")
-        checks = etl.load_checks(spark, args.checks) if args.checks else spark.createDataFrame(
-            [], etl.CHECK_SCHEMA
-        )
-        views.register_stored(
-            spark.read.parquet(f"{out}/daily_zone_agg"),
-            spark.read.parquet(f"{out}/hourly_profile"),
-            spark.read.parquet(f"{out}/anomaly_flags"),
-            checks,
-        )
+        if args.views:
+            published.open_views(spark, args.views)
+        else:
+            views.register_stored(*_stored_views(spark, args.out, args.checks))
         df = adhoc.guarded_query(spark, args.sql, views.VIEW_NAMES)
         df.show(adhoc.RESULT_ROW_LIMIT, truncate=False)
         return df
+    if args.cmd == "publish":
+        frames = views.stored_frames(*_stored_views(spark, args.out, args.checks))
+        version = published.publish_views(spark, frames, args.views)
+        print(f"published {len(frames)} views as {version}")
+        return version
     if args.cmd == "layout":
         out = args.out.rstrip("/")
         trips = files.read_partitioned(spark, f"{out}/trips_cleaned", "year_month")

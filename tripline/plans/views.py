@@ -135,10 +135,10 @@ def data_quality(checks: DataFrame) -> DataFrame:
     return checks.select("name", "severity", "passed", "detail")
 
 
-def register_stored(daily: DataFrame, hourly: DataFrame, flags: DataFrame,
-                    checks: DataFrame) -> list[str]:
-    """Create the eight temp views over stored tables (the ETL outputs)."""
-    frames = {
+def stored_frames(daily: DataFrame, hourly: DataFrame, flags: DataFrame,
+                  checks: DataFrame) -> dict[str, DataFrame]:
+    """The eight views over stored tables (the ETL outputs)."""
+    return {
         "vw_daily_kpis": daily_kpis(daily),
         "vw_monthly_trend": monthly_trend(daily),
         "vw_zone_leaderboard": zone_leaderboard(daily),
@@ -148,6 +148,12 @@ def register_stored(daily: DataFrame, hourly: DataFrame, flags: DataFrame,
         "vw_zone_weekly_cohort": zone_weekly_cohort(daily),
         "vw_data_quality": data_quality(checks),
     }
+
+
+def register_stored(daily: DataFrame, hourly: DataFrame, flags: DataFrame,
+                    checks: DataFrame) -> list[str]:
+    """Create the eight temp views over stored tables."""
+    frames = stored_frames(daily, hourly, flags, checks)
     for name, df in frames.items():
         ordered(name, df).createOrReplaceTempView(name)
     return list(frames)
