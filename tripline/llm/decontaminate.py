@@ -14,7 +14,9 @@
 
 Only DataFrame functions run.  Defined cases: null and empty texts, and items without a word, match
 nothing; an item of fewer words than a shingle is one shingle, and documents are searched for that
-sequence; repeated rows give one row; equal items are reported each; empty tables give no rows.
+sequence; repeated rows give one row; equal items are reported each; empty tables give no rows;
+columns but doc_id, text and item_id are not read, so their names may be those of results, and
+``drop_leaks`` keeps them all.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ spans; ``score`` is its share of them.
 
 Defined cases: null text, empty text and text without a letter give ``und`` and score 0; so does every
 text when no row can be learned from; ties go to the first language in code point order; rows with null
-lang are not learned from; an empty table gives no rows.
+lang are not learned from; an empty table gives no rows; a very long text is labelled whole, as a slice of
+its own; columns but doc_id, text and (to learn) lang are not read, so documents may have a column named
+score or lang_pred.
 """
 
 from __future__ import annotations

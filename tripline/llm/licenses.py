@@ -8,7 +8,9 @@ licences is a parameter, at most ``MAX_KNOWN`` rows (checked), and is broadcast.
 length is that of a known licence are digested, which loses none.
 
 Defined cases: null and empty texts match nothing; repeated rows get equal results; several names of one
-digest are one licence, the first by name; an empty table gives no rows.  Only DataFrame functions run here.
+digest are one licence, the first by name; an empty table gives no rows; texts
+are read whole, a line at a time where lines are looked up; columns but doc_id and text are not read, so
+their names may be those of results.  Only DataFrame functions run here.
 """
 
 from __future__ import annotations

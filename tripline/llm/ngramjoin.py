@@ -22,8 +22,9 @@ connected components of all links, exactly.
 
 Defined cases: null and empty texts have no shingles, link with nothing and are their own component; a
 text of fewer words than a shingle is one shingle; repeated rows link with each other; a null doc_id
-takes part and is never a component's id (unless all are null); an empty table gives no rows.  Shingles
-are compared by 64-bit hash.
+takes part and is never a component's id (unless all are null); an empty table gives no rows; columns
+but doc_id and text are not read for classes, so their names may be those of results.  Shingles are
+compared by 64-bit hash.
 """
 
 from __future__ import annotations

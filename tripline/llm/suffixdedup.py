@@ -18,7 +18,8 @@ are compared by 64-bit ids.
 
 Defined cases: null text counts as empty; texts shorter than ``length`` lose nothing; matches never cross
 rows; repeated rows are other places, so they lose all of a text of ``length`` bytes or more; an empty
-table gives no rows.
+table gives no rows; a very long text is one slice of a batch and judged whole; columns but doc_id and text
+are not read, so their names may be those of results.
 """
 
 from __future__ import annotations

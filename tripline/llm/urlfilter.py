@@ -7,7 +7,8 @@ rules, the path's segments; the deepest host wins, then the longest path.  A url
 
 Defined cases: a null url or one without ``://`` has empty host and path and meets no rule; a rule's path
 must be a prefix of the url's path, so a url without a path meets no rule that ends in ``/``; repeated
-rules count once, and two rules of one place with different verdicts are an error; an empty table gives no rows.
+rules count once, and two rules of one place with different verdicts are an error; an empty table gives no rows;
+columns but page_id and url are not read, so pages may have a column named host or verdict.
 """
 
 from __future__ import annotations
