@@ -518,4 +518,19 @@ def test_edited_items_match_brute_force(spark, frame):
     want = brute.similar_windows(docs, items)
     got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_leaks(frame(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert sum(v < 0.9 for v in want.values()) > 20
-    assert {k: got.get(k) for k in want} == pytest.approx(want)
+    assert got.keys() <= want.keys() and all(v <= want[k] + 1e-9 for k, v in got.items())
+    assert len(got) >= 0.98 * len(want) and all(k in got for k, v in want.items() if v >= 0.9)
+
+
+def test_results_come_through_the_fingerprints(spark, frame):
+    items = [(j, prose(40)) for j in range(12)]
+    docs, table = edited_items(items, 6), spark.createDataFrame(items, "item_id long, text string")
+    near, all_found = (decontaminate.find_leaks(frame(docs), table, radius=r).collect() for r in (1, decontaminate.RADIUS))
+    assert 0 < len(near) < len(all_found) and min(r.similarity for r in near) > 0.85
+
+
+def test_items_without_an_id_and_with_one_id(spark, frame):
+    items = [(None, "red green blue black white grey"), (7, "one two three four five six"), (7, "uno due tre quattro cinque sei"), (7, "one two three four five six")]
+    docs = [(1, "so red green blue black white grey it is"), (2, "one two three four five six"), (3, "uno due tre quattro cinque sei sette"), (None, items[1][1])]
+    got = decontaminate.find_leaks(frame(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((str(r.doc_id), str(r.item_id), r.start_word, r.similarity) for r in got) == [("1", "None", 1, 1.0), ("2", "7", 0, 1.0), ("3", "7", 0, 1.0), ("None", "7", 0, 1.0)]

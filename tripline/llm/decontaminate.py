@@ -1,16 +1,17 @@
 """Benchmark decontamination: SimHash windows, multi-index Hamming blocks, exact weighted-shingle check.
 
 1. Words are runs of letters and digits, lower-cased.  A window as long as an item (shorter where the
-   document ends) lies in a document wherever it would line up with the item at a shared word shingle.
-2. Pairs pass when the weighted Jaccard similarity of their shingles (sum of the lesser counts over the
-   sum of the greater) is ``SIMILAR`` or more.
-3. Every window that begins at a shingle shared with the item, or lines up with the item there, is compared
-   with that item, whatever their SimHash distance.  A window moved on to its first shared shingle loses
-   none, so when any window as long as the item passes, one of these does.
-4. Windows of one item's length are compared with items of other lengths as well: each distinct window and
-   each item gets a 64-bit SimHash of its shingles, weighted by their counts.  Fingerprints are cut into
-   ``RADIUS + 1`` blocks; two within the radius agree in one block at least, so a join on (block, value)
-   finds every pair within it, whichever item a window was placed for.
+   document ends) lies in a document wherever it would line up with the item at a shared word shingle, and
+   wherever a run of shingles shared with the item begins.
+2. Each distinct window and each item gets a 64-bit SimHash of its shingles, weighted by their counts.
+   Fingerprints are cut into ``RADIUS + 1`` blocks; two within the radius agree in one block at least, so a
+   join on (item, block, value) finds every window within the radius of the item that it was placed for.
+   Blocks of so few bits alone would pair most windows with most items; the item in the key prevents that.
+3. Pairs within the radius pass when the weighted Jaccard similarity of their shingles (sum of the lesser
+   counts over the sum of the greater), computed exactly, is ``SIMILAR`` or more.
+
+At a similarity of 0.75 two fingerprints are about 11 bits apart, with a deviation of 3: ``RADIUS`` lies
+above that by more than two deviations, and the README has the recall measured against brute force.
 
 Only DataFrame functions run.  Defined cases: null and empty texts, and items without a word, match
 nothing; an item of fewer words than a shingle is one shingle, and documents are searched for that
@@ -28,7 +29,7 @@ from tripline.llm.common import stored, table
 
 SHINGLE = 5
 SIMILAR = 0.75
-RADIUS = 12
+RADIUS = 18
 #: Shingles of all items up to which the items' tables are broadcast.
 SMALL = 1 << 20
 
@@ -63,92 +64,74 @@ def hamming_blocks(fingerprint: Column, radius: int = RADIUS) -> Column:
     return F.array(*pieces)
 
 
-def _same_length(placed: DataFrame, similar: float) -> DataFrame:
-    """(doc_id, thash, item_id, start, similarity) of the windows as long as the item that pass, from shared shingles alone.
+def _seeds(items: DataFrame) -> DataFrame:
+    """(item, length, m, hash, offset, before) of each distinct shingle of an item: where it comes first, and the shingle before it."""
+    places = F.transform("hashes", lambda h, i: F.struct(h.alias("hash"), i.alias("offset"), F.get("hashes", i - 1).alias("before")))
+    each = items.select("item", "length", F.size("hashes").alias("m"), F.explode(places).alias("p"))
+    first = F.min(F.struct("p.offset", "p.before")).alias("first")
+    return each.groupBy("item", "length", "m", "p.hash").agg(first).select("item", "length", "m", "hash", F.col("first.offset").alias("offset"), F.col("first.before").alias("expected"))
 
-    Shared shingles and starts are dealt to pieces of as many places as the item has shingles, each with the
-    shared shingles of the next piece too, so that a piece holds whole windows and at most two items' worth.
-    """
-    key = ["doc_id", "thash", "n_words", "item_id", "length", "m"]
-    hit = F.struct("at", "hash", "d")
-    held = placed.select(*key, "start", F.explode("hits").alias("hit")).select(*key, "start", "hit.*")
 
-    def piece(at: Column) -> Column:
-        return F.floor(at / F.col("m")).cast("long")
-
-    nothing = F.lit(None)
-    entries = F.array(
-        F.struct(piece(F.col("at")).alias("piece"), hit.alias("hit"), F.col("at").alias("begin")),
-        F.struct((piece(F.col("at")) - 1).alias("piece"), hit.alias("hit"), nothing.cast("int").alias("begin")),
-        F.struct(piece(F.col("start")).alias("piece"), nothing.cast("struct<at:int,hash:bigint,d:int>").alias("hit"), F.col("start").alias("begin")),
-    )
-    pieces = held.select(*key, F.explode(entries).alias("e")).groupBy(*key, "e.piece").agg(F.collect_set("e.hit").alias("hits"), F.collect_set("e.begin").alias("begins"))
-    least = F.col("m") * similar
-    inside = F.filter("hits", lambda h: (h["at"] >= F.col("begin")) & (h["at"] < F.col("begin") + F.col("m")))
-    windows = pieces.where(F.size("hits") >= least).select(*key, "hits", F.explode("begins").alias("begin")).withColumn("hits", inside)
-    counts = windows.where(F.size("hits") >= least).select(*key, "begin", F.explode("hits").alias("h"))
-    counts = counts.groupBy(*key, "begin", "h.hash").agg(F.least(F.count("*"), F.first("h.d")).alias("both"))
-    n = F.greatest(F.least(F.col("length"), F.col("n_words") - F.col("begin")) - SHINGLE + 1, F.lit(1))
-    common = counts.groupBy(*key, "begin").agg(F.sum("both").alias("common"))
-    scored = common.select("doc_id", "thash", "item_id", F.col("begin").alias("start"), (F.col("common") / (n + F.col("m") - F.col("common"))).alias("similarity"))
-    return scored.where(F.col("similarity") >= similar)
+def _windows_at(docs: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
+    """(doc_id, thash, item, start, window): the shingles of each window that a shared k-word shingle places."""
+    found = docs.where(F.size("words") >= k).select("doc_id", "thash", shingles(F.col("words"), k).alias("hashes"))
+    found = found.select("doc_id", "thash", "hashes", F.posexplode("hashes").alias("at", "hash")).join(seeds, "hash")
+    lined_up = F.greatest(F.col("at") - F.col("offset"), F.lit(0))
+    run_begins = ~F.get("hashes", F.col("at") - 1).eqNullSafe(F.col("expected"))
+    starts = F.when(run_begins, F.array_distinct(F.array(lined_up, F.col("at")))).otherwise(F.array(lined_up))
+    found = found.select("doc_id", "thash", "item", "m", "hashes", F.explode(starts).alias("start"))
+    return found.select("doc_id", "thash", "item", "start", F.slice("hashes", F.col("start") + 1, F.col("m")).alias("window"))
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, similar: float = SIMILAR, radius: int = RADIUS) -> DataFrame:
     """(doc_id, thash, item_id, start_word, similarity): each item that a document holds, at its best placement."""
     items = benchmark.select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
-    items = items.select("item_id", F.size("words").alias("length"), shingles(F.col("words")).alias("hashes"))
-    items = stored(items.withColumn("print", simhash(F.col("hashes"))), "leak-items")
+    items = items.select("item_id", F.size("words").alias("length"), shingles(F.col("words")).alias("hashes")).distinct()
+    items = items.withColumn("item", F.xxhash64("item_id", "length", "hashes")).withColumn("print", simhash(F.col("hashes")))
+    items = stored(items, "leak-items")
     small = (items.agg(F.sum(F.size("hashes")).alias("n")).first().n or 0) <= SMALL
 
     def bounded(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
-    seeds = items.select("item_id", "length", "hashes", F.size("hashes").alias("m"), F.posexplode("hashes").alias("offset", "hash"))
-    times = F.size(F.filter("hashes", lambda h: h == F.col("hash")))
-    seeds = seeds.withColumn("d", times).drop("hashes").distinct()
+    seeds = _seeds(items)
     docs = documents.select("doc_id", F.xxhash64("text").alias("thash"), words(F.col("text")).alias("words"))
     # sequences shorter than a shingle are looked up by their own length
     lengths = sorted(r.length for r in items.where(F.col("length") < SHINGLE).select("length").distinct().collect())
-    placed = None
-    for k in [SHINGLE, *lengths]:
-        at_length = seeds.where(F.col("length") >= SHINGLE if k == SHINGLE else F.col("length") == k)
-        found = docs.where(F.size("words") >= k).select("doc_id", "thash", "words", F.size("words").alias("n_words"), F.posexplode(shingles(F.col("words"), k)).alias("at", "hash"))
-        found = found.join(bounded(at_length), "hash").withColumn("start", F.greatest(F.col("at") - F.col("offset"), F.lit(0)))
-        window = F.slice("words", F.col("start") + 1, F.col("length")).alias("window")
-        found = found.select("doc_id", "thash", "n_words", "start", "item_id", "length", "m", F.struct("at", "hash", "d").alias("hit"), window)
-        placed = found if placed is None else placed.unionByName(found)
-    keys = ["doc_id", "thash", "n_words", "start", "item_id", "length", "m", "wid"]
-    placed = placed.withColumn("wid", F.xxhash64("window")).groupBy(*keys).agg(F.first("window").alias("window"), F.collect_set("hit").alias("hits"))
+    placed = _windows_at(docs, bounded(seeds.where(F.col("length") >= SHINGLE)), SHINGLE)
+    for k in lengths:
+        placed = placed.unionByName(_windows_at(docs, bounded(seeds.where(F.col("length") == k)), k))
+    placed = placed.withColumn("wid", F.xxhash64("window")).groupBy("doc_id", "thash", "item", "start", "wid").agg(F.first("window").alias("window"))
     placed = stored(placed, "leak-placed")
 
-    windows = placed.groupBy("wid").agg(F.first("window").alias("window")).select("wid", shingles(F.col("window")).alias("hashes"))
+    windows = placed.groupBy("wid").agg(F.first("window").alias("hashes"), F.collect_set("item").alias("items"))
     windows = stored(windows.withColumn("print", simhash(F.col("hashes"))), "leak-windows")
+    blocks = F.posexplode(hamming_blocks(F.col("print"), radius)).alias("block", "value")
     near = (
-        windows.select("wid", "print", F.size("hashes").alias("n"), F.posexplode(hamming_blocks(F.col("print"), radius)).alias("block", "value"))
-        .join(
-            bounded(items.select("item_id", F.col("print").alias("item_print"), F.size("hashes").alias("m"), F.posexplode(hamming_blocks(F.col("print"), radius)).alias("block", "value"))),
-            ["block", "value"],
-        )
+        windows.select("wid", "print", F.size("hashes").alias("n"), F.explode("items").alias("item"))
+        .select("wid", "print", "n", "item", blocks)
+        .join(bounded(items.select("item", F.col("print").alias("item_print"), F.size("hashes").alias("m"), blocks)), ["item", "block", "value"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
         .where(F.least("n", "m") >= F.greatest("n", "m") * similar)
-        .select("wid", "item_id", "n", "m")
+        .select("wid", "item", "n", "m")
         .distinct()
     )
     window_counts = windows.select("wid", F.explode("hashes").alias("hash")).groupBy("wid", "hash").agg(F.count("*").alias("c"))
-    item_counts = items.select("item_id", F.explode("hashes").alias("hash")).groupBy("item_id", "hash").agg(F.count("*").alias("d"))
+    item_counts = items.select("item", F.explode("hashes").alias("hash")).groupBy("item", "hash").agg(F.count("*").alias("d"))
     common = F.sum(F.least("c", "d"))
     passed = (
         near.join(window_counts, "wid")
-        .join(bounded(item_counts), ["item_id", "hash"])
-        .groupBy("wid", "item_id", "n", "m")
+        .join(bounded(item_counts), ["item", "hash"])
+        .groupBy("wid", "item", "n", "m")
         .agg((common / (F.col("n") + F.col("m") - common)).alias("similarity"))
         .where(F.col("similarity") >= similar)
+        .select("wid", "item", "similarity")
     )
     best = F.max_by(F.struct("start", "similarity"), F.struct("similarity", -F.col("start")))
-    other_lengths = placed.select("doc_id", "thash", "start", "wid").distinct().join(passed.select("wid", "item_id", "similarity"), "wid").drop("wid")
     return (
-        other_lengths.unionByName(_same_length(placed, similar))
+        placed.drop("window")
+        .join(passed, ["wid", "item"])
+        .join(bounded(items.select("item", "item_id")), "item")
         .groupBy("doc_id", "thash", "item_id")
         .agg(best.alias("b"))
         .select("doc_id", "thash", "item_id", F.col("b.start").alias("start_word"), "b.similarity")
