@@ -75,7 +75,8 @@ def _seeds(items: DataFrame) -> DataFrame:
 def _windows_at(docs: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
     """(doc_id, thash, item, start, window): the shingles of each window that a shared k-word shingle places."""
     found = docs.where(F.size("words") >= k).select("doc_id", "thash", shingles(F.col("words"), k).alias("hashes"))
-    found = found.select("doc_id", "thash", "hashes", F.posexplode("hashes").alias("at", "hash")).join(seeds, "hash")
+    # the outer form: from the inner one Spark infers a filter that splits the text again for every shingle
+    found = found.select("doc_id", "thash", "hashes", F.posexplode_outer("hashes").alias("at", "hash")).join(seeds, "hash")
     lined_up = F.greatest(F.col("at") - F.col("offset"), F.lit(0))
     run_begins = ~F.get("hashes", F.col("at") - 1).eqNullSafe(F.col("expected"))
     starts = F.when(run_begins, F.array_distinct(F.array(lined_up, F.col("at")))).otherwise(F.array(lined_up))
