@@ -127,6 +127,15 @@ def test_scores_match_brute_force(spark, frame):
     assert got == pytest.approx(want, abs=1e-9)
 
 
+def test_toxicity_learns_from_tasks_without_grams(spark, frame):
+    rows = [(1, None), (2, ""), (3, "hm"), (4, "")]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(frame(rows).coalesce(1), labels)
+    assert len({r.score for r in toxicity.score_documents(frame(rows), model).collect()}) == 1
+    for text in ("", "a", "ab"):  # alone in a batch
+        assert [len(grams) for _, _, grams, _ in toxicity._grams([text])] == [0]
+
+
 def test_toxicity_learns_and_handles_awkward_rows(spark, frame):
     rows = [(1000 + i, prose(40) + (" idiot moron" if i % 5 == 0 else "")) for i in range(300)]
     labels = spark.createDataFrame([(i, 1, int("idiot" in t)) for i, t in rows] + [(None, 1, 1), (1, 1, None)], "doc_id long, quality int, toxic int")

@@ -201,7 +201,7 @@ def _grams(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     for first, end, data, offsets in text_slices(column):
         x, low = np.zeros(max(len(data) - GRAM + 1, 0), np.int64), _FOLD[data].astype(np.int64)
         for j in range(GRAM):
-            x = (x << 8) | low[j : len(low) - GRAM + 1 + j]
+            x = (x << 8) | low[j : j + len(x)]
         owners = np.repeat(np.arange(end - first), np.diff(offsets))
         rows = owners[: len(x)]
         keep = rows == owners[GRAM - 1 :]
@@ -243,7 +243,7 @@ def _evidence(texts: list[str], weights: Weights) -> np.ndarray:
 
 def _added(pending: list[np.ndarray]) -> list[np.ndarray]:
     """Rows (gram, clean, toxic) with each gram once."""
-    if not pending:
+    if not any(map(len, pending)):
         return []
     rows = np.concatenate(pending)
     rows = rows[np.argsort(rows[:, 0], kind="stable")]
