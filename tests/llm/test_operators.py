@@ -336,6 +336,30 @@ def test_repeats_match_brute_force(frame, length):
     assert got == sorted((str(i), *w) for (i, _), w in zip(rows, want))
 
 
+def test_planted_passages_go_from_400_bytes_on(spark, frame, tmp_path):
+    """Passages of over 50 words in several documents: the query removes those of the contract's 400 bytes, a shorter one stays."""
+    rng = random.Random(23)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    long, short = [words(n)[: 8 * n - 1] for n in (51, 60, 120)], words(52)[:399]
+    assert len(long[0]) == 407 and len(short.split(" ")) == 50
+    short = short.replace(" ", " a ", 3)[:399]  # of more than 50 words
+    assert len(short) == 399 and len(short.split(" ")) > 50
+    rows, want, marks = [], {}, iter("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    for passage in [*long, short]:
+        for _ in range(3):
+            # other bytes beside each copy, so that nothing longer than the passage repeats
+            want[len(rows)] = len(passage) if passage != short else 0
+            rows.append((len(rows), f"{words(150)} {next(marks)}{passage}{next(marks)} {words(90)}"))
+    for _ in range(20):
+        want[len(rows)] = 0
+        rows.append((len(rows), words(200)))
+    frame(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in suffixdedup.op6_bucket_refinement(spark, str(tmp_path)).collect()}
+    assert {i: r.n_removed for i, r in got.items()} == want
+    assert {i: r.n_spans for i, r in got.items()} == {i: int(n > 0) for i, n in want.items()}
+    assert {i: r.n_bytes for i, r in got.items()} == {i: len(t) for i, t in rows}
+
+
 # mixing
 
 
